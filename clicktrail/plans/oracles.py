@@ -230,6 +230,7 @@ FROM checkouts GROUP BY purchase_id HAVING count(*) > 1 OR purchase_id IS NULL""
         "successful_checkouts": f"{trailing_day} SELECT {_CONFORMED} FROM checkouts WHERE payment_status = 'success'",
         "failed_checkouts": f"{trailing_day} SELECT {_CONFORMED} FROM checkouts WHERE payment_status = 'failure'",
         "stream_checkouts_sink": conformed_day,
+        "stream_first_click_attribution": conformed_trailing,
     }
     for suffix, lookback in (("", TEN_MINUTES), ("_1d", DAY)):
         sql |= {

@@ -23,7 +23,7 @@ from clicktrail.operators.retention import retain
 from clicktrail.operators.rollups import rollup, rollup_cube, rollup_from_cube, with_status
 from clicktrail.plans import testdata_views as views
 from clicktrail.plans.checkouts import trailing_checkouts, windowed_checkouts
-from clicktrail.plans.streams import checkouts_table, rollup_tables, staged_topics
+from clicktrail.plans.streams import checkouts_table, rollup_tables, staged_topics, trailing_table
 from clicktrail.schemas import CHECKOUTS, PRODUCTS, ROLLUPS, USERS, TableContract
 from clicktrail.session import work_dir
 from clicktrail.sinks.tables import load_dimension
@@ -212,6 +212,10 @@ def stream_checkouts_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return at_edge(checkouts_table(spark, sf_dir, DAY, AVAILABLE_NOW))
 
 
+def stream_first_click_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return at_edge(trailing_table(spark, sf_dir, DAY, AVAILABLE_NOW))
+
+
 def stream_rollup(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return at_edge(rollup_tables(spark, sf_dir, DAY, AVAILABLE_NOW)[table])
 
@@ -236,6 +240,7 @@ def all_queries() -> dict[str, Query]:
         "successful_checkouts": partial(checkouts_with_status, status="success"),
         "failed_checkouts": partial(checkouts_with_status, status="failure"),
         "stream_checkouts_sink": stream_checkouts_sink,
+        "stream_first_click_attribution": stream_first_click_attribution,
     }
     for suffix, lookback in (("", TEN_MINUTES), ("_1d", DAY)):
         named |= {

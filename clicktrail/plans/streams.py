@@ -24,6 +24,7 @@ from clicktrail.streaming.pipeline import (
     start_checkouts,
     start_rollups,
 )
+from clicktrail.streaming.trailing import start_trailing_checkouts
 from clicktrail.streaming.triggers import Trigger
 
 FLUSH_USER = "flush"
@@ -41,11 +42,13 @@ def _once(spark: SparkSession, *key: str, make) -> str:
 
 
 def flush_messages(rows: DataFrame, encode, time: str) -> DataFrame:
-    """One message with only a user and a time, in the topic's own encoding."""
-    one = rows.sparkSession.range(1)
-    filled = {name: F.lit(None).cast("string") for name in rows.columns}
-    filled |= {"user_id": F.lit(FLUSH_USER), time: F.lit(FLUSH_TIME)}
-    return encode(one.select([value.alias(name) for name, value in filled.items()]))
+    """One message with a time and placeholders, in the topic's own encoding.
+
+    No field is NULL: Spark drops rows with NULL join keys before it looks at
+    their event time.
+    """
+    values = {name: F.lit(FLUSH_TIME if name == time else FLUSH_USER) for name in rows.columns}
+    return encode(rows.sparkSession.range(1).select([v.alias(name) for name, v in values.items()]))
 
 
 def staged_topics(spark: SparkSession, sf_dir: str) -> str:
@@ -122,3 +125,22 @@ def rollup_tables(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trig
 
     root = _once(spark, "rollups", sf_dir, lookback, make=run)
     return {table: read_rows(spark, f"{root}/{table}", contract) for table, contract in ROLLUPS.items()}
+
+
+def trailing_table(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> DataFrame:
+    """Topics to settled tables to trailing checkouts, in one streaming query."""
+
+    def run() -> str:
+        root = work_dir(spark, "trailing-stream")
+        start_trailing_checkouts(
+            event_stream(spark, sf_dir),
+            *_dimensions(spark, sf_dir),
+            root=root,
+            checkpoint=f"{root}/checkpoint",
+            timing=Timing(lookback=lookback),
+            trigger=trigger,
+        ).awaitTermination()
+        return root
+
+    root = _once(spark, "trailing", sf_dir, lookback, make=run)
+    return read_rows(spark, f"{root}/checkouts", CHECKOUTS)

@@ -96,6 +96,30 @@ PRODUCTS = TableContract(
     key=("product_id",),
 )
 
+CLICKS = TableContract(
+    _struct(click_id=_S, user_id=_S, click_time=_TS, click_at=_S, source=_S, ip=_S),
+    key=("click_id",),
+    event_time="click_time",
+)
+
+PURCHASES = TableContract(
+    _struct(
+        purchase_id=_S,
+        user_id=_S,
+        product_id=_S,
+        shipping_cost=MONEY,
+        discount=RATE,
+        total_cost=MONEY,
+        payment_method=_S,
+        quantity=UNITS,
+        payment_status=_S,
+        description=_S,
+        purchase_time=_TS,
+    ),
+    key=("purchase_id",),
+    event_time="purchase_time",
+)
+
 CHECKOUTS = TableContract(
     _struct(
         product_id=_S,

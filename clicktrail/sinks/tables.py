@@ -14,17 +14,23 @@ from clicktrail.schemas import TableContract
 from clicktrail.sources.tables import jdbc_options, read_jdbc, read_table
 
 
-def write_batch(rows: DataFrame, path: str, contract: TableContract, batch_id: int) -> None:
+def write_batch(
+    rows: DataFrame, path: str, contract: TableContract, batch_id: int, gather_days: bool = False
+) -> None:
     """One micro-batch into a Parquet table partitioned by day and batch.
 
     Replaying a batch overwrites the partitions of that batch and nothing
     else, so a restart neither repeats nor loses rows. Each table has one
-    writing query.
+    writing query. ``gather_days`` writes one file per day, for tables whose
+    rows per day are bounded, such as roll-ups.
     """
+    stored = conform(rows, contract).withColumns(
+        {"date": F.to_date(contract.event_time), "batch_id": F.lit(batch_id).cast("bigint")}
+    )
+    if gather_days:
+        stored = stored.repartition("date")
     (
-        conform(rows, contract)
-        .withColumns({"date": F.to_date(contract.event_time), "batch_id": F.lit(batch_id).cast("bigint")})
-        .write.mode("overwrite")
+        stored.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date", "batch_id")
         .parquet(path)

@@ -46,10 +46,17 @@ def checkout_stream(
     products: DataFrame,
     timing: Timing = Timing(),
     salts: int = 1,
+    redelivery: bool = False,
 ) -> DataFrame:
-    """Attributed checkouts out of a stream of click and purchase messages."""
+    """Attributed checkouts out of a stream of click and purchase messages.
+
+    ``redelivery`` drops events that a source sends again within the lateness.
+    """
     clicks = decode_clicks(events).withWatermark("click_time", timing.lateness)
     purchases = decode_purchases(events).withWatermark("purchase_time", timing.lateness)
+    if redelivery:
+        clicks = clicks.dropDuplicatesWithinWatermark(["click_id"])
+        purchases = purchases.dropDuplicatesWithinWatermark(["purchase_id"])
     return windowed_checkouts(clicks, purchases, users, products, timing.lookback, salts)
 
 
@@ -92,7 +99,8 @@ def rollup_writer(root: str) -> BatchWriter:
         cube.persist()
         try:
             for table, contract in ROLLUPS.items():
-                write_batch(rollup_from_cube(cube, table), f"{root}/{table}", contract, batch_id)
+                rows = rollup_from_cube(cube, table)
+                write_batch(rows, f"{root}/{table}", contract, batch_id, gather_days=True)
         finally:
             cube.unpersist()
 
@@ -108,6 +116,7 @@ def start_checkouts(
     timing: Timing = Timing(),
     trigger: Trigger = None,
     salts: int = 1,
+    redelivery: bool = False,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Attribute a stream and publish the checkouts topic.
@@ -116,7 +125,7 @@ def start_checkouts(
     exist once.
     """
     with stateful_stream_conf(events.sparkSession, state_partitions):
-        checkouts = checkout_stream(events, users, products, timing, salts)
+        checkouts = checkout_stream(events, users, products, timing, salts, redelivery)
         return write_topic(checkouts, topic_root, "checkouts", checkpoint, trigger)
 
 
