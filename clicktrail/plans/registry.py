@@ -27,7 +27,7 @@ from clicktrail.plans.streams import checkouts_table, rollup_tables, staged_topi
 from clicktrail.schemas import CHECKOUTS, PRODUCTS, ROLLUPS, USERS, TableContract
 from clicktrail.session import work_dir
 from clicktrail.sinks.tables import load_dimension
-from clicktrail.sources.tables import read_csv_table
+from clicktrail.sources.tables import CSV_OPTIONS, read_csv_table
 from clicktrail.sources.topics import read_topics
 from clicktrail.streaming.triggers import AVAILABLE_NOW
 
@@ -95,14 +95,14 @@ def dimension_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_roundtrip_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "products-csv")
-    views.products(spark, sf_dir).write.option("header", True).csv(path)
+    views.products(spark, sf_dir).write.options(**CSV_OPTIONS).csv(path)
     return at_edge(read_csv_table(spark, path, PRODUCTS))
 
 
 def _loaded(spark: SparkSession, rows: DataFrame, contract: TableContract) -> DataFrame:
     """CSV seed, dimension table, read back."""
     seed, table = work_dir(spark, "seed-csv"), work_dir(spark, "dimension")
-    rows.write.option("header", True).csv(seed)
+    rows.write.options(**CSV_OPTIONS).csv(seed)
     load_dimension(read_csv_table(spark, seed, contract), table, contract)
     return at_edge(spark.read.schema(contract.schema).parquet(table))
 

@@ -70,23 +70,24 @@ def drop_expired(
     read. Only the day of the cut-off is rewritten, batch by batch, and its
     batches that have nothing left are dropped. Every step can be repeated.
     """
-    table = read_table(spark, path, contract)
-    cut_day = spark.range(1).select(F.to_date(F.lit(as_of) - interval(keep))).first()[0]
+    cut_off = F.lit(as_of) - interval(keep)
+    cut_day = spark.range(1).select(F.to_date(cut_off)).first()[0]
     for day in _partition_days(spark, path):
         if day < cut_day:
             _delete(spark, f"{path}/date={day.isoformat()}")
 
-    boundary = table.where(F.col("date") == F.lit(cut_day))
-    kept = retain(boundary, as_of, keep)
-    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        "date", "batch_id"
-    ).parquet(path)
-    cut_off = F.lit(as_of) - interval(keep)
-    emptied = (
-        boundary.groupBy("batch_id").agg(F.max(contract.event_time).alias("last")).where(F.col("last") < cut_off)
-    )
+    boundary = read_table(spark, path, contract).where(F.col("date") == F.lit(cut_day))
+    newest = boundary.groupBy("batch_id").agg(F.max(contract.event_time).alias("newest"))
     # One row per micro-batch of a single day.
-    for (batch_id,) in emptied.select("batch_id").toLocalIterator():
+    emptied = newest.where(F.col("newest") < cut_off).select("batch_id").collect()
+    (
+        retain(boundary, as_of, keep)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "batch_id")
+        .parquet(path)
+    )
+    for (batch_id,) in emptied:
         _delete(spark, f"{path}/date={cut_day.isoformat()}/batch_id={batch_id}")
 
 

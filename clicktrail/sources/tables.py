@@ -28,10 +28,14 @@ def read_rows(spark: SparkSession, path: str, contract: TableContract) -> DataFr
     return read_table(spark, path, contract).select(*contract.columns)
 
 
+#: Header line, and quotes inside a quoted value doubled.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+
+
 def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV with a header line, every column a string, by position."""
+    """CSV with a header line, every column a string, by position; an empty value is NULL."""
     text = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    return spark.read.schema(text).option("header", True).option("enforceSchema", True).csv(path)
+    return spark.read.schema(text).options(**CSV_OPTIONS, enforceSchema="true").csv(path)
 
 
 def read_csv_table(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
