@@ -221,7 +221,7 @@ def _scan_backwards(points: DataFrame) -> DataFrame:
 
 
 def _carry(sliced: DataFrame) -> DataFrame:
-    """Per user and slice the first click of the nearest later slice that has one."""
+    """For slices with questions, the first click of the nearest later slice that has one."""
     later = (
         Window.partitionBy("user_id")
         .orderBy(F.desc("_slice"))
@@ -229,7 +229,8 @@ def _carry(sliced: DataFrame) -> DataFrame:
     )
     return (
         sliced.groupBy("user_id", "_slice")
-        .agg(F.min("_click").alias("_head"))
+        .agg(F.min("_click").alias("_head"), F.max("_asked").alias("_asked"))
         .withColumn("_carry", F.last("_head", ignorenulls=True).over(later))
+        .where("_asked AND _carry IS NOT NULL")
         .select("user_id", "_slice", "_carry")
     )
