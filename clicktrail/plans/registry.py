@@ -2,8 +2,8 @@
 
 Attribution queries run at the ten-minute lookback and, with suffix ``_1d``,
 at one day, where the generated events have many more matches. Roll-ups,
-reports and retention use one day. Reports and retention take the newest
-roll-up row as "now".
+reports and retention use one day. Reports and retention work on stored
+roll-up tables and take the newest row as "now".
 """
 
 from __future__ import annotations
@@ -19,14 +19,14 @@ from clicktrail.functions.codec import decode_clicks, decode_purchases, decode_r
 from clicktrail.operators import attribution, reports
 from clicktrail.operators.contracts import conform, key_violations
 from clicktrail.operators.enrich import enrich_purchases
-from clicktrail.operators.retention import retain
 from clicktrail.operators.rollups import rollup, rollup_cube, rollup_from_cube, with_status
 from clicktrail.plans import testdata_views as views
 from clicktrail.plans.checkouts import trailing_checkouts, windowed_checkouts
+from clicktrail.plans.stored import once, read_rollup, stored_cube, write_rollup
 from clicktrail.plans.streams import checkouts_table, rollup_tables, staged_topics, trailing_table
 from clicktrail.schemas import CHECKOUTS, PRODUCTS, ROLLUPS, USERS, TableContract
 from clicktrail.session import work_dir
-from clicktrail.sinks.tables import load_dimension
+from clicktrail.sinks.tables import drop_expired, load_dimension
 from clicktrail.sources.tables import CSV_OPTIONS, read_csv_table
 from clicktrail.sources.topics import read_topics
 from clicktrail.streaming.triggers import AVAILABLE_NOW
@@ -191,17 +191,33 @@ def single_pass(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return conform(rollup_from_cube(cube, table), ROLLUPS[table].zoneless())
 
 
+def stored_rollup(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """Path of a roll-up table as the reports find it; attribution runs once for all five."""
+
+    def make() -> str:
+        return write_rollup(spark, _cube(spark, sf_dir), table)
+
+    return once(spark, "rollup", table, sf_dir, make=make)
+
+
+def _cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored_cube(spark, trailing(spark, sf_dir, DAY), sf_dir)
+
+
 def retained(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    rows = rolled_up(spark, sf_dir, table)
-    return retain(rows, reports.latest(rows), KEEP)
+    """A stored roll-up table after expired days and rows were removed from it."""
+    path = write_rollup(spark, _cube(spark, sf_dir), table)
+    newest = read_rollup(spark, path, table).agg(F.max("time")).first()[0]
+    drop_expired(spark, path, ROLLUPS[table].zoneless(), newest, KEEP)
+    return read_rollup(spark, path, table)
 
 
 def report_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.report_revenue(rolled_up(spark, sf_dir, "revenue"))
+    return reports.report_revenue(read_rollup(spark, stored_rollup(spark, sf_dir, "revenue"), "revenue"))
 
 
 def count_report(spark: SparkSession, sf_dir: str, report, table: str) -> DataFrame:
-    rows = rolled_up(spark, sf_dir, table)
+    rows = read_rollup(spark, stored_rollup(spark, sf_dir, table), table)
     return report(rows, reports.latest(rows), REPORT_HORIZON)
 
 

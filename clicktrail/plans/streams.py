@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktrail.plans import testdata_views as views
+from clicktrail.plans.stored import once
 from clicktrail.schemas import CHECKOUTS, ROLLUPS
 from clicktrail.session import work_dir
 from clicktrail.sinks.topics import append_topic
@@ -30,17 +31,6 @@ from clicktrail.streaming.triggers import Trigger
 FLUSH_USER = "flush"
 FLUSH_TIME = "2100-01-01 00:00:00"
 
-_done: dict[tuple, str] = {}
-
-
-def _once(spark: SparkSession, *key: str, make) -> str:
-    """The folder that ``make`` filled the first time this session asked for it."""
-    full = (spark.sparkContext.applicationId, *key)
-    if full not in _done:
-        _done[full] = make()
-    return _done[full]
-
-
 def flush_messages(rows: DataFrame, encode, time: str) -> DataFrame:
     """One message with a time and placeholders, in the topic's own encoding.
 
@@ -60,7 +50,7 @@ def staged_topics(spark: SparkSession, sf_dir: str) -> str:
         append_topic(views.purchase_messages(views.purchases(spark, sf_dir)), root, "purchases")
         return root
 
-    return _once(spark, "topics", sf_dir, make=stage)
+    return once(spark, "topics", sf_dir, make=stage)
 
 
 def staged_flush(spark: SparkSession, sf_dir: str) -> str:
@@ -73,7 +63,7 @@ def staged_flush(spark: SparkSession, sf_dir: str) -> str:
         append_topic(flush_messages(purchases, views.purchase_messages, "purchase_time"), root, "purchases")
         return root
 
-    return _once(spark, "flush", sf_dir, make=stage)
+    return once(spark, "flush", sf_dir, make=stage)
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +98,7 @@ def checkouts_table(spark: SparkSession, sf_dir: str, lookback: str, trigger: Tr
         ).awaitTermination()
         return root
 
-    root = _once(spark, "checkouts", sf_dir, lookback, make=run)
+    root = once(spark, "checkouts", sf_dir, lookback, make=run)
     return read_rows(spark, f"{root}/table", CHECKOUTS)
 
 
@@ -123,7 +113,7 @@ def rollup_tables(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trig
         start_rollups(checkouts, root, f"{root}/checkpoint", trigger=trigger).awaitTermination()
         return root
 
-    root = _once(spark, "rollups", sf_dir, lookback, make=run)
+    root = once(spark, "rollups", sf_dir, lookback, make=run)
     return {table: read_rows(spark, f"{root}/{table}", contract) for table, contract in ROLLUPS.items()}
 
 
@@ -142,5 +132,5 @@ def trailing_table(spark: SparkSession, sf_dir: str, lookback: str, trigger: Tri
         ).awaitTermination()
         return root
 
-    root = _once(spark, "trailing", sf_dir, lookback, make=run)
+    root = once(spark, "trailing", sf_dir, lookback, make=run)
     return read_rows(spark, f"{root}/checkouts", CHECKOUTS)
