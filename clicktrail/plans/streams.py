@@ -15,6 +15,7 @@ from clicktrail.plans import testdata_views as views
 from clicktrail.plans.stored import once
 from clicktrail.schemas import CHECKOUTS, ROLLUPS
 from clicktrail.session import work_dir
+from clicktrail.sinks.tables import parquet_store
 from clicktrail.sinks.topics import append_topic
 from clicktrail.sources.tables import read_rows
 from clicktrail.sources.topics import read_topics
@@ -94,12 +95,12 @@ def checkouts_table(spark: SparkSession, sf_dir: str, lookback: str, trigger: Tr
             trigger=trigger,
         ).awaitTermination()
         start_checkout_table(
-            read_topics(spark, root, "checkouts"), f"{root}/table", f"{root}/checkpoints/table", trigger
+            read_topics(spark, root, "checkouts"), parquet_store(f"{root}/tables"), f"{root}/checkpoints/table", trigger
         ).awaitTermination()
         return root
 
     root = once(spark, "checkouts", sf_dir, lookback, make=run)
-    return read_rows(spark, f"{root}/table", CHECKOUTS)
+    return read_rows(spark, f"{root}/tables/checkouts", CHECKOUTS)
 
 
 def rollup_tables(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> dict[str, DataFrame]:
@@ -110,7 +111,8 @@ def rollup_tables(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trig
         checkouts = checkout_stream(
             event_stream(spark, sf_dir), *_dimensions(spark, sf_dir), timing=Timing(lookback=lookback)
         )
-        start_rollups(checkouts, root, f"{root}/checkpoint", trigger=trigger).awaitTermination()
+        store = parquet_store(root, gather_days=True)
+        start_rollups(checkouts, store, f"{root}/checkpoint", trigger=trigger).awaitTermination()
         return root
 
     root = once(spark, "rollups", sf_dir, lookback, make=run)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -37,11 +38,15 @@ def work_dir(spark: SparkSession, *parts: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="clicktrail-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder(spark.sparkContext.applicationId)
     return "/".join([base.rstrip("/"), "clicktrail", *parts, uuid.uuid4().hex])
 
 
+@functools.cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"clicktrail-{application}-")
+
+
 @contextlib.contextmanager
 def stateful_stream_conf(spark: SparkSession, state_partitions: int | None = None) -> Iterator[None]:
     """Settings that a stateful query freezes into its checkpoint when it starts.

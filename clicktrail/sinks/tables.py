@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clicktrail.functions.temporal import interval
 from clicktrail.operators.contracts import conform, new_rows
 from clicktrail.operators.retention import KEEP, retain
-from clicktrail.functions.temporal import interval
 from clicktrail.schemas import TableContract
 from clicktrail.sources.tables import jdbc_options, read_jdbc, read_table
 
@@ -42,23 +43,46 @@ def load_dimension(rows: DataFrame, path: str, contract: TableContract) -> None:
     conform(rows, contract).write.mode("overwrite").parquet(path)
 
 
-def append_jdbc(
-    rows: DataFrame, url: str, table: str, contract: TableContract, **options: str
-) -> None:
+def append_jdbc(rows: DataFrame, url: str, table: str, contract: TableContract, **options: str) -> None:
     """Append the rows a database table lacks.
 
     The stored keys are read only for the batch's own time range. A replay
     after a crash, whole or half-way, finds its earlier rows and adds the rest.
     """
-    spark = rows.sparkSession
-    batch = conform(rows, contract)
-    time = contract.event_time
-    first, last = batch.agg(F.min(time), F.max(time)).first()
-    if first is None:
-        return
-    stored = read_jdbc(spark, url, table, **options).where(F.col(time).between(F.lit(first), F.lit(last)))
-    missing = new_rows(batch, stored, contract.key)
-    missing.write.format("jdbc").options(**jdbc_options(url, table, **options)).mode("append").save()
+    batch = conform(rows, contract).persist()
+    try:
+        time = contract.event_time
+        first, last = batch.agg(F.min(time), F.max(time)).first()
+        if first is None:
+            return
+        stored = read_jdbc(rows.sparkSession, url, table, **options)
+        stored = stored.where(F.col(time).between(F.lit(first), F.lit(last)))
+        missing = new_rows(batch, stored, contract.key)
+        missing.write.format("jdbc").options(**jdbc_options(url, table, **options)).mode("append").save()
+    finally:
+        batch.unpersist()
+
+
+#: Stores the rows of one micro-batch in the table of a given name.
+Store = Callable[[DataFrame, str, TableContract, int], None]
+
+
+def parquet_store(root: str, gather_days: bool = False) -> Store:
+    """Parquet tables in folders of ``root`` named after the table."""
+
+    def store(rows: DataFrame, table: str, contract: TableContract, batch_id: int) -> None:
+        write_batch(rows, f"{root}/{table}", contract, batch_id, gather_days)
+
+    return store
+
+
+def jdbc_store(url: str, schema: str, **options: str) -> Store:
+    """Tables of a database schema."""
+
+    def store(rows: DataFrame, table: str, contract: TableContract, batch_id: int) -> None:
+        append_jdbc(rows, url, f"{schema}.{table}", contract, **options)
+
+    return store
 
 
 def drop_expired(

@@ -24,7 +24,7 @@ from clicktrail.operators.rollups import WINDOW, rollup_cube, rollup_from_cube
 from clicktrail.plans.checkouts import windowed_checkouts
 from clicktrail.schemas import CHECKOUT_MESSAGE, CHECKOUTS, ROLLUPS, TableContract
 from clicktrail.session import stateful_stream_conf
-from clicktrail.sinks.tables import write_batch
+from clicktrail.sinks.tables import Store
 from clicktrail.sinks.topics import write_topic
 from clicktrail.streaming.triggers import ROLLUP_TRIGGER, Trigger, with_trigger
 
@@ -82,12 +82,12 @@ def write_tables(
     return with_trigger(writer, trigger).start()
 
 
-def table_writer(path: str, contract: TableContract) -> BatchWriter:
+def table_writer(store: Store, table: str, contract: TableContract) -> BatchWriter:
     """Writes each micro-batch to one table."""
-    return lambda batch, batch_id: write_batch(batch, path, contract, batch_id)
+    return lambda batch, batch_id: store(batch, table, contract, batch_id)
 
 
-def rollup_writer(root: str) -> BatchWriter:
+def rollup_writer(store: Store) -> BatchWriter:
     """Writes each micro-batch of the roll-up cube to the five roll-up tables.
 
     A window's rows all arrive in the batch that closes it, so the sums over a
@@ -99,8 +99,7 @@ def rollup_writer(root: str) -> BatchWriter:
         cube.persist()
         try:
             for table, contract in ROLLUPS.items():
-                rows = rollup_from_cube(cube, table)
-                write_batch(rows, f"{root}/{table}", contract, batch_id, gather_days=True)
+                store(rollup_from_cube(cube, table), table, contract, batch_id)
         finally:
             cube.unpersist()
 
@@ -130,28 +129,30 @@ def start_checkouts(
 
 
 def start_checkout_table(
-    events: DataFrame, path: str, checkpoint: str, trigger: Trigger = None
+    events: DataFrame, store: Store, checkpoint: str, trigger: Trigger = None
 ) -> StreamingQuery:
-    """Keep the checkouts table up to date with the checkouts topic."""
+    """Keep the table ``checkouts`` of a store up to date with the checkouts topic."""
     rows = decode_rows(events, "checkouts", CHECKOUT_MESSAGE)
-    return write_tables(rows, table_writer(path, CHECKOUTS), checkpoint, trigger, "checkouts table")
+    write = table_writer(store, "checkouts", CHECKOUTS)
+    return write_tables(rows, write, checkpoint, trigger, "checkouts table")
 
 
 def start_rollups(
     checkouts: DataFrame,
-    root: str,
+    store: Store,
     checkpoint: str,
     window: str = WINDOW,
     trigger: Trigger = ROLLUP_TRIGGER,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Maintain the five roll-up tables from a stream of checkouts.
+    """Maintain the five roll-up tables of a store from a stream of checkouts.
 
     ``checkouts`` is either :func:`checkout_stream`, which chains attribution
     and roll-up in one query, or :func:`checkouts_of_topic`.
     """
     with stateful_stream_conf(checkouts.sparkSession, state_partitions):
-        return write_tables(rollup_cube(checkouts, window), rollup_writer(root), checkpoint, trigger, "roll-ups")
+        cube = rollup_cube(checkouts, window)
+        return write_tables(cube, rollup_writer(store), checkpoint, trigger, "roll-ups")
 
 
 def await_any(spark: SparkSession) -> None:

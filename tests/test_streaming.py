@@ -13,6 +13,7 @@ from clicktrail.operators.rollups import rollup
 from clicktrail.plans.checkouts import trailing_checkouts, windowed_checkouts
 from clicktrail.schemas import CHECKOUTS, ROLLUPS
 from clicktrail.session import stateful_stream_conf, work_dir
+from clicktrail.sinks.tables import parquet_store
 from clicktrail.sinks.topics import append_topic
 from clicktrail.sources.tables import read_rows
 from clicktrail.sources.topics import load_topics, read_topics
@@ -143,7 +144,7 @@ def test_chained_rollups_equal_batch(spark, replay, dims, batch):
     *_, expected = batch
     root = work_dir(spark, "rollups")
     checkouts = checkout_stream(read_topics(spark, replay, BOTH, files_per_batch=1), *dims)
-    query = run(start_rollups(checkouts, root, f"{root}/cp", trigger=AVAILABLE_NOW))
+    query = run(start_rollups(checkouts, parquet_store(root), f"{root}/cp", trigger=AVAILABLE_NOW))
     assert late_rows(query) == 0
     for table, contract in ROLLUPS.items():
         got, want = read_rows(spark, f"{root}/{table}", contract), rollup(expected, table)
@@ -166,11 +167,11 @@ def test_table_and_rollups_from_the_checkouts_topic(spark, replay, dims, batch):
     run(start_checkouts(read_topics(spark, replay, BOTH), *dims, root, f"{root}/cp1", trigger=AVAILABLE_NOW))
     for _ in range(2):  # the second run has nothing left to do
         topic = read_topics(spark, root, "checkouts")
-        run(start_checkout_table(topic, f"{root}/table", f"{root}/cp2", AVAILABLE_NOW))
+        run(start_checkout_table(topic, parquet_store(f"{root}/t"), f"{root}/cp2", AVAILABLE_NOW))
         keys = ("purchase_id", "click_id")
-        assert rows(read_rows(spark, f"{root}/table", CHECKOUTS), *keys) == rows(expected, *keys)
+        assert rows(read_rows(spark, f"{root}/t/checkouts", CHECKOUTS), *keys) == rows(expected, *keys)
     checkouts = checkouts_of_topic(read_topics(spark, root, "checkouts"))
-    query = run(start_rollups(checkouts, f"{root}/rolled", f"{root}/cp3", trigger=AVAILABLE_NOW))
+    query = run(start_rollups(checkouts, parquet_store(f"{root}/rolled"), f"{root}/cp3", trigger=AVAILABLE_NOW))
     assert late_rows(query) == 0
     newest = expected.agg(F.max("purchase_time")).first()[0]
     closed = rollup(expected, "source_count").where(F.col("time") <= F.lit(newest - 20 * MINUTE))
