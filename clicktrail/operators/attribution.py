@@ -84,26 +84,27 @@ def interval_attribution(
 ) -> DataFrame:
     """Purchases joined to first clicks with click <= purchase <= click + lookback.
 
-    ``first_clicks`` is the result of :func:`first_click_per_window`: at most
-    one row per user and tumbling window of the lookback length. A click can
-    only serve purchases of its own bucket and the next, so each click is
-    listed under those two and the join is an equi-join on (user, bucket) with
-    the range as a residual: a user's history is cut into buckets, a purchase
-    meets at most two candidates, and batch skew handling can split a hot
-    bucket's purchases. Micro-batches have no skew handling, so streams may
-    spread each key's purchases over ``salts`` tasks and repeat the few first
-    clicks once per task.
-
-    The range on ``closes_at`` follows from the range on ``click_time`` and
-    never changes the result; a stream needs it to bound the join state.
+    ``first_clicks`` holds at most one row per user and tumbling window of the
+    lookback length. A click can only serve purchases of its own bucket and
+    the next, so each click is listed under those two and the join is an
+    equi-join on (user, bucket) with the range as a residual: a user's history
+    is cut into buckets, a purchase meets at most two candidates, and batch
+    skew handling can split a hot bucket's purchases. Micro-batches have no
+    skew handling, so streams may spread each key's purchases over ``salts``
+    tasks and repeat the few first clicks once per task.
+
+    The event time of streamed :func:`first_click_per_window` rows is
+    ``closes_at``. The range on it follows from the range on ``click_time``
+    and never changes the result; a stream needs it to bound the join state.
     """
     length = interval(lookback)
     start = bucket_start("click_time", lookback)
     bought = F.col("purchase_time")
+    windowed = "closes_at" in first_clicks.columns
     candidates = first_clicks.select(
         F.col("user_id").alias("_user"),
         F.explode(F.array(start, start + length)).alias("_reach"),
-        "closes_at",
+        *(["closes_at"] if windowed else []),
         *CLICK_PAYLOAD,
     )
     keyed = purchases.withColumn("_bucket", bucket_start("purchase_time", lookback))
@@ -111,8 +112,9 @@ def interval_attribution(
         (F.col("user_id") == F.col("_user"))
         & (F.col("_bucket") == F.col("_reach"))
         & bought.between(F.col("click_time"), F.col("click_time") + length)
-        & bought.between(F.col("closes_at") - length, F.col("closes_at") + length)
     )
+    if windowed:
+        condition = condition & bought.between(F.col("closes_at") - length, F.col("closes_at") + length)
     if salts > 1:
         candidates = candidates.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64("purchase_id"), F.lit(salts)).cast("int"))

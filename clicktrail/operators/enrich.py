@@ -14,18 +14,34 @@ INPUTS_ONLY = ("price", "discount", "shipping_cost", "commission_rate")
 def join_dimension(facts: DataFrame, dimension: DataFrame, key: str, salts: int = 1) -> DataFrame:
     """Inner join of facts to a dimension that is unique on ``key``.
 
-    There is no broadcast hint: Spark broadcasts the dimension when its size
-    is known to be under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise
-    shuffles both sides, where batch skew handling splits a hot key's facts.
-    Micro-batches of stateful streams have no skew handling, so there
-    ``salts`` > 1 spreads every key's facts over that many tasks and repeats
-    each dimension row once per task.
+    In batch Spark itself broadcasts the dimension when its size is under
+    ``spark.sql.autoBroadcastJoinThreshold``; otherwise both sides shuffle and
+    skew handling splits the facts of a hot key. A micro-batch has neither
+    run-time sizes nor skew handling: a batch without new input even looks
+    empty to the planner while its state is releasing rows. So a stream states
+    the side: the dimension is broadcast when its own size passes the same
+    threshold and merge-joined when not, and then ``salts`` > 1 spreads every
+    key's facts over that many tasks and repeats each dimension row once per
+    task.
     """
-    if salts <= 1:
-        return facts.join(dimension, key)
-    facts = facts.withColumn("_salt", F.pmod(F.xxhash64("purchase_id"), F.lit(salts)).cast("int"))
-    dimension = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return facts.join(dimension, [key, "_salt"]).drop("_salt")
+    small = facts.isStreaming and _is_small(dimension)
+    if small:
+        return facts.join(F.broadcast(dimension), key)
+    keys = [key]
+    if salts > 1:
+        keys.append("_salt")
+        facts = facts.withColumn("_salt", F.pmod(F.xxhash64("purchase_id"), F.lit(salts)).cast("int"))
+        dimension = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if facts.isStreaming:
+        dimension = dimension.hint("merge")
+    return facts.join(dimension, keys).drop("_salt")
+
+
+def _is_small(table: DataFrame) -> bool:
+    """Whether the planner's size estimate of a table is under the broadcast threshold."""
+    threshold = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    estimate = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) <= threshold
 
 
 def with_order_total(purchases: DataFrame) -> DataFrame:

@@ -35,7 +35,19 @@ def windowed_checkouts(
     appears twice.
     """
     firsts = first_click_per_window(clicks, lookback)
-    attributed = interval_attribution(purchases, firsts, lookback, salts)
+    return checkouts_of_first_clicks(firsts, purchases, users, products, lookback, salts)
+
+
+def checkouts_of_first_clicks(
+    first_clicks: DataFrame,
+    purchases: DataFrame,
+    users: DataFrame,
+    products: DataFrame,
+    lookback: str = LOOKBACK,
+    salts: int = 1,
+) -> DataFrame:
+    """Checkouts against first clicks that were picked before."""
+    attributed = interval_attribution(purchases, first_clicks, lookback, salts)
     return enrich_purchases(attributed, users, products, salts).select(*CHECKOUTS.columns)
 
 

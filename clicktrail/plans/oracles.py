@@ -229,6 +229,9 @@ FROM checkouts GROUP BY purchase_id HAVING count(*) > 1 OR purchase_id IS NULL""
   CAST(profit AS DOUBLE) AS profit FROM enriched""",
         "successful_checkouts": f"{trailing_day} SELECT {_CONFORMED} FROM checkouts WHERE payment_status = 'success'",
         "failed_checkouts": f"{trailing_day} SELECT {_CONFORMED} FROM checkouts WHERE payment_status = 'failure'",
+        "stream_final_clicks": _with(CLICKS, _final_clicks(TEN_MINUTES))
+        + """SELECT CAST(click_id AS VARCHAR) AS click_id, CAST(user_id AS VARCHAR) AS user_id,
+  click_time, click_at, source, ip FROM final_clicks""",
         "stream_checkouts_sink": conformed_day,
         "stream_first_click_attribution": conformed_trailing,
     }

@@ -23,7 +23,13 @@ from clicktrail.operators.rollups import rollup, rollup_cube, rollup_from_cube,
 from clicktrail.plans import testdata_views as views
 from clicktrail.plans.checkouts import trailing_checkouts, windowed_checkouts
 from clicktrail.plans.stored import once, read_rollup, stored_cube, write_rollup
-from clicktrail.plans.streams import checkouts_table, rollup_tables, staged_topics, trailing_table
+from clicktrail.plans.streams import (
+    checkouts_table,
+    final_clicks_topic,
+    rollup_tables,
+    staged_topics,
+    trailing_table,
+)
 from clicktrail.schemas import CHECKOUTS, PRODUCTS, ROLLUPS, USERS, TableContract
 from clicktrail.session import work_dir
 from clicktrail.sinks.tables import drop_expired, load_dimension
@@ -224,6 +230,10 @@ def count_report(spark: SparkSession, sf_dir: str, report, table: str) -> DataFr
 # --- streams ---------------------------------------------------------------------
 
 
+def stream_final_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return at_edge(final_clicks_topic(spark, sf_dir, TEN_MINUTES, AVAILABLE_NOW))
+
+
 def stream_checkouts_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return at_edge(checkouts_table(spark, sf_dir, DAY, AVAILABLE_NOW))
 
@@ -255,6 +265,7 @@ def all_queries() -> dict[str, Query]:
         "enrich_purchases": enriched,
         "successful_checkouts": partial(checkouts_with_status, status="success"),
         "failed_checkouts": partial(checkouts_with_status, status="failure"),
+        "stream_final_clicks": stream_final_clicks,
         "stream_checkouts_sink": stream_checkouts_sink,
         "stream_first_click_attribution": stream_first_click_attribution,
     }

@@ -11,19 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clicktrail.functions.codec import decode_clicks
 from clicktrail.plans import testdata_views as views
 from clicktrail.plans.stored import once
-from clicktrail.schemas import CHECKOUTS, ROLLUPS
+from clicktrail.schemas import CHECKOUTS, CLICKS, PRODUCTS, ROLLUPS, USERS
 from clicktrail.session import work_dir
-from clicktrail.sinks.tables import parquet_store
+from clicktrail.sinks.tables import load_dimension, parquet_store
 from clicktrail.sinks.topics import append_topic
 from clicktrail.sources.tables import read_rows
-from clicktrail.sources.topics import read_topics
+from clicktrail.sources.topics import load_topics, read_topics
 from clicktrail.streaming.pipeline import (
     Timing,
     checkout_stream,
     start_checkout_table,
     start_checkouts,
+    start_final_clicks,
     start_rollups,
 )
 from clicktrail.streaming.trailing import start_trailing_checkouts
@@ -67,28 +69,55 @@ def staged_flush(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, "flush", sf_dir, make=stage)
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    real = read_topics(spark, staged_topics(spark, sf_dir), "clicks, purchases")
-    return real.unionByName(read_topics(spark, staged_flush(spark, sf_dir), "clicks, purchases"))
+def event_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Click and purchase messages, each with its flush message."""
 
+    def one(topic: str) -> DataFrame:
+        real = read_topics(spark, staged_topics(spark, sf_dir), topic)
+        return real.unionByName(read_topics(spark, staged_flush(spark, sf_dir), topic))
 
-def _dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    users, products = views.users(spark, sf_dir), views.products(spark, sf_dir)
+    return one("clicks"), one("purchases")
+
+
+def loaded_dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Users and products as stored tables, whose size the planner knows."""
+
+    def load() -> str:
+        root = work_dir(spark, "dimensions")
+        load_dimension(views.users(spark, sf_dir), f"{root}/users", USERS)
+        load_dimension(views.products(spark, sf_dir), f"{root}/products", PRODUCTS)
+        return root
+
+    root = once(spark, "dimensions", sf_dir, make=load)
     return (
-        users.withColumn("user_id", F.col("user_id").cast("string")),
-        products.withColumn("product_id", F.col("product_id").cast("string")),
+        spark.read.schema(USERS.schema).parquet(f"{root}/users"),
+        spark.read.schema(PRODUCTS.schema).parquet(f"{root}/products"),
     )
 
 
+def final_clicks_topic(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> DataFrame:
+    """Click topic to final-clicks topic, decoded."""
+
+    def run() -> str:
+        root = work_dir(spark, "final-clicks-stream")
+        clicks, _ = event_streams(spark, sf_dir)
+        start_final_clicks(
+            clicks, root, f"{root}/checkpoint", Timing(lookback=lookback), trigger
+        ).awaitTermination()
+        return root
+
+    root = once(spark, "final-clicks", sf_dir, lookback, make=run)
+    return decode_clicks(load_topics(spark, root, "final_clicks"), "final_clicks", CLICKS.columns)
+
+
 def checkouts_table(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> DataFrame:
     """Topics to checkouts topic to checkouts table, by two streaming queries."""
 
     def run() -> str:
         root = work_dir(spark, "checkouts-stream")
-        events = event_stream(spark, sf_dir)
         start_checkouts(
-            events,
-            *_dimensions(spark, sf_dir),
+            *event_streams(spark, sf_dir),
+            *loaded_dimensions(spark, sf_dir),
             topic_root=root,
             checkpoint=f"{root}/checkpoints/attribution",
             timing=Timing(lookback=lookback),
@@ -109,7 +138,7 @@ def rollup_tables(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trig
     def run() -> str:
         root = work_dir(spark, "rollup-stream")
         checkouts = checkout_stream(
-            event_stream(spark, sf_dir), *_dimensions(spark, sf_dir), timing=Timing(lookback=lookback)
+            *event_streams(spark, sf_dir), *loaded_dimensions(spark, sf_dir), timing=Timing(lookback=lookback)
         )
         store = parquet_store(root, gather_days=True)
         start_rollups(checkouts, store, f"{root}/checkpoint", trigger=trigger).awaitTermination()
@@ -125,8 +154,8 @@ def trailing_table(spark: SparkSession, sf_dir: str, lookback: str, trigger: Tri
     def run() -> str:
         root = work_dir(spark, "trailing-stream")
         start_trailing_checkouts(
-            event_stream(spark, sf_dir),
-            *_dimensions(spark, sf_dir),
+            *event_streams(spark, sf_dir),
+            *loaded_dimensions(spark, sf_dir),
             root=root,
             checkpoint=f"{root}/checkpoint",
             timing=Timing(lookback=lookback),

@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from clicktrail.functions.codec import decode_clicks, decode_purchases, decode_rows
-from clicktrail.operators.attribution import LOOKBACK
+from clicktrail.operators.attribution import LOOKBACK, final_clicks
 from clicktrail.operators.rollups import WINDOW, rollup_cube, rollup_from_cube
-from clicktrail.plans.checkouts import windowed_checkouts
-from clicktrail.schemas import CHECKOUT_MESSAGE, CHECKOUTS, ROLLUPS, TableContract
+from clicktrail.plans.checkouts import checkouts_of_first_clicks, windowed_checkouts
+from clicktrail.schemas import CHECKOUT_MESSAGE, CHECKOUTS, CLICKS, ROLLUPS, TableContract
 from clicktrail.session import stateful_stream_conf
 from clicktrail.sinks.tables import Store
 from clicktrail.sinks.topics import write_topic
@@ -41,25 +41,45 @@ class Timing:
 
 
 def checkout_stream(
-    events: DataFrame,
+    click_events: DataFrame,
+    purchase_events: DataFrame,
     users: DataFrame,
     products: DataFrame,
     timing: Timing = Timing(),
     salts: int = 1,
     redelivery: bool = False,
 ) -> DataFrame:
-    """Attributed checkouts out of a stream of click and purchase messages.
+    """Attributed checkouts out of streams of click and purchase messages.
 
-    ``redelivery`` drops events that a source sends again within the lateness.
+    Each topic has its own scan; a shared subscription may be passed twice, and
+    is then read twice. ``redelivery`` drops events that a source sends again within the lateness.
     """
-    clicks = decode_clicks(events).withWatermark("click_time", timing.lateness)
-    purchases = decode_purchases(events).withWatermark("purchase_time", timing.lateness)
+    clicks = decode_clicks(click_events).withWatermark("click_time", timing.lateness)
+    purchases = decode_purchases(purchase_events).withWatermark("purchase_time", timing.lateness)
     if redelivery:
         clicks = clicks.dropDuplicatesWithinWatermark(["click_id"])
         purchases = purchases.dropDuplicatesWithinWatermark(["purchase_id"])
     return windowed_checkouts(clicks, purchases, users, products, timing.lookback, salts)
 
 
+def checkout_stream_of_final_clicks(
+    final_click_events: DataFrame,
+    purchase_events: DataFrame,
+    users: DataFrame,
+    products: DataFrame,
+    timing: Timing = Timing(),
+    salts: int = 1,
+) -> DataFrame:
+    """Attributed checkouts when first clicks come from their own topic.
+
+    That topic is out of order by at most one window, the lookback.
+    """
+    clicks = decode_clicks(final_click_events, "final_clicks", CLICKS.columns)
+    clicks = clicks.withWatermark("click_time", timing.lookback)
+    purchases = decode_purchases(purchase_events).withWatermark("purchase_time", timing.lateness)
+    return checkouts_of_first_clicks(clicks, purchases, users, products, timing.lookback, salts)
+
+
 def checkouts_of_topic(events: DataFrame, topic: str = "checkouts", lateness: str = "20 minutes") -> DataFrame:
     """Checkouts read back from their topic; ``lateness`` is twice the lookback.
 
@@ -106,8 +126,25 @@ def rollup_writer(store: Store) -> BatchWriter:
     return write
 
 
+def start_final_clicks(
+    click_events: DataFrame,
+    topic_root: str,
+    checkpoint: str,
+    timing: Timing = Timing(),
+    trigger: Trigger = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Publish the first click of each user and window on its own topic."""
+    with stateful_stream_conf(click_events.sparkSession, state_partitions):
+        clicks = decode_clicks(click_events).withWatermark("click_time", timing.lateness)
+        return write_topic(
+            final_clicks(clicks, timing.lookback), topic_root, "final_clicks", checkpoint, trigger
+        )
+
+
 def start_checkouts(
-    events: DataFrame,
+    click_events: DataFrame,
+    purchase_events: DataFrame,
     users: DataFrame,
     products: DataFrame,
     topic_root: str,
@@ -118,13 +155,15 @@ def start_checkouts(
     redelivery: bool = False,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Attribute a stream and publish the checkouts topic.
+    """Attribute purchases to clicks and publish the checkouts topic.
 
     The table and the roll-ups read that topic, so the join and its state
     exist once.
     """
-    with stateful_stream_conf(events.sparkSession, state_partitions):
-        checkouts = checkout_stream(events, users, products, timing, salts, redelivery)
+    with stateful_stream_conf(click_events.sparkSession, state_partitions):
+        checkouts = checkout_stream(
+            click_events, purchase_events, users, products, timing, salts, redelivery
+        )
         return write_topic(checkouts, topic_root, "checkouts", checkpoint, trigger)
 
 

@@ -29,15 +29,15 @@ from clicktrail.streaming.triggers import Trigger
 CLICK, PURCHASE = "click", "purchase"
 
 
-def settled_events(events: DataFrame, timing: Timing = Timing()) -> DataFrame:
+def settled_events(click_events: DataFrame, purchase_events: DataFrame, timing: Timing = Timing()) -> DataFrame:
     """Clicks and purchases, once each, when no earlier event can follow any more."""
-    clicks = decode_clicks(events).select(
+    clicks = decode_clicks(click_events).select(
         F.lit(CLICK).alias("kind"),
         F.col("click_id").alias("id"),
         F.col("click_time").alias("at"),
         F.struct(*CLICKS.columns).alias(CLICK),
     )
-    purchases = decode_purchases(events).select(
+    purchases = decode_purchases(purchase_events).select(
         F.lit(PURCHASE).alias("kind"),
         F.col("purchase_id").alias("id"),
         F.col("purchase_time").alias("at"),
@@ -91,7 +91,8 @@ def settlement_writer(users: DataFrame, products: DataFrame, root: str, lookback
 
 
 def start_trailing_checkouts(
-    events: DataFrame,
+    click_events: DataFrame,
+    purchase_events: DataFrame,
     users: DataFrame,
     products: DataFrame,
     root: str,
@@ -101,9 +102,9 @@ def start_trailing_checkouts(
     state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Keep click, purchase and trailing-checkout tables under ``root`` up to date."""
-    with stateful_stream_conf(events.sparkSession, state_partitions):
+    with stateful_stream_conf(click_events.sparkSession, state_partitions):
         return write_tables(
-            settled_events(events, timing),
+            settled_events(click_events, purchase_events, timing),
             settlement_writer(users, products, root, timing.lookback),
             checkpoint,
             trigger,

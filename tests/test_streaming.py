@@ -20,10 +20,12 @@ from clicktrail.sources.topics import load_topics, read_topics
 from clicktrail.streaming.pipeline import (
     Timing,
     checkout_stream,
+    checkout_stream_of_final_clicks,
     checkouts_of_topic,
     late_rows,
     start_checkout_table,
     start_checkouts,
+    start_final_clicks,
     start_rollups,
     state_rows,
 )
@@ -121,6 +123,11 @@ def batch(spark, replay, dims):
     return c, p, windowed_checkouts(c, p, *dims).cache()
 
 
+def streams(spark, root, files_per_batch=None):
+    """The click and the purchase topic."""
+    return [read_topics(spark, root, topic, files_per_batch) for topic in ENCODE]
+
+
 def run(query):
     query.awaitTermination()
     return query
@@ -130,8 +137,8 @@ def test_checkouts_stream_equals_batch_for_any_chunking(spark, replay, dims, bat
     *_, expected = batch
     for files, salts in ((1, 1), (None, 3)):
         root = work_dir(spark, "out")
-        events = read_topics(spark, replay, BOTH, files_per_batch=files)
-        query = run(start_checkouts(events, *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW, salts=salts))
+        events = streams(spark, replay, files)
+        query = run(start_checkouts(*events, *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW, salts=salts))
         got = decode_rows(load_topics(spark, root, "checkouts"), "checkouts", CHECKOUTS.schema)
         keys = ("purchase_id", "click_id", "click_time", "purchase_time", "total_cost", "profit", "name")
         want = expected.withColumns({m: F.col(m).cast("double") for m in ("total_cost", "profit")})
@@ -143,7 +150,7 @@ def test_checkouts_stream_equals_batch_for_any_chunking(spark, replay, dims, bat
 def test_chained_rollups_equal_batch(spark, replay, dims, batch):
     *_, expected = batch
     root = work_dir(spark, "rollups")
-    checkouts = checkout_stream(read_topics(spark, replay, BOTH, files_per_batch=1), *dims)
+    checkouts = checkout_stream(*streams(spark, replay, 1), *dims)
     query = run(start_rollups(checkouts, parquet_store(root), f"{root}/cp", trigger=AVAILABLE_NOW))
     assert late_rows(query) == 0
     for table, contract in ROLLUPS.items():
@@ -155,8 +162,8 @@ def test_chained_rollups_equal_batch(spark, replay, dims, batch):
 
 def test_state_is_bounded_and_empty_after_the_flush(spark, replay, dims):
     root = work_dir(spark, "state")
-    events = read_topics(spark, replay, BOTH, files_per_batch=1)
-    query = run(start_checkouts(events, *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW))
+    events = streams(spark, replay, 1)
+    query = run(start_checkouts(*events, *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW))
     held = [sum(s.numRowsTotal for s in p.stateOperators) for p in query.recentProgress]
     assert max(held) < 600 and state_rows(query) <= 2  # the two flush events
 
@@ -164,7 +171,7 @@ def test_state_is_bounded_and_empty_after_the_flush(spark, replay, dims):
 def test_table_and_rollups_from_the_checkouts_topic(spark, replay, dims, batch):
     *_, expected = batch
     root = work_dir(spark, "topic")
-    run(start_checkouts(read_topics(spark, replay, BOTH), *dims, root, f"{root}/cp1", trigger=AVAILABLE_NOW))
+    run(start_checkouts(*streams(spark, replay), *dims, root, f"{root}/cp1", trigger=AVAILABLE_NOW))
     for _ in range(2):  # the second run has nothing left to do
         topic = read_topics(spark, root, "checkouts")
         run(start_checkout_table(topic, parquet_store(f"{root}/t"), f"{root}/cp2", AVAILABLE_NOW))
@@ -178,6 +185,21 @@ def test_table_and_rollups_from_the_checkouts_topic(spark, replay, dims, batch):
     assert rows(read_rows(spark, f"{root}/rolled/source_count", ROLLUPS["source_count"])) == rows(closed) != []
 
 
+def test_first_clicks_on_their_own_topic(spark, dims, batch, replay):
+    """Entry by entry: clicks to final clicks, then purchases against that topic."""
+    *_, expected = batch
+    root = work_dir(spark, "entries")
+    run(start_final_clicks(streams(spark, replay, 1)[0], root, f"{root}/cp1", trigger=AVAILABLE_NOW))
+    last = {"click_id": "x", "user_id": "stranger", "click_time": FAR.isoformat()}
+    append_topic(spark.createDataFrame([(json.dumps(last),)], "value STRING"), f"{root}/more", "final_clicks")
+    firsts = read_topics(spark, root, "final_clicks").unionByName(read_topics(spark, f"{root}/more", "final_clicks"))
+    checkouts = checkout_stream_of_final_clicks(firsts, streams(spark, replay)[1], *dims)
+    query = run(start_rollups(checkouts, parquet_store(root), f"{root}/cp2", trigger=AVAILABLE_NOW))
+    assert late_rows(query) == 0
+    table = "category_count"
+    assert rows(read_rows(spark, f"{root}/{table}", ROLLUPS[table])) == rows(rollup(expected, table)) != []
+
+
 def test_restart_continues_without_repeats(spark, dims):
     root, events = work_dir(spark, "restart"), make_events(seed=3)
     parts = chunks(events, 3)
@@ -186,8 +208,8 @@ def test_restart_continues_without_repeats(spark, dims):
             flush(spark, root)
         else:
             publish(spark, root, part)
-        stream = read_topics(spark, root, BOTH)
-        run(start_checkouts(stream, *dims, f"{root}/out", f"{root}/cp", trigger=AVAILABLE_NOW))
+        stream = streams(spark, root)
+        run(start_checkouts(*stream, *dims, f"{root}/out", f"{root}/cp", trigger=AVAILABLE_NOW))
     messages = load_topics(spark, root, BOTH)
     expected = windowed_checkouts(decode_clicks(messages), decode_purchases(messages), *dims)
     got = decode_rows(load_topics(spark, f"{root}/out", "checkouts"), "checkouts", CHECKOUTS.schema)
@@ -197,8 +219,8 @@ def test_restart_continues_without_repeats(spark, dims):
 def test_trailing_stream_equals_batch(spark, replay, dims, batch):
     c, p, _ = batch
     root = work_dir(spark, "trailing")
-    events = read_topics(spark, replay, BOTH, files_per_batch=1)
-    query = run(start_trailing_checkouts(events, *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW))
+    events = streams(spark, replay, 1)
+    query = run(start_trailing_checkouts(*events, *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW))
     assert late_rows(query) == 0
     got = read_rows(spark, f"{root}/checkouts", CHECKOUTS)
     keys = ("purchase_id", "click_id", "source")
@@ -212,8 +234,8 @@ def test_late_events_are_dropped_and_counted(spark, dims):
     flush(spark, root, NOON + 61 * MINUTE)
     publish(spark, root, [(NOON - MINUTE, "clicks", 2, "a"), (NOON + 62 * MINUTE, "purchases", 2, "a")])
     flush(spark, root)
-    events = read_topics(spark, root, BOTH, files_per_batch=1)
-    query = run(start_checkouts(events, *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW))
+    events = streams(spark, root, 1)
+    query = run(start_checkouts(*events, *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW))
     got = decode_rows(load_topics(spark, root, "checkouts"), "checkouts", CHECKOUTS.schema)
     assert rows(got, "purchase_id", "click_id") == [("p1", "c1")]
     assert late_rows(query) >= 1
@@ -225,11 +247,11 @@ def test_redelivered_events_count_once(spark, dims):
     publish(spark, root, event)
     publish(spark, root, event)
     flush(spark, root)
-    stream = read_topics(spark, root, BOTH, files_per_batch=1)
-    run(start_checkouts(stream, *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW, redelivery=True))
+    stream = streams(spark, root, 1)
+    run(start_checkouts(*stream, *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW, redelivery=True))
     got = decode_rows(load_topics(spark, root, "checkouts"), "checkouts", CHECKOUTS.schema)
     assert rows(got, "purchase_id") == [("p1",)]
-    run(start_trailing_checkouts(stream, *dims, f"{root}/t", f"{root}/cp2", trigger=AVAILABLE_NOW))
+    run(start_trailing_checkouts(*stream, *dims, f"{root}/t", f"{root}/cp2", trigger=AVAILABLE_NOW))
     assert rows(read_rows(spark, f"{root}/t/checkouts", CHECKOUTS), "purchase_id") == [("p1",)]
 
 
