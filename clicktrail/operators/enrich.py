@@ -45,20 +45,23 @@ def _is_small(table: DataFrame) -> bool:
 
 
 def with_order_total(purchases: DataFrame) -> DataFrame:
-    """Replace ``total_cost`` by price x quantity x (1 - discount) + shipping."""
+    """Replace ``total_cost`` by price x quantity x (1 - discount) + shipping.
+
+    A value too large for its type makes the total NULL; it must not end a stream.
+    """
     goods = (
-        F.col("price").cast(MONEY)
-        * F.col("quantity").cast(UNITS)
-        * (F.lit(1).cast("decimal(1,0)") - F.col("discount").cast(RATE))
+        F.col("price").try_cast(MONEY)
+        * F.col("quantity").try_cast(UNITS)
+        * (F.lit(1).cast("decimal(1,0)") - F.col("discount").try_cast(RATE))
     )
-    total = goods + F.col("shipping_cost").cast(MONEY)
-    return purchases.withColumn("total_cost", total.cast(ORDER_TOTAL))
+    total = goods + F.col("shipping_cost").try_cast(MONEY)
+    return purchases.withColumn("total_cost", total.try_cast(ORDER_TOTAL))
 
 
 def with_profit(purchases: DataFrame) -> DataFrame:
     """Add ``profit``: commission on the recomputed total without shipping."""
-    goods = F.col("total_cost") - F.col("shipping_cost").cast(MONEY)
-    return purchases.withColumn("profit", goods * F.col("commission_rate").cast(RATE))
+    goods = F.col("total_cost") - F.col("shipping_cost").try_cast(MONEY)
+    return purchases.withColumn("profit", goods * F.col("commission_rate").try_cast(RATE))
 
 
 def enrich_purchases(

@@ -1,5 +1,7 @@
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from clicktrail.operators.enrich import enrich_purchases
 from helpers import NOON, products, purchases, rows, users
 
@@ -36,3 +38,10 @@ def test_fractional_quantity_and_null_input(spark):
     p = purchases(spark, ("1", "u", NOON), quantity=None)
     row = enrich_purchases(p, users(spark, "u"), products(spark, "p1")).first()
     assert row.total_cost is None and row.profit is None
+
+
+def test_absurd_values_give_null_not_an_error(spark):
+    p = purchases(spark, ("1", "u", NOON), quantity=Decimal("999999999"))
+    costly = products(spark, "p1").withColumn("price", F.lit("9999999999.0000").cast("decimal(14,4)"))
+    row = enrich_purchases(p, users(spark, "u"), costly).first()
+    assert row.purchase_id == "1" and row.total_cost is None
