@@ -30,6 +30,10 @@ from clicktrail.streaming.triggers import ROLLUP_TRIGGER, Trigger, with_trigger
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+#: Tasks that share one key's purchases in a streamed join, where nothing splits
+#: a hot key at run time. The few first clicks are repeated for each.
+SALTS = 8
+
 
 @dataclass(frozen=True)
 class Timing:
@@ -46,7 +50,7 @@ def checkout_stream(
     users: DataFrame,
     products: DataFrame,
     timing: Timing = Timing(),
-    salts: int = 1,
+    salts: int = SALTS,
     redelivery: bool = False,
 ) -> DataFrame:
     """Attributed checkouts out of streams of click and purchase messages.
@@ -68,7 +72,7 @@ def checkout_stream_of_final_clicks(
     users: DataFrame,
     products: DataFrame,
     timing: Timing = Timing(),
-    salts: int = 1,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Attributed checkouts when first clicks come from their own topic.
 
@@ -151,7 +155,7 @@ def start_checkouts(
     checkpoint: str,
     timing: Timing = Timing(),
     trigger: Trigger = None,
-    salts: int = 1,
+    salts: int = SALTS,
     redelivery: bool = False,
     state_partitions: int | None = None,
 ) -> StreamingQuery:

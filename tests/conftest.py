@@ -16,7 +16,7 @@ def spark(tmp_path_factory):
         "clicktrail-tests",
         **{
             "spark.master": "local[4]",
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("work")),

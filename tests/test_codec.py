@@ -67,7 +67,8 @@ def test_purchase_money_is_exact(spark):
 
 
 def test_encoding_keeps_microseconds(spark):
-    df = spark.createDataFrame([("1", dt.datetime(2024, 1, 1, 0, 0, 0, 123456))], "click_id STRING, click_time TIMESTAMP")
+    data = [("1", dt.datetime(2024, 1, 1, 0, 0, 0, 123456))]
+    df = spark.createDataFrame(data, "click_id STRING, click_time TIMESTAMP")
     encoded = encode_rows(df)
     assert encoded.columns == ["value"]
     assert '"2024-01-01T00:00:00.123456"' in encoded.first().value

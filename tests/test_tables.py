@@ -7,7 +7,15 @@ from clicktrail.operators.contracts import conform, key_violations, new_rows
 from clicktrail.schemas import PRODUCTS, ROLLUPS, USERS
 from clicktrail.session import work_dir
 from clicktrail.sinks.tables import drop_expired, load_dimension, write_batch
-from clicktrail.sources.tables import CSV_OPTIONS, JdbcRange, jdbc_options, read_csv, read_csv_table, read_rows, read_table
+from clicktrail.sources.tables import (
+    CSV_OPTIONS,
+    JdbcRange,
+    jdbc_options,
+    read_csv,
+    read_csv_table,
+    read_rows,
+    read_table,
+)
 from clicktrail.sources.topics import kafka_options, topic_names
 from helpers import NOON, at, products, rows
 
@@ -19,7 +27,8 @@ def counts(spark, *data):
 
 
 def test_conform_orders_and_types_columns(spark):
-    df = spark.createDataFrame([("2024-01-01 00:00:00", "7", "Google"), ("bad", "x", "Gmail")], ["time", "count", "source"])
+    data = [("2024-01-01 00:00:00", "7", "Google"), ("bad", "x", "Gmail")]
+    df = spark.createDataFrame(data, ["time", "count", "source"])
     out = conform(df, SOURCES)
     assert out.columns == ["source", "count", "time"]
     assert [f.dataType for f in out.schema] == [f.dataType for f in SOURCES.schema]
