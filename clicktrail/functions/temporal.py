@@ -6,9 +6,18 @@ Everything here is zone-free on TIMESTAMP_NTZ and exact on TIMESTAMP.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: "Now", as a literal, a column or a scalar subquery.
+AsOf = Column | dt.datetime
+
+
+def instant(as_of: AsOf) -> Column:
+    return as_of if isinstance(as_of, Column) else F.lit(as_of)
+
 
 def interval(duration: str) -> Column:
     """A day-time interval from a duration such as ``"10 minutes"``."""

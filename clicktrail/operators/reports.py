@@ -6,31 +6,23 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicktrail.functions.temporal import interval
+from clicktrail.functions.temporal import AsOf, instant, interval
 
 HORIZON = "1 hour"
 TOP_CATEGORIES = 10
 
-AsOf = Column | dt.datetime
-
 
 def latest(table: DataFrame, time: str = "time") -> Column:
     """The newest instant of a table as a scalar subquery."""
     return table.agg(F.max(time)).scalar()
 
 
-def _as_column(as_of: AsOf) -> Column:
-    return as_of if isinstance(as_of, Column) else F.lit(as_of)
-
-
 def since(table: DataFrame, as_of: AsOf, horizon: str = HORIZON) -> DataFrame:
     """Rows no older than ``horizon`` before ``as_of``."""
-    return table.where(F.col("time") >= _as_column(as_of) - interval(horizon))
+    return table.where(F.col("time") >= instant(as_of) - interval(horizon))
 
 
 def totals(table: DataFrame, dimension: str, as_of: AsOf, horizon: str = HORIZON) -> DataFrame:

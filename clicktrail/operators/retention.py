@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from clicktrail.operators.reports import AsOf, since
+from clicktrail.functions.temporal import AsOf
+from clicktrail.operators.reports import since
 
 KEEP = "2 days"
 

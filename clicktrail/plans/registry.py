@@ -213,8 +213,9 @@ def _cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retained(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A stored roll-up table after expired days and rows were removed from it."""
     path = write_rollup(spark, _cube(spark, sf_dir), table)
-    newest = read_rollup(spark, path, table).agg(F.max("time")).first()[0]
-    drop_expired(spark, path, ROLLUPS[table].zoneless(), newest, KEEP)
+    newest = read_rollup(spark, path, table).agg(F.max("time").cast("string")).first()[0]
+    as_of = F.lit(newest).cast("timestamp_ntz")
+    drop_expired(spark, path, ROLLUPS[table].zoneless(), as_of, KEEP)
     return read_rollup(spark, path, table)
 
 

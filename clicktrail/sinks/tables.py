@@ -5,10 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktrail.functions.temporal import interval
+from clicktrail.functions.temporal import AsOf, instant, interval
 from clicktrail.operators.contracts import conform, new_rows
 from clicktrail.operators.retention import KEEP, retain
 from clicktrail.schemas import TableContract
@@ -43,6 +43,16 @@ def load_dimension(rows: DataFrame, path: str, contract: TableContract) -> None:
     conform(rows, contract).write.mode("overwrite").parquet(path)
 
 
+def time_span(rows: DataFrame, time: str) -> tuple[Column, Column] | None:
+    """First and last instant of some rows as literals, or None without rows.
+
+    The two values travel as microseconds, so no time zone touches them.
+    """
+    micros = F.unix_micros(F.col(time).cast("timestamp"))
+    first, last = rows.agg(F.min(micros), F.max(micros)).first()
+    return None if first is None else (F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last)))
+
+
 def append_jdbc(rows: DataFrame, url: str, table: str, contract: TableContract, **options: str) -> None:
     """Append the rows a database table lacks.
 
@@ -51,12 +61,11 @@ def append_jdbc(rows: DataFrame, url: str, table: str, contract: TableContract,
     """
     batch = conform(rows, contract).persist()
     try:
-        time = contract.event_time
-        first, last = batch.agg(F.min(time), F.max(time)).first()
-        if first is None:
+        span = time_span(batch, contract.event_time)
+        if span is None:
             return
         stored = read_jdbc(rows.sparkSession, url, table, **options)
-        stored = stored.where(F.col(time).between(F.lit(first), F.lit(last)))
+        stored = stored.where(F.col(contract.event_time).between(*span))
         missing = new_rows(batch, stored, contract.key)
         missing.write.format("jdbc").options(**jdbc_options(url, table, **options)).mode("append").save()
     finally:
@@ -86,7 +95,7 @@ def jdbc_store(url: str, schema: str, **options: str) -> Store:
 
 
 def drop_expired(
-    spark: SparkSession, path: str, contract: TableContract, as_of: dt.datetime, keep: str = KEEP
+    spark: SparkSession, path: str, contract: TableContract, as_of: AsOf, keep: str = KEEP
 ) -> None:
     """Remove rows older than ``keep`` before ``as_of`` from a stored table.
 
@@ -94,7 +103,7 @@ def drop_expired(
     read. Only the day of the cut-off is rewritten, batch by batch, and its
     batches that have nothing left are dropped. Every step can be repeated.
     """
-    cut_off = F.lit(as_of) - interval(keep)
+    cut_off = instant(as_of) - interval(keep)
     cut_day = spark.range(1).select(F.to_date(cut_off)).first()[0]
     for day in _partition_days(spark, path):
         if day < cut_day:

@@ -56,7 +56,8 @@ def checkout_stream(
     """Attributed checkouts out of streams of click and purchase messages.
 
     Each topic has its own scan; a shared subscription may be passed twice, and
-    is then read twice. ``redelivery`` drops events that a source sends again within the lateness.
+    is then read twice. ``redelivery`` drops events that a source sends again
+    within the lateness.
     """
     clicks = decode_clicks(click_events).withWatermark("click_time", timing.lateness)
     purchases = decode_purchases(purchase_events).withWatermark("purchase_time", timing.lateness)

@@ -21,7 +21,7 @@ from clicktrail.functions.temporal import interval
 from clicktrail.plans.checkouts import trailing_checkouts
 from clicktrail.schemas import CHECKOUTS, CLICKS, PURCHASES
 from clicktrail.session import stateful_stream_conf
-from clicktrail.sinks.tables import write_batch
+from clicktrail.sinks.tables import time_span, write_batch
 from clicktrail.sources.tables import read_table
 from clicktrail.streaming.pipeline import BatchWriter, Timing, write_tables
 from clicktrail.streaming.triggers import Trigger
@@ -70,17 +70,15 @@ def settlement_writer(users: DataFrame, products: DataFrame, root: str, lookback
             ):
                 rows = settled.where(F.col("kind") == kind).select(f"{kind}.*")
                 write_batch(rows, path, contract, batch_id)
-            time = F.col("purchase.purchase_time")
-            first, last = settled.agg(F.min(time), F.max(time)).first()
+            span = time_span(settled, "purchase.purchase_time")
         finally:
             settled.unpersist()
-        if first is None:
+        if span is None:
             return
-        begin = F.lit(first) - interval(lookback)
+        begin, end = span[0] - interval(lookback), span[1]
         purchases = read_table(spark, paths["purchases"], PURCHASES).where(F.col("batch_id") == batch_id)
         in_reach = read_table(spark, paths["clicks"], CLICKS).where(
-            F.col("date").between(F.to_date(begin), F.to_date(F.lit(last)))
-            & F.col("click_time").between(begin, F.lit(last))
+            F.col("date").between(F.to_date(begin), F.to_date(end)) & F.col("click_time").between(begin, end)
         )
         checkouts = trailing_checkouts(
             in_reach.select(*CLICKS.columns), purchases.select(*PURCHASES.columns), users, products, lookback

@@ -164,6 +164,7 @@ def test_state_is_bounded_and_empty_after_the_flush(spark, replay, dims):
     root = work_dir(spark, "state")
     events = streams(spark, replay, 1)
     query = run(start_checkouts(*events, *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW))
+    assert all("rocksdbGetCount" in s.customMetrics for s in query.lastProgress.stateOperators)
     held = [sum(s.numRowsTotal for s in p.stateOperators) for p in query.recentProgress]
     assert max(held) < 600 and state_rows(query) <= 2  # the two flush events
 
