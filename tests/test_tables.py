@@ -2,10 +2,12 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import DataFrameWriter
 
 from clicktrail.operators.contracts import conform, key_violations, new_rows
 from clicktrail.schemas import PRODUCTS, ROLLUPS, USERS
 from clicktrail.session import work_dir
+from clicktrail.sinks import tables
 from clicktrail.sinks.tables import drop_expired, load_dimension, write_batch
 from clicktrail.sources.tables import (
     CSV_OPTIONS,
@@ -114,3 +116,19 @@ def test_work_dir_is_under_the_shared_setting(spark):
 @pytest.mark.parametrize("contract", [USERS, PRODUCTS, *ROLLUPS.values()])
 def test_contract_keys_are_columns(contract):
     assert set(contract.key) <= set(contract.columns)
+
+
+def test_jdbc_append_sends_only_missing_rows(spark, monkeypatch):
+    """The database is replaced by a table in memory; no connection is made."""
+    stored, sent = [("a", 1, at("10:00")), ("old", 1, at("01:00"))], []
+    monkeypatch.setattr(tables, "read_jdbc", lambda session, url, table, **options: counts(session, *stored))
+
+    def save(writer):
+        sent.append(rows(writer._df, "source", "count"))
+
+    monkeypatch.setattr(DataFrameWriter, "save", save)
+    store = tables.jdbc_store("jdbc:none", "result", user="u")
+    batch = counts(spark, ("a", 1, at("10:00")), ("b", 2, at("11:00")))
+    store(batch, "source_count", SOURCES, 7)
+    store(batch.where("false"), "source_count", SOURCES, 8)
+    assert sent == [[("b", 2)]]
