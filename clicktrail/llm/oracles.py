@@ -40,6 +40,22 @@ SELECT doc_id, source, size, source_size, target, epochs::BIGINT AS epochs,
 FROM placed
 """
 
+SUBSTRINGS = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(text, '{WORD}') AS ws FROM documents WHERE text IS NOT NULL),
+windows AS (
+  SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS seq FROM w, unnest(range(1, len(ws) - 11)) t(i) WHERE len(ws) >= 13),
+firsts AS (SELECT seq, min(doc_id) AS first FROM windows GROUP BY seq HAVING min(doc_id) < max(doc_id)),
+covered AS (
+  SELECT DISTINCT doc_id, i + d AS n FROM windows JOIN firsts USING (seq), range(13) t(d) WHERE doc_id > first),
+kept AS (
+  SELECT l.doc_id, count(c.n) AS n_removed, string_agg(ws[i], ' ' ORDER BY i) FILTER (c.n IS NULL) AS kept
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w) l LEFT JOIN covered c ON c.doc_id = l.doc_id AND c.n = l.i
+  GROUP BY l.doc_id)
+SELECT d.doc_id, coalesce(len(ws), 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN w USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
 _ESCAPED = rf"regexp_replace(text, '{chat.ESCAPABLE}', '\1\2\\\3', 'g')"
 
 CHAT = rf"""
@@ -104,6 +120,7 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_source_mixing": MIXING,
+        "op5_substring_dedup": SUBSTRINGS,
         "op6_chat_formatting": CHAT,
         "op7_warc": WARC,
         "op10_line_dedup": LINES,
