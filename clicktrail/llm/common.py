@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +43,27 @@ def text_key(text: Column) -> Column:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@functools.cache
+def _shipped(application: str, add: Callable) -> bool:
+    """The package as a zip file; Spark serves it to every executor, which need not have it installed."""
+    top = Path(__file__).resolve().parents[1]
+    path = os.path.join(tempfile.mkdtemp(prefix="clicktrail-"), f"{top.name}.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(top.rglob("*.py")):
+            out.write(file, file.relative_to(top.parent))
+    add(path)
+    return True
+
+
+def in_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package at hand on the executors."""
+    _shipped(df.sparkSession.sparkContext.applicationId, df.sparkSession.sparkContext.addPyFile)
+    return df.mapInArrow(function, schema)
+
+
+def in_pandas(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``mapInPandas`` with this package at hand on the executors."""
+    _shipped(df.sparkSession.sparkContext.applicationId, df.sparkSession.sparkContext.addPyFile)
+    return df.mapInPandas(function, schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktrail.llm import chat, line_dedup, mixing, substrings, warc
+from clicktrail.llm import chat, jaccard, line_dedup, mixing, substrings, warc
 from clicktrail.llm.common import read_table
 from clicktrail.session import work_dir
 
@@ -19,6 +19,10 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "epochs")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(read_table(spark, sf_dir, "documents")).drop("tk")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.dedup_substrings(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -131,6 +135,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Query]:
     return {
         "op2_source_mixing": op2_source_mixing,
+        "op3_jaccard_join": op3_jaccard_join,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_chat_formatting": op6_chat_formatting,
         "op7_warc": op7_warc,

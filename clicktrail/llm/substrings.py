@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from clicktrail.llm import hashing
-from clicktrail.llm.common import text_key
+from clicktrail.llm.common import in_arrow, text_key
 
 WINDOW = 13
 GRAM = 5
@@ -190,9 +190,9 @@ def repeated_spans(
     texts = documents.where(F.col(text_col).isNotNull()).select(
         id_.alias("id"), tk.alias("tk"), F.col(text_col).cast("string").alias("text")
     )
-    runs = texts.mapInArrow(_runs_of(window, gram), RUNS)
+    runs = in_arrow(texts, _runs_of(window, gram), RUNS)
     met = runs.repartition("anchor").sortWithinPartitions("anchor", "id")
-    return met.mapInArrow(_spans_of(window), SPANS)
+    return in_arrow(met, _spans_of(window), SPANS)
 
 
 def merged(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
@@ -262,4 +262,4 @@ def dedup_substrings(
         )
 
     schema = f"doc_id {kind.simpleString()}, n_words long, n_removed long, spans array<struct<first:long,last:long>>, kept string"
-    return joined.select("doc_id", "text", "first", "last").mapInArrow(cut, schema)
+    return in_arrow(joined.select("doc_id", "text", "first", "last"), cut, schema)

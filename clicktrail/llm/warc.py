@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clicktrail.llm.common import in_pandas
+
 SEGMENT_BYTES = 16 * 1024
 CHUNK_BYTES = 4 * 1024
 RECORDS_PER_ARCHIVE = 4_000
@@ -181,8 +183,7 @@ def write_warc(
             yield pd.DataFrame({"record": made})
 
     (
-        with_revisits(pages, min_payload)
-        .mapInPandas(records, "record binary")
+        in_pandas(with_revisits(pages, min_payload), records, "record binary")
         .select(F.col("record").cast("string"))
         .write.option("lineSep", "\r\n\r\n")
         .option("compression", "gzip")
@@ -262,7 +263,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     # nothing is listed under a folder without archives; the schema then stands for the empty result
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    return files.mapInPandas(parse, RECORD_SCHEMA)
+    return in_pandas(files, parse, RECORD_SCHEMA)
 
 
 def decoded(batches):
@@ -325,7 +326,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         )
         .select(*head, "total_length", F.col("s.block").alias("blocks"), F.col("s.segment_number").alias("numbers"))
     )
-    return whole.unionByName(segments).mapInPandas(decoded, PAGE_SCHEMA)
+    return in_pandas(whole.unionByName(segments), decoded, PAGE_SCHEMA)
 
 
 def resolve_revisits(pages: DataFrame) -> DataFrame:
