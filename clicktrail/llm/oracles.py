@@ -98,6 +98,39 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes, base32 AS payload_digest,
 FROM p JOIN d USING (hex)
 """
 
+LEAKS = rf"""
+WITH items AS (
+  SELECT item_id, ws, len(ws) AS n, least(5, len(ws)) AS k
+  FROM (SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws FROM benchmark)
+  WHERE len(ws) > 0),
+item_shingles AS (
+  SELECT item_id, n, k, array_to_string(ws[i:i + k - 1], ' ') AS sh, count(*) AS c
+  FROM items, unnest(range(1, n - k + 2)) t(i) GROUP BY ALL),
+docs AS (
+  SELECT doc_id, ws, len(ws) AS nw
+  FROM (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') AS ws FROM documents)),
+places AS (
+  SELECT doc_id, nw, pos, k, array_to_string(ws[pos:pos + k - 1], ' ') AS sh
+  FROM docs, (SELECT DISTINCT k FROM items), unnest(range(1, nw - k + 2)) t(pos) WHERE nw >= k),
+starts AS (
+  SELECT DISTINCT p.doc_id, s.item_id, s.n, s.k, least(s.n, p.nw) AS size, start
+  FROM places p JOIN item_shingles s ON s.sh = p.sh AND s.k = p.k,
+       unnest(range(greatest(pos - (s.n - s.k), 1), least(pos, greatest(p.nw - s.n + 1, 1)) + 1)) t(start)),
+window_shingles AS (
+  SELECT st.doc_id, st.item_id, st.n, st.k, st.size, st.start, array_to_string(d.ws[j:j + st.k - 1], ' ') AS sh, count(*) AS c
+  FROM starts st JOIN docs d USING (doc_id), unnest(range(st.start, st.start + st.size - st.k + 1)) t(j) GROUP BY ALL),
+scored AS (
+  SELECT w.doc_id, w.item_id, w.start, w.size, sum(least(w.c, s.c))::BIGINT AS shared,
+         (any_value(w.size - w.k + 1) + any_value(w.n - w.k + 1))::BIGINT AS total
+  FROM window_shingles w JOIN item_shingles s ON s.item_id = w.item_id AND s.sh = w.sh
+  GROUP BY w.doc_id, w.item_id, w.start, w.size),
+alike AS (SELECT *, shared / (total - shared) AS similarity FROM scored WHERE 100 * shared >= 80 * (total - shared))
+SELECT doc_id, item_id, similarity, (start - 1)::BIGINT AS start, size::BIGINT AS n_words, n_windows
+FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, item_id) AS n_windows,
+             row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) AS place FROM alike)
+WHERE place = 1
+"""
+
 LINES = """
 WITH lines AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
 windows AS (
@@ -123,5 +156,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_substring_dedup": SUBSTRINGS,
         "op6_chat_formatting": CHAT,
         "op7_warc": WARC,
+        "op8_decontamination": LEAKS,
         "op10_line_dedup": LINES,
     }

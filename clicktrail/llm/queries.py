@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktrail.llm import chat, jaccard, line_dedup, mixing, substrings, warc
+from clicktrail.llm import chat, decontaminate, jaccard, line_dedup, mixing, substrings, warc
 from clicktrail.llm.common import read_table
 from clicktrail.session import work_dir
 
@@ -122,6 +122,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("tk")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
     return out.select(
@@ -139,5 +144,6 @@ def all_queries() -> dict[str, Query]:
         "op5_substring_dedup": op5_substring_dedup,
         "op6_chat_formatting": op6_chat_formatting,
         "op7_warc": op7_warc,
+        "op8_decontamination": op8_decontamination,
         "op10_line_dedup": op10_line_dedup,
     }
