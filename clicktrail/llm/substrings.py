@@ -1,6 +1,6 @@
 """Substring dedup by seed and extend.
 
-Seeds are winnowed anchors: of the nine 5-word grams inside each window of 13
+Seeds are winnowed anchors: of the ten 4-word grams inside each window of 13
 words, the one with the smallest hash. Equal windows choose equal anchors, so
 documents only need to meet on anchors; each anchor carries the run of
 consecutive windows that chose it, extended both ways as far as they reach.
@@ -25,7 +25,7 @@ from clicktrail.llm import hashing
 from clicktrail.llm.common import in_arrow, text_key
 
 WINDOW = 13
-GRAM = 5
+GRAM = 4
 #: Windows meet under a 64-bit anchor and are told apart by 48 bits more.
 TAG_BYTES = 6
 #: Sorts a null id after all others.
