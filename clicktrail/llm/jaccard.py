@@ -34,7 +34,10 @@ from clicktrail.llm.components import connected_components
 SHINGLE = 5
 #: Similarity, in hundredths.
 SIMILAR = 80
-BITS = 1024
+#: A bitmap has two to four bits for each token, and at least and at most so many.
+LEAST_BITS, MOST_BITS = 256, 1 << 20
+#: Bytes of bitmaps that are compared at once.
+AT_ONCE = 32 << 20
 LEAF, FANOUT = 16, 8
 #: Sets in one block of a signature tree with bitmaps, and with whole sets.
 BITMAP_BLOCK, EXACT_BLOCK = 4_096, 512
@@ -58,8 +61,9 @@ def set_hashes(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def signature(tokens: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, bool)
-    bits[(tokens & U(BITS - 1)).astype(np.int64)] = True
+    width = min(max(LEAST_BITS, 1 << (2 * len(tokens)).bit_length()), MOST_BITS)
+    bits = np.zeros(width, bool)
+    bits[(tokens & U(width - 1)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
 
 
@@ -235,36 +239,56 @@ def _possible(u, v, i: np.ndarray, j: np.ndarray, similar: int) -> np.ndarray:
     return ratio & ((100 + similar) * overlap >= similar * (u[2][i] + v[2][j]))
 
 
-def dual_traversal(bits, sizes, side, similar: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def dual_traversal(bits: list[bytes], sizes, side, similar: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Pairs of documents (x, y, bound on their overlap) that no node pair above them rules out.
 
-    With two sides, only pairs across are wanted. Documents are put in order of
-    side, size and bitmap first; the pairs come back in the given numbering.
+    With two sides, only pairs across are wanted. There is one tree for each
+    width of bitmaps; similar sets differ by one width at most, so neighbouring
+    widths are traversed too, the wider bitmaps folded.
     """
-    order = np.lexsort((*[bits[:, w] for w in range(3)], sizes, side))
-    bits, sizes, side = bits[order], sizes[order], side[order]
+    width = np.array([len(b) for b in bits])
+    two_sided = len(side) and (side != side[0]).any()
+    for w in np.unique(width):
+        own = np.flatnonzero(width == w)
+        level = np.frombuffer(b"".join(bits[m] for m in own), np.uint8).reshape(len(own), w)
+        wider = np.flatnonzero(width == 2 * w)
+        yield from _traversed(level, own, sizes, side if two_sided else None, similar)
+        if len(wider):
+            folded = np.frombuffer(b"".join(bits[m] for m in wider), np.uint8).reshape(len(wider), 2, w)
+            both = np.concatenate([level, folded[:, 0] | folded[:, 1]])
+            yield from _traversed(both, np.append(own, wider), sizes, side if two_sided else None, similar, width)
+
+
+def _traversed(level, members, sizes, side, similar: int, width=None):
+    """A traversal of one tree: pairs of ``members``, across sides and across widths if given."""
+    bits, sizes = np.ascontiguousarray(level).view(U), sizes[members]
+    order = np.lexsort((bits[:, 1], bits[:, 0], sizes))
+    bits, sizes, members = bits[order], sizes[order], members[order]
     levels = tree(bits, sizes)
     i = j = np.zeros(1, np.int64)
+    pairs_at_once = max(LEAF * LEAF, AT_ONCE // (bits.shape[1] * 8))
     for depth in range(len(levels) - 1, -1, -1):
-        keep = _possible(levels[depth], levels[depth], i, j, similar)
+        keep = np.zeros(len(i), bool)
+        for a in range(0, len(i), pairs_at_once):
+            part = slice(a, a + pairs_at_once)
+            keep[part] = _possible(levels[depth], levels[depth], i[part], j[part], similar)
         i, j = i[keep], j[keep]
         if not len(i):
             return
-        below, width = (len(levels[depth - 1][0]), FANOUT) if depth else (len(bits), LEAF)
         if depth:
-            i, j = _children(i, j, width, below)
+            i, j = _children(i, j, FANOUT, len(levels[depth - 1][0]))
     ones = _popcount(bits)
-    two_sided = side[0] != side[-1]
-    most = max(1, (1 << 16) // (LEAF * LEAF))
-    for a in range(0, len(i), most):
-        x, y = _children(i[a : a + most], j[a : a + most], LEAF, len(bits), distinct=True)
-        if two_sided:
-            across = side[x] != side[y]
-            x, y = x[across], y[across]
+    leaves_at_once = pairs_at_once // (LEAF * LEAF)
+    for a in range(0, len(i), leaves_at_once):
+        x, y = _children(i[a : a + leaves_at_once], j[a : a + leaves_at_once], LEAF, len(bits), distinct=True)
+        for values in (side, width):
+            if values is not None:
+                across = values[members[x]] != values[members[y]]
+                x, y = x[across], y[across]
         both = _popcount(bits[x] & bits[y])
         overlap = np.minimum(sizes[x] - (ones[x] - both), sizes[y] - (ones[y] - both))
         keep = (100 + similar) * overlap >= similar * (sizes[x] + sizes[y])
-        yield order[x[keep]], order[y[keep]], overlap[keep]
+        yield members[x[keep]], members[y[keep]], overlap[keep]
 
 
 def _children(i, j, width: int, below: int, distinct: bool = False):
@@ -322,10 +346,6 @@ def _unit_batches(batches, names: list[str]) -> Iterator[dict]:
         yield joined(held)
 
 
-def _as_bitmaps(bits: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(bits), U).reshape(len(bits), BITS // 64)
-
-
 def _edge_batch(a, b):
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
@@ -340,7 +360,7 @@ def _candidates_of(similar: int):
             if unit["pa"][0] == unit["pb"][0]:
                 side = np.zeros(len(sets), np.int64)
             forest = Forest(len(sets))
-            for x, y, _ in dual_traversal(_as_bitmaps(unit["bits"]), unit["n"], side, similar):
+            for x, y, _ in dual_traversal(unit["bits"], unit["n"], side, similar):
                 for p, q in zip(x.tolist(), y.tolist(), strict=True):
                     if forest.union(p, q):
                         a.append(int(sets[p]))
@@ -364,7 +384,7 @@ def _links_of(similar: int):
                 side = np.zeros(len(sets), np.int64)
             tokens = [np.frombuffer(t, U) for t in unit["tokens"]]
             forest = Forest(len(sets))
-            found = list(dual_traversal(_as_bitmaps(unit["bits"]), unit["n"], side, similar))
+            found = list(dual_traversal(unit["bits"], unit["n"], side, similar))
             if not found:
                 continue
             x, y, overlap = (np.concatenate(c) for c in zip(*found, strict=True))
