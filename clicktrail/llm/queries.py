@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktrail.llm import chat, decontaminate, jaccard, line_dedup, mixing, substrings, warc
+from clicktrail.llm import chat, decontaminate, jaccard, langid, line_dedup, mixing, quality, substrings, warc
 from clicktrail.llm.common import read_table
 from clicktrail.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents")
+    held = langid.held_out(F.col("doc_id"), 4, 2)
+    model = langid.train(documents.where(~held))
+    return langid.identify(documents, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "epochs")
@@ -127,6 +134,14 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("tk")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = langid.held_out(F.col("doc_id"), 5, 0)
+    net = quality.train(documents, read_table(spark, sf_dir, "labels").where(~held))
+    scored = quality.score_quality(documents, net)
+    return scored.select("doc.doc_id", "score", "predicted").withColumn("held_out", held)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(read_table(spark, sf_dir, "documents"))
     return out.select(
@@ -139,11 +154,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Query]:
     return {
+        "op1_language_id": op1_language_id,
         "op2_source_mixing": op2_source_mixing,
         "op3_jaccard_join": op3_jaccard_join,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_chat_formatting": op6_chat_formatting,
         "op7_warc": op7_warc,
         "op8_decontamination": op8_decontamination,
+        "op9_quality_classifier": op9_quality_classifier,
         "op10_line_dedup": op10_line_dedup,
     }
