@@ -40,6 +40,18 @@ SELECT doc_id, source, size, source_size, target, epochs::BIGINT AS epochs,
 FROM placed
 """
 
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS e, len(embedding) AS dim FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND c.dim = q.dim)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
 SUBSTRINGS = rf"""
 WITH w AS (SELECT doc_id, regexp_extract_all(text, '{WORD}') AS ws FROM documents WHERE text IS NOT NULL),
 windows AS (
@@ -153,6 +165,7 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_source_mixing": MIXING,
+        "op4_top_k_search": TOP_K,
         "op5_substring_dedup": SUBSTRINGS,
         "op6_chat_formatting": CHAT,
         "op7_warc": WARC,

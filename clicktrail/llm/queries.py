@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktrail.llm import chat, decontaminate, jaccard, langid, line_dedup, mixing, quality, substrings, warc
+from clicktrail.llm import chat, decontaminate, jaccard, knn, langid, line_dedup, mixing, quality, substrings, warc
 from clicktrail.llm.common import read_table
 from clicktrail.session import work_dir
 
@@ -30,6 +30,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(read_table(spark, sf_dir, "documents")).drop("tk")
 
 
+def op4_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substrings.dedup_substrings(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -157,6 +161,7 @@ def all_queries() -> dict[str, Query]:
         "op1_language_id": op1_language_id,
         "op2_source_mixing": op2_source_mixing,
         "op3_jaccard_join": op3_jaccard_join,
+        "op4_top_k_search": op4_top_k_search,
         "op5_substring_dedup": op5_substring_dedup,
         "op6_chat_formatting": op6_chat_formatting,
         "op7_warc": op7_warc,
