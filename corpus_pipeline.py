@@ -1,17 +1,42 @@
-"""The corpus pipeline: quality, line dedup, near duplicates, decontamination, mixing."""
+"""The corpus pipeline over ``documents``: quality, line dedup, near duplicates, decontamination, mixing.
+
+Each stage takes (spark, docs, sf_dir) and works on everything its predecessor
+kept. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clicktrail.llm.common import read_table, stored
+from clicktrail.llm.common import read_table, stored, text_key
+from clicktrail.llm.decontaminate import contaminated
+from clicktrail.llm.jaccard import jaccard_components
 from clicktrail.llm.line_dedup import dedup_lines
+from clicktrail.llm.mixing import mix
+from clicktrail.llm.quality import score_quality, train
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+#: Stands for a null id in joins, which then need one shuffle only.
+NO_ID = 2**63 - 1
+
+
+def numbered(rows: DataFrame, doc_id: str, tk) -> DataFrame:
+    """Rows with a plain join key: _id, _tk (the text's key) and _copy, which counts rows of equal id and text from 1."""
+    keyed = rows.withColumns({"_id": F.coalesce(F.col(doc_id), F.lit(NO_ID)), "_tk": tk})
+    return keyed.withColumn("_copy", F.row_number().over(Window.partitionBy("_id", "_tk").orderBy("_tk")))
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects (score below its threshold) go. It learns from all of ``labels``."""
+    docs = docs.select(COLUMNS)
+    net = train(docs, read_table(spark, sf_dir, "labels"))
+    return score_quality(docs, net).where("predicted = 1").select("doc.*")
+
+
+def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later occurrences of three-line windows are cut; a document of which nothing is left goes."""
     out = dedup_lines(docs.select(COLUMNS)).where("n_removed = 0 or n_removed < n_lines")
     changed = F.col("n_removed") > 0
@@ -24,7 +49,60 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES = [("line dedup", lines)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays.
+
+    Documents without words are no one's duplicates and stay. Of rows that
+    repeat the smallest id, the one of the smallest text key stays, and of
+    equal rows one.
+    """
+    docs = docs.select(COLUMNS)
+    classes = stored(jaccard_components(docs), "pipeline-classes")
+    ties = Window.partitionBy("component_id").orderBy("tk")
+    # only rows with the component's own id are numbered, so no window holds more than one id's rows
+    keepers = (
+        classes.where("n_shingles > 0 and doc_id <=> component_id")
+        .distinct()
+        .withColumn("place", F.row_number().over(ties))
+        .where("place = 1")
+    )
+    wordless = classes.where("n_shingles = 0").select("doc_id", "tk").distinct()
+    kept = (
+        keepers.select("doc_id", "tk", F.lit(True).alias("_words"))
+        .unionByName(wordless.withColumn("_words", F.lit(False)))
+        .select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("tk").alias("_tk"), "_words")
+    )
+    joined = numbered(docs, "doc_id", text_key(F.col("text"))).join(kept, ["_id", "_tk"])
+    return joined.where("_copy = 1 or not _words").select(COLUMNS)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    docs = docs.select(COLUMNS)
+    found = contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    leaked = found.select(F.col("doc_id").alias("l_id"), F.col("tk").alias("l_tk")).distinct()
+    return docs.join(
+        leaked, F.col("doc_id").eqNullSafe(F.col("l_id")) & (text_key(F.col("text")) == F.col("l_tk")), "left_anti"
+    )
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: documents with the words taken of each, ``epochs`` whole passes and ``rest`` words more; those not taken go."""
+    docs = docs.select(COLUMNS)
+    mixed = numbered(mix(docs).withColumnRenamed("doc_id", "m_id"), "m_id", F.col("text_key")).where("taken > 0")
+    joined = numbered(docs, "doc_id", text_key(F.col("text"))).join(
+        mixed.select("_id", "_tk", "_copy", "size", "taken", "epochs", "rest"), ["_id", "_tk", "_copy"]
+    )
+    return joined.select(*COLUMNS, "size", "taken", "epochs", "rest")
+
+
+STAGES = [
+    ("quality classifier", quality_filter),
+    ("line dedup", line_filter),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("source mixing", mixing),
+]
 
 #: The first stage is a trained network, which SQL cannot express.
 ORACLE_SQL = None
