@@ -235,7 +235,7 @@ def contaminated(
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), "words")).alias("best")
     return (
         close.groupBy("id", "tk", "item_id")
-        .agg(best, F.count(F.lit(1)).alias("n_windows"))
+        .agg(best, F.size(F.collect_set("start")).cast("long").alias("n_windows"))
         .select(
             F.col("id").alias("doc_id"),
             "tk",

@@ -49,11 +49,17 @@ def integer_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
 
 def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products; by floating point where every sum is exact in it, else in 64-bit integers."""
+    """Integer inner products; by floating point where every sum is exact in it, else in 64-bit or in long integers.
+
+    A product beyond 64 bits becomes the nearest 64-bit number.
+    """
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
     if most < 2**53:
         return np.rint(a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    if most < 2**62:
+        return a @ b.T
+    limits = np.iinfo(np.int64)
+    return np.clip(a.astype(object) @ b.astype(object).T, limits.min, limits.max).astype(np.int64)
 
 
 def _matrix(column, dim: int) -> np.ndarray:
