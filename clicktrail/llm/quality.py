@@ -134,7 +134,7 @@ def _gradients(net: Network, symbols: np.ndarray, label: float):
     chunk, kind = np.nonzero(flow)
     g, place = flow[chunk, kind], where[chunk, kind]
     windows = symbols[(place * STRIDE)[:, None] + np.arange(WIDTH)]
-    inputs = net.embedding[windows].reshape(len(g), -1)
+    inputs = net.embedding[windows].reshape(len(g), WIDTH * EMBEDDING)
     chosen = np.zeros((FILTERS, len(g)), np.float32)
     chosen[kind, np.arange(len(g))] = g
     d_filters = chosen @ inputs
@@ -201,8 +201,9 @@ def train(
     ids = F.broadcast(ids.unionByName(known.where("label = 1").orderBy("place").limit(2 * sample)))
     rows = (
         documents.where(F.octet_length(text_col) <= SAMPLE_BYTES)
-        .join(ids, F.col(id_col) == F.col("id"))
-        .select("label", "place", F.xxhash64(text_col).alias("tk"), F.col(text_col).cast("string").alias("text"))
+        .select(F.col(id_col).alias("d_id"), F.xxhash64(text_col).alias("tk"), F.col(text_col).cast("string").alias("text"))
+        .join(ids, F.col("d_id") == F.col("id"))
+        .select("label", "place", "tk", "text")
         .orderBy("place", "tk")
         .limit(4 * sample)
         .toPandas()
