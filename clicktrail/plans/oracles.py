@@ -13,13 +13,8 @@ CLICKS = f"""
 clicks AS (
   SELECT event_id AS click_id, user_id, ts AS click_time,
          CASE WHEN event_id % 2 = 0 THEN 'Homepage' ELSE 'Product' END AS click_at,
-         CASE WHEN {_K} % 14 <= 4 THEN 'Unknown'
-              WHEN {_K} % 14 <= 6 THEN 'Facebook'
-              WHEN {_K} % 14 <= 7 THEN 'Twitter'
-              WHEN {_K} % 14 <= 9 THEN 'Tiktok'
-              WHEN {_K} % 14 <= 10 THEN 'Gmail'
-              WHEN {_K} % 14 <= 12 THEN 'Google'
-              ELSE 'Youtube' END AS source,
+         CASE {_K} % 7 WHEN 0 THEN 'Facebook' WHEN 1 THEN 'Gmail' WHEN 2 THEN 'Google' WHEN 3 THEN 'Tiktok'
+              WHEN 4 THEN 'Twitter' WHEN 5 THEN 'Unknown' ELSE 'Youtube' END AS source,
          '10.0.' || (event_id % 256) || '.' || {_K} AS ip
   FROM events WHERE event_type = 'click'
 )"""
@@ -27,16 +22,16 @@ clicks AS (
 PURCHASES = f"""
 purchases AS (
   SELECT event_id AS purchase_id, user_id, {_K} AS product_id,
-         CAST(2 + event_id % 18 AS DECIMAL(10,2)) AS shipping_cost,
-         CAST((event_id % 4) * 0.05 AS DECIMAL(4,2)) AS discount,
+         CAST(event_id % 31 AS DECIMAL(10,2)) AS shipping_cost,
+         CAST((event_id % 5) * 0.08 AS DECIMAL(4,2)) AS discount,
          value AS total_cost,
          CASE event_id % 7 WHEN 0 THEN 'Visa' WHEN 1 THEN 'MasterCard' WHEN 2 THEN 'Stripe'
               WHEN 3 THEN 'Payment on Delivery' WHEN 4 THEN 'Paypal' WHEN 5 THEN 'Alipay'
               ELSE 'Skrill' END AS payment_method,
-         1 + event_id % 10 AS quantity,
-         CASE WHEN event_id % 7 = 0 THEN 'failure' ELSE 'success' END AS payment_status,
-         CASE WHEN event_id % 7 <> 0 THEN 'none' ELSE
-           CASE (event_id // 7) % 6 WHEN 0 THEN 'Insufficient Fund' WHEN 1 THEN 'Invalid Payment Details'
+         1 + event_id % 13 AS quantity,
+         CASE WHEN event_id % 9 = 4 THEN 'failure' ELSE 'success' END AS payment_status,
+         CASE WHEN event_id % 9 <> 4 THEN 'none' ELSE
+           CASE (event_id // 9) % 6 WHEN 0 THEN 'Insufficient Fund' WHEN 1 THEN 'Invalid Payment Details'
                 WHEN 2 THEN 'Network Connectivity Issues' WHEN 3 THEN 'Payment Gateway Issues'
                 WHEN 4 THEN 'Incorrect Billing Address' ELSE 'Card Expired' END END AS description,
          ts AS purchase_time
@@ -232,7 +227,11 @@ FROM checkouts GROUP BY purchase_id HAVING count(*) > 1 OR purchase_id IS NULL""
         "stream_final_clicks": _with(CLICKS, _final_clicks(TEN_MINUTES))
         + """SELECT CAST(click_id AS VARCHAR) AS click_id, CAST(user_id AS VARCHAR) AS user_id,
   click_time, click_at, source, ip FROM final_clicks""",
-        "stream_checkouts_sink": conformed_day,
+        "stream_checkouts_sink": conformed_day
+        + " QUALIFY row_number() OVER (PARTITION BY purchase_id ORDER BY click_time, click_id) = 1",
+        "stream_min_click": _with(CLICKS)
+        + f"""SELECT CAST(user_id AS VARCHAR) AS min_user_id, min(click_time) AS min_click_time FROM clicks
+GROUP BY user_id, time_bucket(INTERVAL '{TEN_MINUTES}', click_time)""",
         "stream_first_click_attribution": conformed_trailing,
     }
     for suffix, lookback in (("", TEN_MINUTES), ("_1d", DAY)):
@@ -255,6 +254,7 @@ SELECT c.* FROM clicks c JOIN minima m ON c.user_id = m.user_id
         sql[table] = trailing_day + _rollup(table)
         sql[f"{table}_single_pass"] = sql[table]
         sql[f"stream_{table}"] = windowed_day + _rollup(table)
+        sql[f"stream_topic_{table}"] = sql[f"stream_{table}"]
         rolled = _checkouts(_trailing(DAY) + ", " + _stored(table))
         sql[f"retention_{table}"] = rolled + _retained(keep)
     counts = {table: _checkouts(_trailing(DAY) + ", " + _stored(table)) for table in _COUNTS}

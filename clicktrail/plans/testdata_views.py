@@ -13,17 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktrail.schemas import CLICK_WIRE, PURCHASE_WIRE
+from clicktrail.sources.tables import fingerprint
 
-# What the events stand for.
-SOURCES_BY_SLOT = (
-    "Unknown", "Unknown", "Unknown", "Unknown", "Unknown",
-    "Facebook", "Facebook",
-    "Twitter",
-    "Tiktok", "Tiktok",
-    "Gmail",
-    "Google", "Google",
-    "Youtube",
-)
+# What the events stand for, in alphabetical order where the order is free.
+SOURCES = ("Facebook", "Gmail", "Google", "Tiktok", "Twitter", "Unknown", "Youtube")
 PAYMENT_METHODS = ("Visa", "MasterCard", "Stripe", "Payment on Delivery", "Paypal", "Alipay", "Skrill")
 FAILURE_REASONS = (
     "Insufficient Fund",
@@ -36,23 +29,28 @@ FAILURE_REASONS = (
 NO_FAILURE = "none"
 
 
+TABLES = ("nation", "customer", "part", "events")
+
+
+def data_version(spark: SparkSession, sf_dir: str) -> tuple:
+    """What the files of the tables in use look like now."""
+    return tuple(fingerprint(spark, f"{sf_dir}/{name}.parquet") for name in TABLES)
+
 
 def once_per_session(view):
-    """Build a view's plan once: the generated tables never change, so listing
-    their files and reading their footers again would only cost time."""
+    """Build a view's plan once for as long as the tables' files stay as they are."""
     built: WeakKeyDictionary[SparkSession, dict] = WeakKeyDictionary()
 
     @wraps(view)
-    def cached(spark: SparkSession, *key: str) -> DataFrame:
-        plans = built.setdefault(spark, {})
+    def cached(spark: SparkSession, sf_dir: str) -> DataFrame:
+        plans, key = built.setdefault(spark, {}), (sf_dir, data_version(spark, sf_dir))
         if key not in plans:
-            plans[key] = view(spark, *key)
+            plans[key] = view(spark, sf_dir)
         return plans[key]
 
     return cached
 
 
-@once_per_session
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -74,7 +72,7 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         F.col("ts").alias("click_time"),
         F.when(event % 2 == 0, "Homepage").otherwise("Product").alias("click_at"),
-        _pick(SOURCES_BY_SLOT, _k() % len(SOURCES_BY_SLOT)).alias("source"),
+        _pick(SOURCES, _k() % len(SOURCES)).alias("source"),
         F.concat_ws(".", F.lit("10"), F.lit("0"), event % 256, _k()).alias("ip"),
     )
 
@@ -83,17 +81,17 @@ def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").where("event_type = 'purchase'")
     event = F.col("event_id")
-    failed = event % 7 == 0
-    reason = _pick(FAILURE_REASONS, F.floor(event / 7) % len(FAILURE_REASONS))
+    failed = event % 9 == 4
+    reason = _pick(FAILURE_REASONS, F.floor(event / 9) % len(FAILURE_REASONS))
     return rows.select(
         event.alias("purchase_id"),
         "user_id",
         _k().alias("product_id"),
-        (2 + event % 18).cast("decimal(10,2)").alias("shipping_cost"),
-        ((event % 4) * F.lit("0.05").cast("decimal(3,2)")).cast("decimal(4,2)").alias("discount"),
+        (event % 31).cast("decimal(10,2)").alias("shipping_cost"),
+        ((event % 5) * F.lit("0.08").cast("decimal(3,2)")).cast("decimal(4,2)").alias("discount"),
         F.col("value").alias("total_cost"),
         _pick(PAYMENT_METHODS, event % len(PAYMENT_METHODS)).alias("payment_method"),
-        (1 + event % 10).alias("quantity"),
+        (1 + event % 13).alias("quantity"),
         F.when(failed, "failure").otherwise("success").alias("payment_status"),
         F.when(failed, reason).otherwise(NO_FAILURE).alias("description"),
         F.col("ts").alias("purchase_time"),
