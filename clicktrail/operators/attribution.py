@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicktrail.functions.temporal import bucket_start, interval
+from clicktrail.functions.temporal import bucket_start, interval, micros
 from clicktrail.schemas import CLICK_COLUMNS, CLICK_PAYLOAD
 
 LOOKBACK = "10 minutes"
@@ -126,8 +126,7 @@ def trailing_first_click(
     purchases: DataFrame,
     clicks: DataFrame,
     lookback: str = LOOKBACK,
-    slice_width: str = "1 minute",
-    max_user_rows: int = 1_000_000,
+    slice_width: str = "10 minutes",
 ) -> DataFrame:
     """Every purchase with the earliest click in the lookback before it.
 
@@ -139,34 +138,33 @@ def trailing_first_click(
     themselves only meet the result in a final equi-join on user and time,
     many-to-one, where Spark may broadcast or split skewed keys.
 
-    A user with more than ``max_user_rows`` rows is read in time slices of
-    ``slice_width``. Their rows are first combined per microsecond, slices are
-    scanned in parallel, and a second scan over one row per slice carries the
-    first click of later slices into earlier ones. The largest slice is thus
-    bounded by the clock and the carry by the time range, however the rows are
-    spread. The list of such users has at most (rows / ``max_user_rows``)
-    entries, which bounds what is broadcast; when it is empty the sliced part
-    of the plan is dropped at run time.
+    Every user is read in time slices of ``slice_width`` (of the lookback, if
+    that is shorter), so one user's rows are spread over as many tasks as they
+    have slices. What a slice cannot answer is the first click of a later one,
+    at most one lookback on: it is carried over one row per slice, within
+    groups of as many slices as make up a lookback. A group also lists the
+    slices of the next one, and none further is needed. So a carry holds at
+    most two lookbacks of slices of one user, whatever time the data spans.
+    Clicks and purchases are read, shuffled and sorted once for all of this.
     """
+    width = min(micros(slice_width), micros(lookback))
+    slices = -(-micros(lookback) // width)
     length = interval(lookback)
-    points = _scan_points(purchases, clicks, length)
-    heavy = F.broadcast(
-        points.groupBy("user_id").count().where(F.col("count") > max_user_rows).select("user_id")
-    )
-    whole = points.join(heavy, "user_id", "left_anti").withColumn(
-        "_slice", F.lit(None).cast(points.schema["_at"].dataType)
-    )
-    sliced = (
-        points.join(heavy, "user_id", "left_semi")
-        .groupBy("user_id", "_at")
-        .agg(F.min("_click").alias("_click"), F.max("_asked").alias("_asked"))
-        .withColumn("_slice", bucket_start("_at", slice_width))
-    )
-    scanned = _scan_backwards(whole.unionByName(sliced))
-    resolved = scanned.join(_carry(sliced), ["user_id", "_slice"], "left").select(
-        "user_id",
-        (F.col("_at") + length).alias("purchase_time"),
-        F.coalesce("_within", "_carry").alias("_click"),
+    points = (
+        _scan_points(purchases, clicks, length)
+        .withColumn("_slice", bucket_start("_at", f"{width} microseconds"))
+        .where("_slice IS NOT NULL")  # as the join on it would ask of one of the two uses only
+        .repartition("user_id", "_slice")
+    )
+    carried = _carry(points, f"{width * slices} microseconds")
+    resolved = (
+        _scan_backwards(points)
+        .join(carried, ["user_id", "_slice"], "left")
+        .select(
+            "user_id",
+            (F.col("_at") + length).alias("purchase_time"),
+            F.coalesce("_within", "_carry").alias("_click"),
+        )
     )
     attributed = resolved.select(
         "user_id", "purchase_time", *[F.col(f"_click.{name}").alias(name) for name in CLICK_PAYLOAD]
@@ -222,17 +220,33 @@ def _scan_backwards(points: DataFrame) -> DataFrame:
     )
 
 
-def _carry(sliced: DataFrame) -> DataFrame:
-    """For slices with questions, the first click of the nearest later slice that has one."""
+def _carry(points: DataFrame, group_width: str) -> DataFrame:
+    """For slices with questions, the first click of the nearest later slice that has one.
+
+    ``group_width`` is a whole number of slices and at least a lookback. A
+    slice with clicks is listed in its own group and in the one before.
+    """
+    slices = (
+        points.groupBy("user_id", "_slice")
+        .agg(
+            F.min("_click").alias("_head"),
+            F.max("_asked").alias("_asked"),
+            F.max("_at").alias("_newest"),
+        )
+        # always true; it keeps this branch on the columns of the scan, so that both share one shuffle
+        .where("_newest IS NOT NULL")
+        .withColumn("_own", bucket_start("_slice", group_width))
+    )
+    before = F.col("_own") - interval(group_width)
+    listed = F.when(F.col("_head").isNotNull(), F.array(F.col("_own"), before)).otherwise(F.array("_own"))
     later = (
-        Window.partitionBy("user_id")
+        Window.partitionBy("user_id", "_group")
         .orderBy(F.desc("_slice"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        sliced.groupBy("user_id", "_slice")
-        .agg(F.min("_click").alias("_head"), F.max("_asked").alias("_asked"))
+        slices.withColumn("_group", F.explode(listed))
         .withColumn("_carry", F.last("_head", ignorenulls=True).over(later))
-        .where("_asked AND _carry IS NOT NULL")
+        .where("_asked AND _group = _own AND _carry IS NOT NULL")
         .select("user_id", "_slice", "_carry")
     )

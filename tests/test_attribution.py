@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from clicktrail.functions.temporal import micros
 from clicktrail.operators.attribution import (
     final_clicks,
     final_clicks_second_join,
@@ -76,7 +77,7 @@ def test_ties_go_to_the_smaller_click_id(spark):
     c = clicks(spark, ("c2", "u", NOON), ("c1", "u", NOON))
     p = purchases(spark, ("p", "u", at("12:03")))
     assert both(p, c) == [[("p", "c1")]] * 2
-    sliced = trailing_first_click(p, c, max_user_rows=1)
+    sliced = trailing_first_click(p, c, slice_width="1 second")
     assert rows(sliced, "purchase_id", "click_id") == [("p", "c1")]
 
 
@@ -94,8 +95,8 @@ def test_purchases_at_one_instant_all_keep_their_rows(spark):
     c = clicks(spark, ("c", "u", at("12:00")))
     p = purchases(spark, ("p1", "u", at("12:01")), ("p2", "u", at("12:01")), ("p3", "u", at("12:01")))
     expected = [("p1", "c"), ("p2", "c"), ("p3", "c")]
-    for limit in (1_000_000, 1):
-        assert rows(trailing_first_click(p, c, max_user_rows=limit), "purchase_id", "click_id") == expected
+    for width in ("10 minutes", "30 seconds"):
+        assert rows(trailing_first_click(p, c, slice_width=width), "purchase_id", "click_id") == expected
 
 
 def random_events(seed, seconds, n):
@@ -141,9 +142,10 @@ def test_random_events_against_brute_force(spark, seed):
     expected = brute_trailing(c, p, lookback)
     for options in (
         {},
-        {"max_user_rows": 1},
-        {"max_user_rows": 60, "slice_width": "7 seconds"},
-        {"max_user_rows": 1, "slice_width": "1 hour"},
+        {"slice_width": "1 minute"},
+        {"slice_width": "7 seconds"},
+        {"slice_width": "6 minutes 30 seconds"},
+        {"slice_width": "1 hour"},
     ):
         assert rows(trailing_first_click(pdf, cdf, text, **options), "purchase_id", "click_id") == expected
     expected = brute_windowed(c, p, lookback)
@@ -151,10 +153,26 @@ def test_random_events_against_brute_force(spark, seed):
         assert rows(windowed(pdf, cdf, text, **options), "purchase_id", "click_id") == expected
 
 
+@pytest.mark.parametrize("lookback", ["25 minutes", "1 hour 10 minutes"])
+def test_lookbacks_longer_than_a_slice(spark, lookback):
+    c, p = random_events(7, seconds=40_000, n=150)
+    length = dt.timedelta(microseconds=micros(lookback))
+    got = trailing_first_click(purchases(spark, *p), clicks(spark, *c), lookback)
+    assert rows(got, "purchase_id", "click_id") == brute_trailing(c, p, length)
+
+
+def test_durations():
+    assert micros("1 hour 30 minutes") == 5_400_000_000
+    assert micros("0.5 seconds") == 500_000 and micros("2 weeks") == 14 * 86_400_000_000
+    for wrong in ("", "5", "1 month"):
+        with pytest.raises(ValueError):
+            micros(wrong)
+
+
 def test_attribution_works_on_zoneless_times(spark):
     c = clicks(spark, ("c", "u", NOON)).withColumn("click_time", F.col("click_time").cast("timestamp_ntz"))
     p = purchases(spark, ("p", "u", at("12:10"))).withColumn(
         "purchase_time", F.col("purchase_time").cast("timestamp_ntz")
     )
     assert both(p, c) == [[("p", "c")]] * 2
-    assert rows(trailing_first_click(p, c, max_user_rows=1), "purchase_id") == [("p",)]
+    assert rows(trailing_first_click(p, c, slice_width="1 second"), "purchase_id") == [("p",)]

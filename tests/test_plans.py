@@ -3,15 +3,16 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as driver
 from clicktrail.operators.attribution import first_click_per_window, interval_attribution, trailing_first_click
 from clicktrail.operators.rollups import rollup_cube
+from clicktrail.plans import registry
 from clicktrail.plans import testdata_views as views
 from clicktrail.plans.checkouts import windowed_checkouts
 
 SF_DIR = "/root/testdata/sf0.001"
 EAGER = ("stream_", "report_", "retention_", "load_", "csv_", "table_")
-LAZY = [name for name in driver.queries() if not name.startswith(EAGER)]
+QUERIES = registry.all_queries()
+LAZY = [name for name in QUERIES if not name.startswith(EAGER)]
 
 
 def plan(df):
@@ -30,7 +31,7 @@ def no_small_tables(spark):
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_cross_joins_and_no_python_rows(spark, name):
-    text = plan(driver.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEval", "MapInPandas"):
         assert node not in text
 
@@ -42,7 +43,7 @@ def test_event_filters_reach_the_scan(spark):
 
 def test_status_filter_reaches_a_stored_table(spark, tmp_path):
     path = str(tmp_path / "t")
-    driver.queries()["checkouts_1d"](spark, SF_DIR).write.parquet(path)
+    QUERIES["checkouts_1d"](spark, SF_DIR).write.parquet(path)
     stored = spark.read.parquet(path)
     one = stored.where(F.col("payment_status") == "success").groupBy("source").count()
     text = plan(one)
@@ -56,19 +57,25 @@ def test_large_dimensions_are_not_broadcast(spark, no_small_tables):
     assert "Broadcast" not in text and "SortMergeJoin" in text
 
 
-def test_trailing_broadcasts_nothing_but_the_heavy_users(spark, no_small_tables):
-    text = plan(trailing_first_click(views.purchases(spark, SF_DIR), views.clicks(spark, SF_DIR)))
-    broadcasts = [line for line in text.splitlines() if "BroadcastExchange" in line]
-    joins = [line for line in text.splitlines() if "BroadcastHashJoin" in line]
-    assert broadcasts and joins
-    assert all("LeftAnti" in line or "LeftSemi" in line for line in joins)
+@pytest.mark.parametrize("lookback", ["10 minutes", "1 day"])
+def test_trailing_reads_events_twice_and_broadcasts_nothing(spark, no_small_tables, lookback):
+    """Points are scanned, shuffled and sorted once; only the purchases come again, for their own columns."""
+    df = trailing_first_click(views.purchases(spark, SF_DIR), views.clicks(spark, SF_DIR), lookback)
+    df.collect()
+    text = plan(df)
+    final = text.split("== Initial Plan ==")[0]
+    assert "Broadcast" not in text
+    scans = [line for line in final.splitlines() if "FileScan" in line]
+    assert sum("EqualTo(event_type,click)" in line for line in scans) == 1
+    assert sum("EqualTo(event_type,purchase)" in line for line in scans) == 2
+    assert "ReusedExchange" in final
 
 
-def test_unheavy_data_skips_the_sliced_plan(spark):
-    df = trailing_first_click(views.purchases(spark, SF_DIR), views.clicks(spark, SF_DIR), "1 day")
-    df.collect()
-    final = plan(df).split("== Initial Plan ==")[0]
-    assert "LeftSemi" not in final and final.count("Window [") == 1
+def test_reports_prune_days(spark):
+    query = QUERIES["report_sources"](spark, SF_DIR)
+    query.collect()
+    scans = [line for line in plan(query).splitlines() if "FileScan" in line]
+    assert scans and any("PartitionFilters: [isnotnull(date" in line for line in scans)
 
 
 def test_interval_join_is_an_equi_join_on_user_and_bucket(spark, no_small_tables):
@@ -80,6 +87,6 @@ def test_interval_join_is_an_equi_join_on_user_and_bucket(spark, no_small_tables
 
 def test_cube_shuffles_checkouts_once_after_combining(spark, no_small_tables, tmp_path):
     path = str(tmp_path / "t")
-    driver.queries()["checkouts_1d"](spark, SF_DIR).write.parquet(path)
+    QUERIES["checkouts_1d"](spark, SF_DIR).write.parquet(path)
     text = plan(rollup_cube(spark.read.parquet(path)))
     assert text.count("Exchange hashpartitioning") == 1 and "partial_count" in text
