@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktrail.schemas import TableContract
@@ -21,7 +21,17 @@ def key_violations(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("rows")).where(f"rows > 1 OR {has_null}")
 
 
-def new_rows(batch: DataFrame, stored: DataFrame, key: Iterable[str]) -> DataFrame:
+def first_per_key(df: DataFrame, key: Sequence[str], first_by: Sequence[str] = ()) -> DataFrame:
+    """One row per key, the first by ``first_by`` and then by all columns; rows with a NULL key all stay."""
+    rest = [name for name in df.columns if name not in (*key, *first_by)]
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(*first_by, *rest))
+    complete = F.lit(True)
+    for name in key:
+        complete = complete & F.col(name).isNotNull()
+    return df.withColumn("_place", place).where((F.col("_place") == 1) | ~complete).drop("_place")
+
+
+def new_rows(batch: DataFrame, stored: DataFrame, key: Iterable[str], first_by: Sequence[str] = ()) -> DataFrame:
     """Rows of a batch whose key the table lacks, one row per key."""
     key = list(key)
-    return batch.dropDuplicates(key).join(stored.select(*key), key, "left_anti")
+    return first_per_key(batch, key, first_by).join(stored.select(*key), key, "left_anti")

@@ -26,14 +26,16 @@ from clicktrail.plans.stored import once, read_rollup, stored_cube, write_rollup
 from clicktrail.plans.streams import (
     checkouts_table,
     final_clicks_topic,
+    min_clicks_topic,
     rollup_tables,
     staged_topics,
+    topic_rollup_tables,
     trailing_table,
 )
 from clicktrail.schemas import CHECKOUTS, PRODUCTS, ROLLUPS, USERS, TableContract
 from clicktrail.session import work_dir
-from clicktrail.sinks.tables import drop_expired, load_dimension
-from clicktrail.sources.tables import CSV_OPTIONS, read_csv_table
+from clicktrail.sinks.tables import drop_expired, load_dimension, read_dimension
+from clicktrail.sources.tables import CSV_OPTIONS, newest_day, read_csv_table, read_since
 from clicktrail.sources.topics import read_topics
 from clicktrail.streaming.triggers import AVAILABLE_NOW
 
@@ -110,7 +112,7 @@ def _loaded(spark: SparkSession, rows: DataFrame, contract: TableContract) -> Da
     seed, table = work_dir(spark, "seed-csv"), work_dir(spark, "dimension")
     rows.write.options(**CSV_OPTIONS).csv(seed)
     load_dimension(read_csv_table(spark, seed, contract), table, contract)
-    return at_edge(spark.read.schema(contract.schema).parquet(table))
+    return at_edge(read_dimension(spark, table, contract))
 
 
 def load_users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,12 +191,12 @@ def click_query(spark: SparkSession, sf_dir: str, operator, lookback: str) -> Da
 
 def rolled_up(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     contract = ROLLUPS[table].zoneless()
-    return conform(rollup(trailing(spark, sf_dir, DAY), table), contract)
+    return at_edge(conform(rollup(trailing(spark, sf_dir, DAY), table), contract))
 
 
 def single_pass(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     cube = rollup_cube(trailing(spark, sf_dir, DAY))
-    return conform(rollup_from_cube(cube, table), ROLLUPS[table].zoneless())
+    return at_edge(conform(rollup_from_cube(cube, table), ROLLUPS[table].zoneless()))
 
 
 def stored_rollup(spark: SparkSession, sf_dir: str, table: str) -> str:
@@ -203,7 +205,7 @@ def stored_rollup(spark: SparkSession, sf_dir: str, table: str) -> str:
     def make() -> str:
         return write_rollup(spark, _cube(spark, sf_dir), table)
 
-    return once(spark, "rollup", table, sf_dir, make=make)
+    return once(spark, sf_dir, "rollup", table, make=make)
 
 
 def _cube(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,24 +215,34 @@ def _cube(spark: SparkSession, sf_dir: str) -> DataFrame:
 def retained(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A stored roll-up table after expired days and rows were removed from it."""
     path = write_rollup(spark, _cube(spark, sf_dir), table)
-    newest = read_rollup(spark, path, table).agg(F.max("time").cast("string")).first()[0]
+    newest = newest_day(spark, path, ROLLUPS[table].zoneless()).agg(F.max("time").cast("string")).first()[0]
     as_of = F.lit(newest).cast("timestamp_ntz")
     drop_expired(spark, path, ROLLUPS[table].zoneless(), as_of, KEEP)
-    return read_rollup(spark, path, table)
+    return at_edge(read_rollup(spark, path, table))
 
 
 def report_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.report_revenue(read_rollup(spark, stored_rollup(spark, sf_dir, "revenue"), "revenue"))
+    return at_edge(reports.report_revenue(read_rollup(spark, stored_rollup(spark, sf_dir, "revenue"), "revenue")))
 
 
 def count_report(spark: SparkSession, sf_dir: str, report, table: str) -> DataFrame:
-    rows = read_rollup(spark, stored_rollup(spark, sf_dir, table), table)
-    return report(rows, reports.latest(rows), REPORT_HORIZON)
+    """A report over the days its horizon can touch; the newest day tells what "now" is."""
+    path, contract = stored_rollup(spark, sf_dir, table), ROLLUPS[table].zoneless()
+    as_of = reports.latest(newest_day(spark, path, contract))
+    return report(read_since(spark, path, contract, as_of, REPORT_HORIZON), as_of, REPORT_HORIZON)
 
 
 # --- streams ---------------------------------------------------------------------
 
 
+def stream_min_click(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return at_edge(min_clicks_topic(spark, sf_dir, TEN_MINUTES, AVAILABLE_NOW))
+
+
+def stream_topic_rollup(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return at_edge(topic_rollup_tables(spark, sf_dir, DAY, AVAILABLE_NOW)[table])
+
+
 def stream_final_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return at_edge(final_clicks_topic(spark, sf_dir, TEN_MINUTES, AVAILABLE_NOW))
 
@@ -266,6 +278,7 @@ def all_queries() -> dict[str, Query]:
         "enrich_purchases": enriched,
         "successful_checkouts": partial(checkouts_with_status, status="success"),
         "failed_checkouts": partial(checkouts_with_status, status="failure"),
+        "stream_min_click": stream_min_click,
         "stream_final_clicks": stream_final_clicks,
         "stream_checkouts_sink": stream_checkouts_sink,
         "stream_first_click_attribution": stream_first_click_attribution,
@@ -285,6 +298,7 @@ def all_queries() -> dict[str, Query]:
             table: partial(rolled_up, table=table),
             f"{table}_single_pass": partial(single_pass, table=table),
             f"stream_{table}": partial(stream_rollup, table=table),
+            f"stream_topic_{table}": partial(stream_topic_rollup, table=table),
             f"retention_{table}": partial(retained, table=table),
         }
     return named | {

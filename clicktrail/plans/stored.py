@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from clicktrail.operators.rollups import rollup_cube, rollup_from_cube
+from clicktrail.plans.testdata_views import data_version
 from clicktrail.schemas import ROLLUPS
 from clicktrail.session import work_dir
 from clicktrail.sinks.tables import write_batch
@@ -15,15 +16,15 @@ from clicktrail.sources.tables import read_rows
 _done: dict[tuple, str] = {}
 
 
-def once(spark: SparkSession, *key: str, make: Callable[[], str]) -> str:
-    """The folder that ``make`` filled the first time this session asked for it."""
-    full = (spark.sparkContext.applicationId, *key)
+def once(spark: SparkSession, sf_dir: str, *key: str, make: Callable[[], str]) -> str:
+    """The folder that ``make`` filled the first time this session asked for it, while the data stays as it is."""
+    full = (spark.sparkContext.applicationId, sf_dir, data_version(spark, sf_dir), *key)
     if full not in _done:
         _done[full] = make()
     return _done[full]
 
 
-def stored_cube(spark: SparkSession, checkouts: DataFrame, *key: str) -> DataFrame:
+def stored_cube(spark: SparkSession, checkouts: DataFrame, sf_dir: str) -> DataFrame:
     """The roll-up cube of some checkouts as a table, so that the checkouts are computed once."""
 
     def make() -> str:
@@ -31,7 +32,7 @@ def stored_cube(spark: SparkSession, checkouts: DataFrame, *key: str) -> DataFra
         rollup_cube(checkouts).write.parquet(path)
         return path
 
-    return spark.read.parquet(once(spark, "cube", *key, make=make))
+    return spark.read.parquet(once(spark, sf_dir, "cube", make=make))
 
 
 def write_rollup(spark: SparkSession, cube: DataFrame, table: str) -> str:

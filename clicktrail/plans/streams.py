@@ -1,31 +1,40 @@
 """The streaming pipeline run over the generated tables.
 
 The tables are encoded once per session and data set into topic directories
-under the shared work folder, as producers would have sent them. A flush
-message of a user nobody knows, far in the future, moves the watermarks past
-the last real window; the enrichment drops it.
+under the shared work folder, in the order of time and as several files, as
+producers would have sent them. Streams read one file of each topic in a
+micro-batch. When they have read all, a flush message of a user nobody knows,
+far in the future, is published and the queries are started again on their
+checkpoints; it moves the watermarks past the last real window and is dropped
+by the enrichment.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
-from clicktrail.functions.codec import decode_clicks
+from clicktrail.functions.codec import decode_clicks, encode_rows
 from clicktrail.plans import testdata_views as views
 from clicktrail.plans.stored import once
 from clicktrail.schemas import CHECKOUTS, CLICKS, PRODUCTS, ROLLUPS, USERS
 from clicktrail.session import work_dir
-from clicktrail.sinks.tables import load_dimension, parquet_store
+from clicktrail.sinks.tables import load_dimension, parquet_store, read_dimension
 from clicktrail.sinks.topics import append_topic
-from clicktrail.sources.tables import read_rows
-from clicktrail.sources.topics import load_topics, read_topics
+from clicktrail.sources.tables import file_system, read_rows
+from clicktrail.sources.topics import load_topics, read_topics, topic_dir
 from clicktrail.streaming.pipeline import (
     Timing,
     checkout_stream,
+    checkouts_of_topic,
+    settled_min_clicks,
     start_checkout_table,
     start_checkouts,
     start_final_clicks,
+    start_min_clicks,
     start_rollups,
 )
 from clicktrail.streaming.trailing import start_trailing_checkouts
@@ -33,6 +42,11 @@ from clicktrail.streaming.triggers import Trigger
 
 FLUSH_USER = "flush"
 FLUSH_TIME = "2100-01-01 00:00:00"
+#: Topics that get a flush message.
+FLUSHED = ("clicks", "purchases", "checkouts")
+#: Files of a staged topic, each a micro-batch, and state shards of these small streams.
+TOPIC_FILES, STATE_PARTITIONS = 5, 4
+
 
 def flush_messages(rows: DataFrame, encode, time: str) -> DataFrame:
     """One message with a time and placeholders, in the topic's own encoding.
@@ -49,34 +63,57 @@ def staged_topics(spark: SparkSession, sf_dir: str) -> str:
 
     def stage() -> str:
         root = work_dir(spark, "topics")
-        append_topic(views.click_messages(views.clicks(spark, sf_dir)), root, "clicks")
-        append_topic(views.purchase_messages(views.purchases(spark, sf_dir)), root, "purchases")
+        clicks, purchases = views.clicks(spark, sf_dir), views.purchases(spark, sf_dir)
+        stage_in_order(clicks, views.click_messages, "click_time", root, "clicks")
+        stage_in_order(purchases, views.purchase_messages, "purchase_time", root, "purchases")
         return root
 
-    return once(spark, "topics", sf_dir, make=stage)
+    return once(spark, sf_dir, "topics", make=stage)
 
 
-def staged_flush(spark: SparkSession, sf_dir: str) -> str:
-    """Root of topics that hold the flush messages alone."""
+def stage_in_order(rows: DataFrame, encode, time: str, root: str, topic: str, files: int = TOPIC_FILES) -> None:
+    """A topic as files that follow one another in time; readers take files by their modification time."""
+    spark = rows.sparkSession
+    append_topic(encode(rows.repartitionByRange(files, time).sortWithinPartitions(time)), root, topic)
+    location, fs = file_system(spark, topic_dir(root, topic))
+    found = [s.getPath() for s in fs.listStatus(location) if s.getPath().getName().startswith("part-")]
+    found.sort(key=lambda path: path.getName())
+    newest = fs.getFileStatus(location).getModificationTime()
+    for n, path in enumerate(found):
+        fs.setTimes(path, newest - 1000 * (len(found) - n), -1)
+
+
+def stage_flush(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """The flush message of every topic."""
+    clicks, purchases = views.clicks(spark, sf_dir), views.purchases(spark, sf_dir)
+    append_topic(flush_messages(clicks, views.click_messages, "click_time"), root, "clicks")
+    append_topic(flush_messages(purchases, views.purchase_messages, "purchase_time"), root, "purchases")
+    append_topic(flush_messages(_checkout_times(spark), encode_rows, "purchase_time"), root, "checkouts")
 
-    def stage() -> str:
-        root = work_dir(spark, "flush")
-        clicks, purchases = views.clicks(spark, sf_dir), views.purchases(spark, sf_dir)
-        append_topic(flush_messages(clicks, views.click_messages, "click_time"), root, "clicks")
-        append_topic(flush_messages(purchases, views.purchase_messages, "purchase_time"), root, "purchases")
-        return root
 
-    return once(spark, "flush", sf_dir, make=stage)
+def _checkout_times(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "purchase_id string, user_id string, purchase_time string")
 
 
-def event_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Click and purchase messages, each with its flush message."""
+def run_and_flush(spark: SparkSession, sf_dir: str, flush: str, start: Callable[[], StreamingQuery]) -> None:
+    """Run a query over what is there, publish the flush messages under ``flush``, and run it again from its checkpoint."""
+    for topic in FLUSHED:
+        location, fs = file_system(spark, topic_dir(flush, topic))
+        fs.mkdirs(location)
+    start().awaitTermination()
+    stage_flush(spark, sf_dir, flush)
+    start().awaitTermination()
 
-    def one(topic: str) -> DataFrame:
-        real = read_topics(spark, staged_topics(spark, sf_dir), topic)
-        return real.unionByName(read_topics(spark, staged_flush(spark, sf_dir), topic))
 
-    return one("clicks"), one("purchases")
+def with_flush(spark: SparkSession, root: str, topic: str, flush: str) -> DataFrame:
+    """A topic, one file a micro-batch, and its flush message once there is one."""
+    return read_topics(spark, root, topic, files_per_batch=1).unionByName(read_topics(spark, flush, topic))
+
+
+def event_streams(spark: SparkSession, sf_dir: str, flush: str) -> tuple[DataFrame, DataFrame]:
+    """Click and purchase messages."""
+    root = staged_topics(spark, sf_dir)
+    return with_flush(spark, root, "clicks", flush), with_flush(spark, root, "purchases", flush)
 
 
 def loaded_dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -88,63 +125,123 @@ def loaded_dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Data
         load_dimension(views.products(spark, sf_dir), f"{root}/products", PRODUCTS)
         return root
 
-    root = once(spark, "dimensions", sf_dir, make=load)
-    return (
-        spark.read.schema(USERS.schema).parquet(f"{root}/users"),
-        spark.read.schema(PRODUCTS.schema).parquet(f"{root}/products"),
-    )
+    root = once(spark, sf_dir, "dimensions", make=load)
+    return read_dimension(spark, f"{root}/users", USERS), read_dimension(spark, f"{root}/products", PRODUCTS)
+
+
+def min_clicks_topic(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> DataFrame:
+    """Click topic to minima topic in update mode, settled."""
+
+    def run() -> str:
+        root = work_dir(spark, "min-clicks-stream")
+        clicks = read_topics(spark, staged_topics(spark, sf_dir), "clicks", files_per_batch=1)
+        timing = Timing(lookback=lookback)
+        start_min_clicks(clicks, root, f"{root}/checkpoint", timing, trigger, STATE_PARTITIONS).awaitTermination()
+        return root
+
+    root = once(spark, sf_dir, "min-clicks", lookback, make=run)
+    return settled_min_clicks(load_topics(spark, root, "min_clicks"), lookback)
 
 
 def final_clicks_topic(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> DataFrame:
     """Click topic to final-clicks topic, decoded."""
 
     def run() -> str:
-        root = work_dir(spark, "final-clicks-stream")
-        clicks, _ = event_streams(spark, sf_dir)
-        start_final_clicks(
-            clicks, root, f"{root}/checkpoint", Timing(lookback=lookback), trigger
-        ).awaitTermination()
+        root, flush = work_dir(spark, "final-clicks-stream"), work_dir(spark, "flush")
+
+        def start() -> StreamingQuery:
+            clicks, _ = event_streams(spark, sf_dir, flush)
+            timing = Timing(lookback=lookback)
+            return start_final_clicks(clicks, root, f"{root}/checkpoint", timing, trigger, STATE_PARTITIONS)
+
+        run_and_flush(spark, sf_dir, flush, start)
         return root
 
-    root = once(spark, "final-clicks", sf_dir, lookback, make=run)
+    root = once(spark, sf_dir, "final-clicks", lookback, make=run)
     return decode_clicks(load_topics(spark, root, "final_clicks"), "final_clicks", CLICKS.columns)
 
 
+def checkouts_root(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> str:
+    """Topics to checkouts topic."""
+
+    def run() -> str:
+        root, flush = work_dir(spark, "checkouts-stream"), work_dir(spark, "flush")
+
+        def start() -> StreamingQuery:
+            return start_checkouts(
+                *event_streams(spark, sf_dir, flush),
+                *loaded_dimensions(spark, sf_dir),
+                topics=root,
+                checkpoint=f"{root}/checkpoints/attribution",
+                timing=Timing(lookback=lookback),
+                trigger=trigger,
+                state_partitions=STATE_PARTITIONS,
+            )
+
+        run_and_flush(spark, sf_dir, flush, start)
+        return root
+
+    return once(spark, sf_dir, "checkouts", lookback, make=run)
+
+
 def checkouts_table(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> DataFrame:
     """Topics to checkouts topic to checkouts table, by two streaming queries."""
+    root = checkouts_root(spark, sf_dir, lookback, trigger)
 
     def run() -> str:
-        root = work_dir(spark, "checkouts-stream")
-        start_checkouts(
-            *event_streams(spark, sf_dir),
-            *loaded_dimensions(spark, sf_dir),
-            topic_root=root,
-            checkpoint=f"{root}/checkpoints/attribution",
-            timing=Timing(lookback=lookback),
-            trigger=trigger,
-        ).awaitTermination()
-        start_checkout_table(
-            read_topics(spark, root, "checkouts"), parquet_store(f"{root}/tables"), f"{root}/checkpoints/table", trigger
-        ).awaitTermination()
-        return root
+        out = work_dir(spark, "checkouts-table")
+        topic = read_topics(spark, root, "checkouts", files_per_batch=4)
+        start_checkout_table(topic, parquet_store(out), f"{out}/checkpoint", trigger).awaitTermination()
+        return out
+
+    out = once(spark, sf_dir, "checkouts-table", lookback, make=run)
+    return read_rows(spark, f"{out}/checkouts", CHECKOUTS)
+
+
+def topic_rollup_tables(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> dict[str, DataFrame]:
+    """Topics to checkouts topic to the five roll-up tables, by two streaming queries."""
+    root = checkouts_root(spark, sf_dir, lookback, trigger)
+
+    def run() -> str:
+        out, flush = work_dir(spark, "topic-rollups"), work_dir(spark, "flush")
+
+        def start() -> StreamingQuery:
+            topic = read_topics(spark, root, "checkouts", files_per_batch=4)
+            messages = topic.unionByName(read_topics(spark, flush, "checkouts"))
+            return start_rollups(
+                checkouts_of_topic(messages, lookback=lookback),
+                parquet_store(out, gather_days=True),
+                f"{out}/checkpoint",
+                trigger=trigger,
+                state_partitions=STATE_PARTITIONS,
+            )
+
+        run_and_flush(spark, sf_dir, flush, start)
+        return out
 
-    root = once(spark, "checkouts", sf_dir, lookback, make=run)
-    return read_rows(spark, f"{root}/tables/checkouts", CHECKOUTS)
+    out = once(spark, sf_dir, "topic-rollups", lookback, make=run)
+    return {table: read_rows(spark, f"{out}/{table}", contract) for table, contract in ROLLUPS.items()}
 
 
 def rollup_tables(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> dict[str, DataFrame]:
     """Topics to the five roll-up tables, attribution and roll-up in one streaming query."""
 
     def run() -> str:
-        root = work_dir(spark, "rollup-stream")
-        checkouts = checkout_stream(
-            *event_streams(spark, sf_dir), *loaded_dimensions(spark, sf_dir), timing=Timing(lookback=lookback)
-        )
-        store = parquet_store(root, gather_days=True)
-        start_rollups(checkouts, store, f"{root}/checkpoint", trigger=trigger).awaitTermination()
+        root, flush = work_dir(spark, "rollup-stream"), work_dir(spark, "flush")
+
+        def start() -> StreamingQuery:
+            checkouts = checkout_stream(
+                *event_streams(spark, sf_dir, flush), *loaded_dimensions(spark, sf_dir), timing=Timing(lookback=lookback)
+            )
+            store = parquet_store(root, gather_days=True)
+            return start_rollups(
+                checkouts, store, f"{root}/checkpoint", trigger=trigger, state_partitions=STATE_PARTITIONS
+            )
+
+        run_and_flush(spark, sf_dir, flush, start)
         return root
 
-    root = once(spark, "rollups", sf_dir, lookback, make=run)
+    root = once(spark, sf_dir, "rollups", lookback, make=run)
     return {table: read_rows(spark, f"{root}/{table}", contract) for table, contract in ROLLUPS.items()}
 
 
@@ -152,16 +249,21 @@ def trailing_table(spark: SparkSession, sf_dir: str, lookback: str, trigger: Tri
     """Topics to settled tables to trailing checkouts, in one streaming query."""
 
     def run() -> str:
-        root = work_dir(spark, "trailing-stream")
-        start_trailing_checkouts(
-            *event_streams(spark, sf_dir),
-            *loaded_dimensions(spark, sf_dir),
-            root=root,
-            checkpoint=f"{root}/checkpoint",
-            timing=Timing(lookback=lookback),
-            trigger=trigger,
-        ).awaitTermination()
+        root, flush = work_dir(spark, "trailing-stream"), work_dir(spark, "flush")
+
+        def start() -> StreamingQuery:
+            return start_trailing_checkouts(
+                *event_streams(spark, sf_dir, flush),
+                *loaded_dimensions(spark, sf_dir),
+                root=root,
+                checkpoint=f"{root}/checkpoint",
+                timing=Timing(lookback=lookback),
+                trigger=trigger,
+                state_partitions=STATE_PARTITIONS,
+            )
+
+        run_and_flush(spark, sf_dir, flush, start)
         return root
 
-    root = once(spark, "trailing", sf_dir, lookback, make=run)
+    root = once(spark, sf_dir, "trailing", lookback, make=run)
     return read_rows(spark, f"{root}/checkouts", CHECKOUTS)

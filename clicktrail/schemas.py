@@ -41,15 +41,22 @@ MONEY = T.DecimalType(14, 4)
 RATE = T.DecimalType(5, 4)
 UNITS = T.DecimalType(13, 4)
 ORDER_TOTAL = T.DecimalType(24, 8)
+#: Stored sums of money.
+AMOUNT = T.DecimalType(38, 12)
 
 
 @dataclass(frozen=True)
 class TableContract:
-    """Column order and types of a table plus the columns that identify a row."""
+    """Column order and types of a table plus the columns that identify a row.
+
+    Where a key may come more than once, ``first_by`` says which row a stored
+    table keeps: the first in that order.
+    """
 
     schema: T.StructType
     key: tuple[str, ...]
     event_time: str | None = None
+    first_by: tuple[str, ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -70,6 +77,8 @@ def _struct(**fields: T.DataType) -> T.StructType:
 
 _S, _TS, _D, _F = T.StringType(), T.TimestampType(), T.DateType(), T.DoubleType()
 
+# Names, order, types and keys of the tables, which other programs read.
+
 USERS = TableContract(
     _struct(
         user_id=_S,
@@ -150,6 +159,7 @@ CHECKOUTS = TableContract(
     ),
     key=("purchase_id",),
     event_time="purchase_time",
+    first_by=("click_time", "click_id"),
 )
 
 #: Checkouts on their topic: money and quantity stay exact until a table stores them.
@@ -161,13 +171,17 @@ CHECKOUT_MESSAGE = T.StructType(
 )
 
 
+#: Earliest click times on their topic.
+MIN_CLICK_MESSAGE = _struct(min_user_id=_S, min_click_time=_TS)
+
+
 def _count_contract(dimension: str) -> TableContract:
     fields = {dimension: _S, "count": T.LongType(), "time": _TS}
     return TableContract(_struct(**fields), key=("time", dimension), event_time="time")
 
 
 REVENUE = TableContract(
-    _struct(revenue=_F, profit=_F, quantity=T.LongType(), time=_TS),
+    _struct(revenue=AMOUNT, profit=AMOUNT, quantity=T.LongType(), time=_TS),
     key=("time",),
     event_time="time",
 )

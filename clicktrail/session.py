@@ -53,14 +53,11 @@ def stateful_stream_conf(spark: SparkSession, state_partitions: int | None = Non
 
     State lives in RocksDB, off the JVM heap. ``state_partitions`` fixes the
     number of state shards for the life of the checkpoint; by default it is
-    the session's shuffle width, but never more shards than the session has
-    cores to run them.
+    the session's shuffle width. How many cores the session has just now does
+    not matter: executors may still be coming.
     """
     if state_partitions is None:
-        state_partitions = min(
-            int(spark.conf.get("spark.sql.shuffle.partitions")),
-            max(1, spark.sparkContext.defaultParallelism),
-        )
+        state_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = {
         "spark.sql.shuffle.partitions": str(state_partitions),
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,

@@ -2,45 +2,120 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clicktrail.functions.temporal import AsOf, instant, interval
-from clicktrail.operators.contracts import conform, new_rows
+from clicktrail.operators.contracts import conform, first_per_key, new_rows
 from clicktrail.operators.retention import KEEP, retain
 from clicktrail.schemas import TableContract
-from clicktrail.sources.tables import jdbc_options, read_jdbc, read_table
+from clicktrail.sources.tables import (
+    STORAGE_COLUMNS,
+    exists,
+    file_system,
+    folders,
+    jdbc_options,
+    read_days,
+    read_jdbc,
+    read_table,
+    stored_days,
+)
+
+
+#: Writer of rows that no streaming query wrote.
+BATCH = "batch"
+
+
+def query_id(batch: DataFrame) -> str:
+    """The id of the streaming query whose micro-batch this is; it lives as long as the query's checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or BATCH
 
 
 def write_batch(
-    rows: DataFrame, path: str, contract: TableContract, batch_id: int, gather_days: bool = False
+    rows: DataFrame,
+    path: str,
+    contract: TableContract,
+    batch_id: int,
+    gather_days: bool = False,
+    query: str = BATCH,
 ) -> None:
-    """One micro-batch into a Parquet table partitioned by day and batch.
+    """One micro-batch into a Parquet table partitioned by day, query and batch.
 
     Replaying a batch overwrites the partitions of that batch and nothing
-    else, so a restart neither repeats nor loses rows. Each table has one
-    writing query. ``gather_days`` writes one file per day, for tables whose
-    rows per day are bounded, such as roll-ups.
+    else, so a restart neither repeats nor loses rows. A query with a new
+    checkpoint counts its batches from 0 again but has another id, so it never
+    overwrites what an earlier one stored. ``gather_days`` writes one file per
+    day, for tables whose rows per day are bounded, such as roll-ups.
+
+    A table whose contract says which row of a key comes first keeps that one
+    of a batch, and nothing of a key it holds already.
     """
-    stored = conform(rows, contract).withColumns(
-        {"date": F.to_date(contract.event_time), "batch_id": F.lit(batch_id).cast("bigint")}
+    stored = conform(rows, contract)
+    if contract.first_by:
+        stored = _unheld(stored, path, contract, batch_id, query)
+    stored = stored.withColumns(
+        {
+            "date": F.to_date(contract.event_time),
+            "query": F.lit(query),
+            "batch_id": F.lit(batch_id).cast("bigint"),
+        }
     )
     if gather_days:
         stored = stored.repartition("date")
     (
         stored.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date", "batch_id")
+        .partitionBy(*STORAGE_COLUMNS)
         .parquet(path)
     )
 
 
-def load_dimension(rows: DataFrame, path: str, contract: TableContract) -> None:
-    """Replace a dimension table."""
-    conform(rows, contract).write.mode("overwrite").parquet(path)
+def _unheld(rows: DataFrame, path: str, contract: TableContract, batch_id: int, query: str) -> DataFrame:
+    """First rows of their keys that no other batch has stored; a key's rows share their event time and so their day."""
+    spark = rows.sparkSession
+    days = [day for (day,) in rows.select(F.to_date(contract.event_time)).distinct().collect() if day is not None]
+    held = read_days(spark, path, contract, days)
+    if held is None:
+        return first_per_key(rows, contract.key, contract.first_by)
+    others = held.where((F.col("query") != query) | (F.col("batch_id") != batch_id))
+    return new_rows(rows, others, contract.key, contract.first_by)
+
+
+def load_dimension(rows: DataFrame, path: str, contract: TableContract) -> str:
+    """Store a new version of a dimension table and return its folder.
+
+    Earlier versions stay as they are: a query that reads one goes on. Readers
+    look for the newest whole version (:func:`read_dimension`).
+    """
+    versions = _versions(rows.sparkSession, path)
+    folder = f"{path}/version={max(versions, default=0) + 1}"
+    conform(rows, contract).write.mode("overwrite").parquet(folder)
+    return folder
+
+
+def read_dimension(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
+    """The newest version of a dimension table as of now."""
+    versions = _versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no whole version of a dimension under {path}")
+    return spark.read.schema(contract.schema).parquet(f"{path}/version={max(versions)}")
+
+
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove all but the newest versions of a dimension, once no query reads them any more."""
+    for version in sorted(_versions(spark, path))[: -keep or None]:
+        _delete(spark, f"{path}/version={version}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    found = []
+    for name in folders(spark, path):
+        number = name.removeprefix("version=")
+        if name.startswith("version=") and number.isdigit() and exists(spark, f"{path}/{name}/_SUCCESS"):
+            found.append(int(number))
+    return found
 
 
 def time_span(rows: DataFrame, time: str) -> tuple[Column, Column] | None:
@@ -66,21 +141,21 @@ def append_jdbc(rows: DataFrame, url: str, table: str, contract: TableContract,
             return
         stored = read_jdbc(rows.sparkSession, url, table, **options)
         stored = stored.where(F.col(contract.event_time).between(*span))
-        missing = new_rows(batch, stored, contract.key)
+        missing = new_rows(batch, stored, contract.key, contract.first_by)
         missing.write.format("jdbc").options(**jdbc_options(url, table, **options)).mode("append").save()
     finally:
         batch.unpersist()
 
 
-#: Stores the rows of one micro-batch in the table of a given name.
-Store = Callable[[DataFrame, str, TableContract, int], None]
+#: Stores the rows of one micro-batch of a query in the table of a given name.
+Store = Callable[[DataFrame, str, TableContract, int, str], None]
 
 
 def parquet_store(root: str, gather_days: bool = False) -> Store:
     """Parquet tables in folders of ``root`` named after the table."""
 
-    def store(rows: DataFrame, table: str, contract: TableContract, batch_id: int) -> None:
-        write_batch(rows, f"{root}/{table}", contract, batch_id, gather_days)
+    def store(rows: DataFrame, table: str, contract: TableContract, batch_id: int, query: str = BATCH) -> None:
+        write_batch(rows, f"{root}/{table}", contract, batch_id, gather_days, query)
 
     return store
 
@@ -88,7 +163,7 @@ def parquet_store(root: str, gather_days: bool = False) -> Store:
 def jdbc_store(url: str, schema: str, **options: str) -> Store:
     """Tables of a database schema."""
 
-    def store(rows: DataFrame, table: str, contract: TableContract, batch_id: int) -> None:
+    def store(rows: DataFrame, table: str, contract: TableContract, batch_id: int, query: str = BATCH) -> None:
         append_jdbc(rows, url, f"{schema}.{table}", contract, **options)
 
     return store
@@ -105,38 +180,25 @@ def drop_expired(
     """
     cut_off = instant(as_of) - interval(keep)
     cut_day = spark.range(1).select(F.to_date(cut_off)).first()[0]
-    for day in _partition_days(spark, path):
+    for day in stored_days(spark, path):
         if day < cut_day:
             _delete(spark, f"{path}/date={day.isoformat()}")
 
     boundary = read_table(spark, path, contract).where(F.col("date") == F.lit(cut_day))
-    newest = boundary.groupBy("batch_id").agg(F.max(contract.event_time).alias("newest"))
+    newest = boundary.groupBy("query", "batch_id").agg(F.max(contract.event_time).alias("newest"))
     # One row per micro-batch of a single day.
-    emptied = newest.where(F.col("newest") < cut_off).select("batch_id").collect()
+    emptied = newest.where(F.col("newest") < cut_off).select("query", "batch_id").collect()
     (
         retain(boundary, as_of, keep)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date", "batch_id")
+        .partitionBy(*STORAGE_COLUMNS)
         .parquet(path)
     )
-    for (batch_id,) in emptied:
-        _delete(spark, f"{path}/date={cut_day.isoformat()}/batch_id={batch_id}")
-
-
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _partition_days(spark: SparkSession, path: str) -> list[dt.date]:
-    location, fs = _file_system(spark, path)
-    names = [status.getPath().getName() for status in fs.listStatus(location) if status.isDirectory()]
-    values = [name.removeprefix("date=") for name in names if name.startswith("date=")]
-    return sorted(dt.date.fromisoformat(v) for v in values if not v.startswith("__"))
+    for query, batch_id in emptied:
+        _delete(spark, f"{path}/date={cut_day.isoformat()}/query={query}/batch_id={batch_id}")
 
 
 def _delete(spark: SparkSession, path: str) -> None:
-    location, fs = _file_system(spark, path)
+    location, fs = file_system(spark, path)
     fs.delete(location, True)

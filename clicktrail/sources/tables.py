@@ -2,25 +2,36 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clicktrail.functions.temporal import AsOf, instant, interval
 from clicktrail.operators.contracts import conform
 from clicktrail.schemas import TableContract
 
 #: Partition columns the engine adds to the tables it writes.
-STORAGE_COLUMNS = ("date", "batch_id")
+STORAGE_COLUMNS = ("date", "query", "batch_id")
 
 
 def read_table(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
     """A table the engine wrote, in contract layout; filters on ``date`` prune partitions."""
-    stored = T.StructType(
-        [*contract.schema, T.StructField("date", T.DateType()), T.StructField("batch_id", T.LongType())]
+    return spark.read.schema(_stored_schema(contract)).parquet(path)
+
+
+def _stored_schema(contract: TableContract) -> T.StructType:
+    return T.StructType(
+        [
+            *contract.schema,
+            T.StructField("date", T.DateType()),
+            T.StructField("query", T.StringType()),
+            T.StructField("batch_id", T.LongType()),
+        ]
     )
-    return spark.read.schema(stored).parquet(path)
 
 
 def read_rows(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
@@ -28,19 +39,98 @@ def read_rows(spark: SparkSession, path: str, contract: TableContract) -> DataFr
     return read_table(spark, path, contract).select(*contract.columns)
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's path and file system of a path, whatever store it is in."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    location, fs = file_system(spark, path)
+    return fs.exists(location)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    location, fs = file_system(spark, path)
+    if not fs.exists(location):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(location) if status.isDirectory()]
+
+
+def fingerprint(spark: SparkSession, path: str) -> tuple:
+    """Names, lengths and times of the files of a table, which change when its data does."""
+    location, fs = file_system(spark, path)
+    found, files = [], fs.listFiles(location, True)
+    while files.hasNext():
+        status = files.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
+
+
+def stored_days(spark: SparkSession, path: str) -> list[dt.date]:
+    """Days for which a stored table has a partition, oldest first."""
+    values = [name.removeprefix("date=") for name in folders(spark, path) if name.startswith("date=")]
+    return sorted(dt.date.fromisoformat(v) for v in values if not v.startswith("__"))
+
+
+def read_days(spark: SparkSession, path: str, contract: TableContract, days: Iterable[dt.date]) -> DataFrame | None:
+    """Those days of a stored table, no other folder being listed; None if none of them is stored."""
+    names = [f"{path}/date={day.isoformat()}" for day in sorted(set(days))]
+    there = [name for name in names if exists(spark, name)]
+    if not there:
+        return None
+    return spark.read.schema(_stored_schema(contract)).option("basePath", path).parquet(*there)
+
+
+def read_since(
+    spark: SparkSession, path: str, contract: TableContract, as_of: AsOf, horizon: str
+) -> DataFrame:
+    """The contract's columns of the days that a horizon before ``as_of`` can touch; older days are not read."""
+    oldest = F.to_date(instant(as_of) - interval(horizon))
+    return read_table(spark, path, contract).where(F.col("date") >= oldest).select(*contract.columns)
+
+
+def newest_day(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
+    """The rows of a stored table's newest day."""
+    days = stored_days(spark, path)
+    rows = read_days(spark, path, contract, days[-1:])
+    return (read_table(spark, path, contract) if rows is None else rows).select(*contract.columns)
+
+
 #: Header line, and quotes inside a quoted value doubled.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+#: Takes the whole line of a row that does not parse.
+MISFIT = "_misfit"
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV with a header line, every column a string, by position; an empty value is NULL."""
-    text = T.StructType([T.StructField(name, T.StringType()) for name in columns])
-    return spark.read.schema(text).options(**CSV_OPTIONS, enforceSchema="true").csv(path)
+def read_csv(
+    spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True, misfits: bool = False
+) -> DataFrame:
+    """CSV with a header line, every column a string, by position; an empty value is NULL.
 
+    Quoted values may hold line breaks. That keeps Spark from splitting a file;
+    seeds known to have none can be read with ``multi_line=False``. With
+    ``misfits`` the text of a row with too few or too many values comes along
+    in a further column, NULL for all others.
+    """
+    names = [*columns, MISFIT] if misfits else columns
+    text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    reader = spark.read.schema(text).options(**CSV_OPTIONS, enforceSchema="true", multiLine=str(multi_line).lower())
+    if misfits:
+        reader = reader.option("columnNameOfCorruptRecord", MISFIT)
+    return reader.csv(path)
 
-def read_csv_table(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
+
+def csv_misfits(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = True) -> DataFrame:
+    """Rows of a CSV seed that do not parse: the columns as far as found, and the text in the last."""
+    rows = read_csv(spark, path, columns, multi_line, misfits=True)
+    return rows.where(rows[MISFIT].isNotNull())
+
+
+def read_csv_table(spark: SparkSession, path: str, contract: TableContract, multi_line: bool = True) -> DataFrame:
     """CSV rows cast to a contract."""
-    return conform(read_csv(spark, path, contract.columns), contract)
+    return conform(read_csv(spark, path, contract.columns, multi_line), contract)
 
 
 @dataclass(frozen=True)
@@ -66,9 +156,27 @@ def jdbc_options(url: str, table: str, split: JdbcRange | None = None, **options
     return merged
 
 
+def hash_predicates(column: str, partitions: int, hashed: str = "abs(hashtext({column}))") -> list[str]:
+    """Conditions that split a table on a text key, one for each task; every row meets exactly one.
+
+    ``hashed`` is the database's own way to hash a text to a non-negative number.
+    """
+    value = hashed.format(column=column)
+    first = f"MOD({value}, {partitions}) = 0 OR {column} IS NULL"
+    return [first, *(f"MOD({value}, {partitions}) = {n}" for n in range(1, partitions))]
+
+
 def read_jdbc(
-    spark: SparkSession, url: str, table: str, split: JdbcRange | None = None, **options: str
+    spark: SparkSession,
+    url: str,
+    table: str,
+    split: JdbcRange | None = None,
+    predicates: Sequence[str] | None = None,
+    **options: str,
 ) -> DataFrame:
-    """A database table, column names in lower case."""
-    rows = spark.read.format("jdbc").options(**jdbc_options(url, table, split, **options)).load()
+    """A database table, column names in lower case, one task for each range or predicate."""
+    if predicates is not None:
+        rows = spark.read.jdbc(url, table, predicates=list(predicates), properties=options)
+    else:
+        rows = spark.read.format("jdbc").options(**jdbc_options(url, table, split, **options)).load()
     return rows.toDF(*[name.lower() for name in rows.columns])

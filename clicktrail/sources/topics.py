@@ -26,18 +26,19 @@ def topic_dir(root: str, topic: str) -> str:
     return f"{root.rstrip('/')}/{topic}"
 
 
-def kafka_options(servers: str, topics: str | Iterable[str]) -> dict[str, str]:
-    """Options of one subscription, tolerant of offsets the broker has dropped."""
+def kafka_options(servers: str, topics: str | Iterable[str], **options: str) -> dict[str, str]:
+    """Options of one subscription, tolerant of offsets the broker has dropped unless ``failOnDataLoss`` says otherwise."""
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topic_names(topics)),
         "failOnDataLoss": "false",
+        **options,
     }
 
 
 def read_kafka_topics(spark: SparkSession, servers: str, topics: str | Iterable[str], **options: str) -> DataFrame:
     """Stream of one or several Kafka topics."""
-    reader = spark.readStream.format("kafka").options(**kafka_options(servers, topics), **options)
+    reader = spark.readStream.format("kafka").options(**kafka_options(servers, topics, **options))
     return reader.load().select("topic", F.col("value").cast("string").alias("value"))
 
 

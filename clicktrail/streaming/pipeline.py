@@ -12,27 +12,32 @@ it, hence their longer delay.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 from clicktrail.functions.codec import decode_clicks, decode_purchases, decode_rows
-from clicktrail.operators.attribution import LOOKBACK, final_clicks
+from clicktrail.functions.temporal import micros
+from clicktrail.operators.attribution import LOOKBACK, final_clicks, min_click
 from clicktrail.operators.rollups import WINDOW, rollup_cube, rollup_from_cube
 from clicktrail.plans.checkouts import checkouts_of_first_clicks, windowed_checkouts
-from clicktrail.schemas import CHECKOUT_MESSAGE, CHECKOUTS, CLICKS, ROLLUPS, TableContract
+from clicktrail.schemas import CHECKOUT_MESSAGE, CHECKOUTS, CLICKS, MIN_CLICK_MESSAGE, ROLLUPS, TableContract
 from clicktrail.session import stateful_stream_conf
-from clicktrail.sinks.tables import Store
-from clicktrail.sinks.topics import write_topic
+from clicktrail.sinks.tables import Store, query_id
+from clicktrail.sinks.topics import TopicSink, topic_sink
 from clicktrail.streaming.triggers import ROLLUP_TRIGGER, Trigger, with_trigger
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 #: Tasks that share one key's purchases in a streamed join, where nothing splits
-#: a hot key at run time. The few first clicks are repeated for each.
-SALTS = 8
+#: a hot key at run time; every first click is repeated for each. The join key,
+#: user and lookback bucket, is fine already, so only known hot users need more.
+SALTS = 1
 
 
 @dataclass(frozen=True)
@@ -85,13 +90,16 @@ def checkout_stream_of_final_clicks(
     return checkouts_of_first_clicks(clicks, purchases, users, products, timing.lookback, salts)
 
 
-def checkouts_of_topic(events: DataFrame, topic: str = "checkouts", lateness: str = "20 minutes") -> DataFrame:
-    """Checkouts read back from their topic; ``lateness`` is twice the lookback.
+def checkouts_of_topic(
+    events: DataFrame, topic: str = "checkouts", lookback: str = LOOKBACK, lateness: str | None = None
+) -> DataFrame:
+    """Checkouts read back from their topic, twice the lookback late unless ``lateness`` says otherwise.
 
     When a click window closes, its checkouts lie within one lookback either
     side of the window end, so two lookbacks cover every pair of batches.
     """
-    return decode_rows(events, topic, CHECKOUT_MESSAGE).withWatermark("purchase_time", lateness)
+    late = lateness or f"{2 * micros(lookback)} microseconds"
+    return decode_rows(events, topic, CHECKOUT_MESSAGE).withWatermark("purchase_time", late)
 
 
 def write_tables(
@@ -101,7 +109,7 @@ def write_tables(
     writer = (
         rows.writeStream.foreachBatch(write)
         .outputMode("append")
-        .queryName(f"{name} {checkpoint[-8:]}")
+        .queryName(f"{name} {checkpoint}")
         .option("checkpointLocation", checkpoint)
     )
     return with_trigger(writer, trigger).start()
@@ -109,7 +117,7 @@ def write_tables(
 
 def table_writer(store: Store, table: str, contract: TableContract) -> BatchWriter:
     """Writes each micro-batch to one table."""
-    return lambda batch, batch_id: store(batch, table, contract, batch_id)
+    return lambda batch, batch_id: store(batch, table, contract, batch_id, query_id(batch))
 
 
 def rollup_writer(store: Store) -> BatchWriter:
@@ -124,16 +132,37 @@ def rollup_writer(store: Store) -> BatchWriter:
         cube.persist()
         try:
             for table, contract in ROLLUPS.items():
-                store(rollup_from_cube(cube, table), table, contract, batch_id)
+                store(rollup_from_cube(cube, table), table, contract, batch_id, query_id(cube))
         finally:
             cube.unpersist()
 
     return write
 
 
+def start_min_clicks(
+    click_events: DataFrame,
+    topics: TopicSink | str,
+    checkpoint: str,
+    timing: Timing = Timing(),
+    trigger: Trigger = None,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Publish the earliest click time of each user and window whenever it changes (update mode)."""
+    with stateful_stream_conf(click_events.sparkSession, state_partitions):
+        clicks = decode_clicks(click_events).withWatermark("click_time", timing.lateness)
+        minima = min_click(clicks, timing.lookback)
+        return topic_sink(topics)(minima, "min_clicks", checkpoint, trigger, "update")
+
+
+def settled_min_clicks(messages: DataFrame, window: str = LOOKBACK) -> DataFrame:
+    """The last value of every minimum published so far; values only fall, so that is the smallest."""
+    published = decode_rows(messages, "min_clicks", MIN_CLICK_MESSAGE)
+    return min_click(published.select(F.col("min_user_id").alias("user_id"), F.col("min_click_time").alias("click_time")), window)
+
+
 def start_final_clicks(
     click_events: DataFrame,
-    topic_root: str,
+    topics: TopicSink | str,
     checkpoint: str,
     timing: Timing = Timing(),
     trigger: Trigger = None,
@@ -142,9 +171,7 @@ def start_final_clicks(
     """Publish the first click of each user and window on its own topic."""
     with stateful_stream_conf(click_events.sparkSession, state_partitions):
         clicks = decode_clicks(click_events).withWatermark("click_time", timing.lateness)
-        return write_topic(
-            final_clicks(clicks, timing.lookback), topic_root, "final_clicks", checkpoint, trigger
-        )
+        return topic_sink(topics)(final_clicks(clicks, timing.lookback), "final_clicks", checkpoint, trigger, "append")
 
 
 def start_checkouts(
@@ -152,7 +179,7 @@ def start_checkouts(
     purchase_events: DataFrame,
     users: DataFrame,
     products: DataFrame,
-    topic_root: str,
+    topics: TopicSink | str,
     checkpoint: str,
     timing: Timing = Timing(),
     trigger: Trigger = None,
@@ -169,7 +196,7 @@ def start_checkouts(
         checkouts = checkout_stream(
             click_events, purchase_events, users, products, timing, salts, redelivery
         )
-        return write_topic(checkouts, topic_root, "checkouts", checkpoint, trigger)
+        return topic_sink(topics)(checkouts, "checkouts", checkpoint, trigger, "append")
 
 
 def start_checkout_table(
@@ -204,8 +231,36 @@ def await_any(spark: SparkSession) -> None:
     spark.streams.awaitAnyTermination()
 
 
+class LateRows(StreamingQueryListener):
+    """Counts the rows that stateful operators drop as too late, per query, from the moment it is added.
+
+    Spark keeps the progress of some hundred micro-batches only; this adds up
+    all of them: ``counter = LateRows(); spark.streams.addListener(counter)``.
+    """
+
+    def __init__(self) -> None:
+        self._dropped: Counter[str] = Counter()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        states = event.progress.stateOperators
+        self._dropped[str(event.progress.id)] += sum(state.numRowsDroppedByWatermark for state in states)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> int:
+        """Rows of a query dropped so far; listeners hear of a micro-batch a moment after its end."""
+        return self._dropped[str(query.id)]
+
+
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that stateful operators dropped as too late, over the kept progress history."""
+    """Rows dropped as too late in the progress that Spark still keeps; :class:`LateRows` counts all."""
     return sum(
         state.numRowsDroppedByWatermark
         for progress in query.recentProgress

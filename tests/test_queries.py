@@ -7,10 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from clicktrail.plans import oracles, registry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("nation", "customer", "part", "events")
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES = registry.all_queries()
+ORACLES = oracles.oracle_sql(horizon=registry.REPORT_HORIZON, keep=registry.KEEP)
 
 
 @pytest.fixture(scope="module")
@@ -32,8 +34,9 @@ def canonical(columns, rows):
     return sorted(tuple(normal(row[i]) for i in order) for row in rows)
 
 
-def test_every_query_has_an_oracle():
+def test_every_query_has_an_oracle_and_is_registered():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))

@@ -3,30 +3,38 @@
 import datetime as dt
 import json
 import random
+import time
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from clicktrail.functions.codec import decode_clicks, decode_purchases, decode_rows
 from clicktrail.operators.attribution import min_click
+from clicktrail.operators.contracts import first_per_key
 from clicktrail.operators.rollups import rollup
 from clicktrail.plans.checkouts import trailing_checkouts, windowed_checkouts
-from clicktrail.schemas import CHECKOUTS, ROLLUPS
+from clicktrail.schemas import CHECKOUTS, PRODUCTS, ROLLUPS, USERS
 from clicktrail.session import stateful_stream_conf, work_dir
-from clicktrail.sinks.tables import parquet_store
+from clicktrail.sinks.tables import load_dimension, parquet_store, read_dimension
 from clicktrail.sinks.topics import append_topic
 from clicktrail.sources.tables import read_rows
 from clicktrail.sources.topics import load_topics, read_topics
 from clicktrail.streaming.pipeline import (
+    LateRows,
+    await_any,
     checkout_stream,
     checkout_stream_of_final_clicks,
     checkouts_of_topic,
     late_rows,
+    settled_min_clicks,
     start_checkout_table,
     start_checkouts,
     start_final_clicks,
+    start_min_clicks,
     start_rollups,
     state_rows,
+    write_tables,
 )
 from clicktrail.streaming.trailing import start_trailing_checkouts
 from clicktrail.streaming.triggers import AVAILABLE_NOW
@@ -155,7 +163,7 @@ def test_chained_rollups_equal_batch(spark, replay, dims, batch):
     for table, contract in ROLLUPS.items():
         got, want = read_rows(spark, f"{root}/{table}", contract), rollup(expected, table)
         if table == "revenue":
-            money = ["double(revenue) revenue", "double(profit) profit"]
+            money = [f"cast({name} as decimal(38, 12)) {name}" for name in ("revenue", "profit")]
             want = want.selectExpr(*money, "bigint(quantity) quantity", "time")
         assert rows(got) == rows(want) != []
 
@@ -177,7 +185,8 @@ def test_table_and_rollups_from_the_checkouts_topic(spark, replay, dims, batch):
         topic = read_topics(spark, root, "checkouts")
         run(start_checkout_table(topic, parquet_store(f"{root}/t"), f"{root}/cp2", AVAILABLE_NOW))
         keys = ("purchase_id", "click_id")
-        assert rows(read_rows(spark, f"{root}/t/checkouts", CHECKOUTS), *keys) == rows(expected, *keys)
+        first = first_per_key(expected, CHECKOUTS.key, CHECKOUTS.first_by)
+        assert rows(read_rows(spark, f"{root}/t/checkouts", CHECKOUTS), *keys) == rows(first, *keys)
     checkouts = checkouts_of_topic(read_topics(spark, root, "checkouts"))
     query = run(start_rollups(checkouts, parquet_store(f"{root}/rolled"), f"{root}/cp3", trigger=AVAILABLE_NOW))
     assert late_rows(query) == 0
@@ -277,3 +286,142 @@ def test_minima_can_be_streamed_in_update_mode(spark):
         )
     run(query)
     assert [s for s in seen if s] == [[("a", NOON + 5 * MINUTE)], [("a", NOON + MINUTE)]]
+
+
+def test_a_new_checkpoint_adds_to_a_table(spark, dims):
+    """Batch numbers begin at 0 again; what the earlier query stored stays, and nothing is stored twice."""
+    root = work_dir(spark, "again")
+    publish(spark, root, make_events(seed=5, n=80))
+    flush(spark, root)
+    run(start_checkouts(*streams(spark, root), *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW))
+    store, found = parquet_store(f"{root}/t"), []
+    for checkpoint in ("one/checkpoint", "two/checkpoint", "two/checkpoint"):
+        topic = read_topics(spark, root, "checkouts", files_per_batch=1)
+        run(start_checkout_table(topic, store, f"{root}/{checkpoint}", AVAILABLE_NOW))
+        found.append(rows(read_rows(spark, f"{root}/t/checkouts", CHECKOUTS), "purchase_id", "click_id"))
+    assert found[0] == found[1] == found[2] != []
+    late_root = work_dir(spark, "later")
+    publish(spark, late_root, [(NOON, "clicks", 900, "a"), (NOON + MINUTE, "purchases", 900, "a")])
+    flush(spark, late_root)
+    run(start_checkouts(*streams(spark, late_root), *dims, late_root, f"{late_root}/cp", trigger=AVAILABLE_NOW))
+    run(start_checkout_table(read_topics(spark, late_root, "checkouts"), store, f"{root}/three/checkpoint", AVAILABLE_NOW))
+    got = rows(read_rows(spark, f"{root}/t/checkouts", CHECKOUTS), "purchase_id", "click_id")
+    assert got == sorted([*found[0], ("p900", "c900")])
+
+
+def test_a_table_sink_continues_after_a_restart(spark, dims):
+    root, parts = work_dir(spark, "resume"), chunks(make_events(seed=6, n=120), 2)
+    for part in [*parts, None]:
+        publish(spark, root, part) if part else flush(spark, root)
+        chained = checkout_stream(*streams(spark, root, 1), *dims)
+        run(start_rollups(chained, parquet_store(f"{root}/t"), f"{root}/cp", trigger=AVAILABLE_NOW))
+    messages = load_topics(spark, root, BOTH)
+    expected = windowed_checkouts(decode_clicks(messages), decode_purchases(messages), *dims)
+    for table in ("source_count", "gender_count"):
+        got = read_rows(spark, f"{root}/t/{table}", ROLLUPS[table])
+        assert rows(got) == rows(rollup(expected, table)) != []
+
+
+def test_events_without_id_settle_one_by_one(spark, dims):
+    root = work_dir(spark, "nameless")
+    publish(spark, root, [(NOON, "clicks", 1, "a")])
+    bought = [json.loads(purchase_message(1, "a", NOON + MINUTE)) | {"Purchase_ID": None, "Quantity": q} for q in "112"]
+    append_topic(spark.createDataFrame([(json.dumps(b),) for b in bought], "value STRING"), root, "purchases")
+    flush(spark, root)
+    run(start_trailing_checkouts(*streams(spark, root), *dims, f"{root}/t", f"{root}/cp", trigger=AVAILABLE_NOW))
+    assert rows(read_rows(spark, f"{root}/t/checkouts", CHECKOUTS), "quantity", "click_id") == [
+        (1.0, "c1"), (1.0, "c1"), (2.0, "c1"),
+    ]
+
+
+def test_a_user_loaded_between_batches_is_joined(spark):
+    """A dimension is reloaded while the stream runs: it goes on, with the newest version in each micro-batch."""
+    root = work_dir(spark, "live")
+    load_dimension(users(spark, "a"), f"{root}/users", USERS)
+    load_dimension(products(spark, "p0", "p1"), f"{root}/products", PRODUCTS)
+    dimensions = [
+        lambda name=name, contract=contract: read_dimension(spark, f"{root}/{name}", contract)
+        for name, contract in (("users", USERS), ("products", PRODUCTS))
+    ]
+    for path in ("clicks", "purchases"):
+        append_topic(spark.createDataFrame([], "value STRING"), root, path)
+    query = start_trailing_checkouts(*streams(spark, root, 1), *dimensions, f"{root}/t", f"{root}/cp")
+    try:
+        for n, user in enumerate(("a", "b")):
+            if user == "b":
+                load_dimension(users(spark, "a", "b"), f"{root}/users", USERS)
+            when = NOON + dt.timedelta(hours=2 * n)
+            publish(spark, root, [(when, "clicks", n, user), (when + MINUTE, "purchases", n, user)])
+            flush(spark, root, when + dt.timedelta(hours=1))
+            query.processAllAvailable()
+        flush(spark, root)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(read_rows(spark, f"{root}/t/checkouts", CHECKOUTS), "purchase_id", "name") == [
+        ("p0", "name a"), ("p1", "name b"),
+    ]
+
+
+def test_queries_are_named_by_their_whole_checkpoint(spark, replay):
+    root = work_dir(spark, "names")
+    queries = [
+        start_final_clicks(streams(spark, replay)[0], f"{root}/{n}", f"{root}/{n}/checkpoint", state_partitions=1)
+        for n in ("one", "two")
+    ]
+    try:
+        assert len({q.name for q in queries}) == 2
+    finally:
+        for q in queries:
+            q.stop()
+
+
+def test_a_listener_counts_all_late_rows(spark, dims):
+    root, counter = work_dir(spark, "late"), LateRows()
+    publish(spark, root, [(NOON, "clicks", 1, "a")])
+    flush(spark, root, NOON + 60 * MINUTE)
+    flush(spark, root, NOON + 61 * MINUTE)
+    publish(spark, root, [(NOON - MINUTE, "clicks", 2, "a"), (NOON - MINUTE, "purchases", 2, "a")])
+    spark.streams.addListener(counter)
+    try:
+        query = run(start_checkouts(*streams(spark, root, 1), *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW))
+        deadline = time.monotonic() + 20
+        while counter.of(query) < late_rows(query) and time.monotonic() < deadline:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counter)
+    assert counter.of(query) == late_rows(query) >= 1
+
+
+def test_minima_are_published_and_settle(spark, replay):
+    root = work_dir(spark, "published")
+    for _ in range(2):
+        run(start_min_clicks(streams(spark, replay, 1)[0], root, f"{root}/cp", trigger=AVAILABLE_NOW))
+    published = load_topics(spark, root, "min_clicks")
+    clicks = decode_clicks(load_topics(spark, replay, "clicks"))
+    assert rows(settled_min_clicks(published)) == rows(min_click(clicks)) != []
+    assert published.count() > min_click(clicks).count()
+
+
+def test_processing_time_trigger_and_waiting_for_a_failure(spark, replay):
+    root = work_dir(spark, "timed")
+    spark.streams.resetTerminated()
+
+    def fail(batch, batch_id):
+        raise RuntimeError("no more")
+
+    query = write_tables(streams(spark, replay)[0], fail, f"{root}/cp", "1 second", "failing")
+    with pytest.raises(StreamingQueryException, match="no more"):
+        await_any(spark)
+    spark.streams.resetTerminated()
+    assert not query.isActive
+
+
+def test_lateness_of_the_checkouts_topic_follows_the_lookback(spark, replay):
+    topic = checkouts_of_topic(read_topics(spark, replay, "clicks"), lookback="1 day")
+    text = plan_of(topic)
+    assert "EventTimeWatermark" in text and ("48 hours" in text or "2 days" in text)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().analyzed().toString()

@@ -4,19 +4,25 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import DataFrameWriter
 
-from clicktrail.operators.contracts import conform, key_violations, new_rows
-from clicktrail.schemas import PRODUCTS, ROLLUPS, USERS
+from clicktrail.operators.contracts import conform, first_per_key, key_violations, new_rows
+from clicktrail.schemas import CHECKOUTS, PRODUCTS, ROLLUPS, USERS
 from clicktrail.session import work_dir
-from clicktrail.sinks import tables
-from clicktrail.sinks.tables import drop_expired, load_dimension, write_batch
+from clicktrail.sinks import tables, topics
+from clicktrail.sinks.tables import drop_expired, drop_old_versions, load_dimension, read_dimension, write_batch
 from clicktrail.sources.tables import (
     CSV_OPTIONS,
     JdbcRange,
+    csv_misfits,
+    hash_predicates,
     jdbc_options,
+    newest_day,
     read_csv,
     read_csv_table,
+    read_days,
     read_rows,
+    read_since,
     read_table,
+    stored_days,
 )
 from clicktrail.sources.topics import kafka_options, topic_names
 from helpers import NOON, at, products, rows
@@ -90,16 +96,108 @@ def test_csv_seed_to_dimension_table(spark):
     text = read_csv(spark, seed, PRODUCTS.columns)
     assert {t for _, t in text.dtypes} == {"string"}
     load_dimension(read_csv_table(spark, seed, PRODUCTS), path, PRODUCTS)
-    stored = spark.read.parquet(path)
+    stored = read_dimension(spark, path, PRODUCTS)
     assert rows(stored, "product_name", "price") == [('he said "hi", twice', Decimal("10.0000"))]
-    load_dimension(read_csv_table(spark, seed, PRODUCTS), path, PRODUCTS)
-    assert spark.read.parquet(path).count() == 1
+
+
+def test_csv_values_of_every_kind_come_back(spark):
+    seed = work_dir(spark, "seed")
+    values = ["a,b", 'q"q', "two\nlines", "\r\n", "", None, " x ", '"', "é", "\\"]
+    data = [(f"p{n}", v, v, v, None, None) for n, v in enumerate(values)]
+    spark.createDataFrame(data, PRODUCTS.schema).coalesce(1).write.options(**CSV_OPTIONS).csv(seed)
+    got = {r.product_id: r.product_name for r in read_csv_table(spark, seed, PRODUCTS).collect()}
+    assert got["p2"] == "two\nlines" and got["p0"] == "a,b" and got["p1"] == 'q"q' and got["p7"] == '"'
+    assert len(got) == len(values) and got["p4"] is None and got["p5"] is None and got["p9"] == "\\"
+    assert csv_misfits(spark, seed, PRODUCTS.columns).collect() == []
+
+
+def test_csv_rows_that_do_not_parse_are_reported(spark, tmp_path):
+    (tmp_path / "seed.csv").write_text("a,b\n1,2\n3\n4,5,6\n")
+    found = csv_misfits(spark, str(tmp_path), ["a", "b"]).collect()
+    assert sorted(r["_misfit"].strip() for r in found) == ["3", "4,5,6"]
+
+
+def test_a_new_version_leaves_readers_of_the_old_one_alone(spark):
+    path = work_dir(spark, "dim")
+    load_dimension(products(spark, "p1"), path, PRODUCTS)
+    old = read_dimension(spark, path, PRODUCTS)
+    load_dimension(products(spark, "p1", "p2"), path, PRODUCTS)
+    assert (old.count(), read_dimension(spark, path, PRODUCTS).count()) == (1, 2)
+    load_dimension(products(spark, "p3"), path, PRODUCTS)
+    drop_old_versions(spark, path, keep=1)
+    assert rows(read_dimension(spark, path, PRODUCTS), "product_id") == [("p3",)]
+    with pytest.raises(FileNotFoundError):
+        read_dimension(spark, work_dir(spark, "none"), PRODUCTS)
+
+
+def test_another_query_never_overwrites_stored_batches(spark):
+    path = work_dir(spark, "t")
+    write_batch(counts(spark, ("a", 1, at("10:00"))), path, SOURCES, 0, query="one")
+    write_batch(counts(spark, ("b", 2, at("11:00"))), path, SOURCES, 0, query="two")
+    write_batch(counts(spark, ("b", 3, at("11:00"))), path, SOURCES, 0, query="two")
+    assert rows(read_rows(spark, path, SOURCES), "source", "count") == [("a", 1), ("b", 3)]
+
+
+def checkout(spark, *data):
+    """Checkouts of (purchase_id, click_id, click_time)."""
+    nulls = dict.fromkeys(CHECKOUTS.columns)
+    full = [
+        tuple((nulls | {"purchase_id": p, "click_id": c, "click_time": t, "purchase_time": NOON}).values())
+        for p, c, t in data
+    ]
+    return spark.createDataFrame(full, CHECKOUTS.schema)
+
+
+TWICE = [("p1", "c2", at("11:52")), ("p1", "c1", at("11:50")), ("p2", "c3", at("11:53"))]
+
+
+def test_both_stores_keep_the_first_click_of_a_purchase(spark, monkeypatch):
+    path, sent = work_dir(spark, "t"), []
+    write_batch(checkout(spark, *TWICE), path, CHECKOUTS, 0, query="q")
+    write_batch(checkout(spark, *TWICE), path, CHECKOUTS, 0, query="q")
+    write_batch(checkout(spark, ("p1", "c9", at("11:59")), ("p4", "c4", at("11:59"))), path, CHECKOUTS, 1, query="q")
+    kept = [("p1", "c1"), ("p2", "c3")]
+    assert rows(read_rows(spark, path, CHECKOUTS), "purchase_id", "click_id") == [*kept, ("p4", "c4")]
+    monkeypatch.setattr(tables, "read_jdbc", lambda *args, **options: checkout(spark))
+    monkeypatch.setattr(DataFrameWriter, "save", lambda writer: sent.append(rows(writer._df, "purchase_id", "click_id")))
+    tables.jdbc_store("jdbc:none", "result")(checkout(spark, *TWICE), "checkouts", CHECKOUTS, 0, "q")
+    assert sent == [kept]
+
+
+def test_rows_without_key_all_stay(spark):
+    df = counts(spark, ("a", 2, NOON), ("a", 1, NOON), (None, 1, NOON), (None, 1, NOON))
+    assert rows(first_per_key(df, SOURCES.key), "source", "count") == [("a", 1), (None, 1), (None, 1)]
+
+
+def test_text_keys_can_split_a_scan():
+    first, second = hash_predicates("user_id", 2, hashed="crc({column})")
+    assert first == "MOD(crc(user_id), 2) = 0 OR user_id IS NULL" and second == "MOD(crc(user_id), 2) = 1"
+
+
+def test_newest_day_and_days_of_a_table(spark):
+    path = work_dir(spark, "t")
+    days = [NOON + dt.timedelta(days=d) for d in range(3)]
+    write_batch(counts(spark, *[("a", i, t) for i, t in enumerate(days)]), path, SOURCES, 0)
+    assert stored_days(spark, path) == [d.date() for d in days]
+    assert rows(newest_day(spark, path, SOURCES), "count") == [(2,)]
+    assert rows(read_since(spark, path, SOURCES, days[2], "1 day"), "count") == [(1,), (2,)]
+    assert read_days(spark, path, SOURCES, [dt.date(1999, 1, 1)]) is None
 
 
 def test_subscription_names_ignore_blanks():
     assert topic_names("clicks, min_clicks ,") == ["clicks", "min_clicks"]
     options = kafka_options("broker:9092", ["a", "b"])
     assert options["subscribe"] == "a,b" and options["failOnDataLoss"] == "false"
+    assert kafka_options("broker:9092", "a", failOnDataLoss="true")["failOnDataLoss"] == "true"
+
+
+def test_topics_can_go_to_kafka(monkeypatch):
+    seen = []
+    monkeypatch.setattr(topics, "write_kafka_topic", lambda *args: seen.append(args))
+    topics.topic_sink(topics.kafka_topics("broker:9092"))("rows", "checkouts", "/cp", None, "update")
+    assert seen == [("rows", "broker:9092", "checkouts", "/cp", None, "update")]
+    options = topics.kafka_sink_options("broker:9092", "checkouts", "/cp")
+    assert options == {"kafka.bootstrap.servers": "broker:9092", "topic": "checkouts", "checkpointLocation": "/cp"}
 
 
 def test_jdbc_scan_can_be_split():
