@@ -40,7 +40,7 @@ LEAST_BITS, MOST_BITS = 256, 1 << 20
 AT_ONCE = 32 << 20
 LEAF, FANOUT = 16, 8
 #: Sets in one block of a signature tree with bitmaps, and with whole sets.
-BITMAP_BLOCK, EXACT_BLOCK = 4_096, 512
+BITMAP_BLOCK, EXACT_BLOCK = 1_024, 512
 #: Frequent shingles that sort last: at most so many, seen in so many sets of one run of tokens at least.
 FREQUENT, FREQUENT_IN_RUN, RUN_TOKENS = 1 << 17, 3, 4_000_000
 
