@@ -85,7 +85,8 @@ def test_gender_shares_sum_to_one(spark):
 
 
 def test_revenue_series_is_ordered_and_optionally_bounded(spark):
-    data = [(2.0, 1.0, 1, at("12:00")), (1.0, 1.0, 1, at("10:00")), (3.0, 1.0, 1, at("11:30"))]
+    one = Decimal(1)
+    data = [(2 * one, one, 1, at("12:00")), (one, one, 1, at("10:00")), (3 * one, one, 1, at("11:30"))]
     table = spark.createDataFrame(data, ROLLUPS["revenue"].schema)
     assert [r.revenue for r in reports.report_revenue(table).collect()] == [1.0, 3.0, 2.0]
     assert [r.revenue for r in reports.report_revenue(table, NOON).collect()] == [3.0, 2.0]
