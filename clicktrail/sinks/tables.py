@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -199,6 +200,49 @@ def drop_expired(
         _delete(spark, f"{path}/date={cut_day.isoformat()}/query={query}/batch_id={batch_id}")
 
 
+COMPACTED = "compacted"
+#: Lists, inside a compacted folder, the batch folders that it replaces; readers skip names that begin so.
+SOURCES = "_sources"
+
+
+def compact_day(spark: SparkSession, path: str, contract: TableContract, day: dt.date) -> None:
+    """Gather the batches of a closed day into one folder with few files.
+
+    A day is closed when no query can write to it or replay a batch of it any
+    more. The rows are written aside, moved into the table with the list of
+    the folders they come from, and then those folders go. Whatever step a
+    crash interrupts, calling it again finishes the job: folders that are
+    listed are never read again, only removed. Between the move and the removal
+    a reader sees rows twice, so readers of that day should wait.
+    """
+    folder = f"{path}/date={day.isoformat()}"
+    done = f"{folder}/query={COMPACTED}"
+    batches = [
+        f"{query}/{batch}" for query in folders(spark, folder) for batch in folders(spark, f"{folder}/{query}")
+    ]
+    replaced = set()
+    for batch in folders(spark, done):
+        if exists(spark, f"{done}/{batch}/{SOURCES}"):
+            replaced |= {row.value for row in spark.read.text(f"{done}/{batch}/{SOURCES}").collect()}
+    for name in replaced.intersection(batches):
+        _delete(spark, f"{folder}/{name}")
+    left = sorted(set(batches) - replaced)
+    if len(left) < 2:
+        return
+    taken = [int(b.removeprefix("batch_id=")) for b in folders(spark, done)]
+    aside = f"{path}/_compacting/{day.isoformat()}"
+    rows = spark.read.schema(contract.schema).parquet(*[f"{folder}/{name}" for name in left])
+    rows.coalesce(1 + len(left) // 1_000).write.mode("overwrite").parquet(aside)
+    spark.createDataFrame([(name,) for name in left], "value string").coalesce(1).write.text(f"{aside}/{SOURCES}")
+    source, fs = file_system(spark, aside)
+    target, _ = file_system(spark, f"{done}/batch_id={max(taken, default=-1) + 1}")
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"{aside} could not be moved to {target}")
+    for name in left:
+        _delete(spark, f"{folder}/{name}")
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     location, fs = file_system(spark, path)
     fs.delete(location, True)

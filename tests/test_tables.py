@@ -8,11 +8,12 @@ from clicktrail.operators.contracts import conform, first_per_key, key_violation
 from clicktrail.schemas import CHECKOUTS, PRODUCTS, ROLLUPS, USERS
 from clicktrail.session import work_dir
 from clicktrail.sinks import tables, topics
-from clicktrail.sinks.tables import drop_expired, drop_old_versions, load_dimension, read_dimension, write_batch
+from clicktrail.sinks.tables import compact_day, drop_expired, drop_old_versions, load_dimension, read_dimension, write_batch
 from clicktrail.sources.tables import (
     CSV_OPTIONS,
     JdbcRange,
     csv_misfits,
+    folders,
     hash_predicates,
     jdbc_options,
     newest_day,
@@ -230,3 +231,23 @@ def test_jdbc_append_sends_only_missing_rows(spark, monkeypatch):
     store(batch, "source_count", SOURCES, 7)
     store(batch.where("false"), "source_count", SOURCES, 8)
     assert sent == [[("b", 2)]]
+
+
+def test_compacted_days_hold_the_same_rows_in_one_folder(spark, monkeypatch):
+    path, day = work_dir(spark, "t"), NOON.date()
+    for n in range(4):
+        write_batch(counts(spark, (f"s{n}", n, NOON), ("x", n, NOON + dt.timedelta(days=1))), path, SOURCES, n, query=f"q{n % 2}")
+    want = rows(read_rows(spark, path, SOURCES))
+    with monkeypatch.context() as patched:  # a crash right after the move
+        patched.setattr(tables, "_delete", lambda *args: (_ for _ in ()).throw(OSError("crash")))
+        with pytest.raises(OSError, match="crash"):
+            compact_day(spark, path, SOURCES, day)
+    for _ in range(2):
+        compact_day(spark, path, SOURCES, day)
+        assert rows(read_rows(spark, path, SOURCES)) == want
+        there = [q for q in folders(spark, f"{path}/date={day}") if folders(spark, f"{path}/date={day}/{q}")]
+        assert there == ["query=compacted"]
+    write_batch(counts(spark, ("late", 9, NOON)), path, SOURCES, 9, query="q0")
+    compact_day(spark, path, SOURCES, day)
+    assert rows(read_rows(spark, path, SOURCES)) == sorted([*want, (9, "late", NOON)], key=repr)
+    assert stored_days(spark, path) == [day, day + dt.timedelta(days=1)]
