@@ -128,19 +128,16 @@ def _prefixes_of(shingle: int, similar: int, frequent: np.ndarray, rank: np.ndar
                 if not len(s):
                     continue
                 take = prefix_length(len(s), similar)
+                first = s[:take]
                 if len(frequent):
                     at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
                     common = frequent[at] == s
-                    if common[: take + int(common.sum())].any():
+                    if common.any():
                         late = np.flatnonzero(common)
                         late = late[np.lexsort((s[late], rank[at[late]]))]
-                        s = s[np.concatenate([np.flatnonzero(~common), late])[:take]], s
-                    else:
-                        s = s[:take], s
-                else:
-                    s = s[:take], s
-                tokens.append(s[0])
-                owners.append(np.full(take, set_hashes(s[1])[0], np.int64))
+                        first = s[np.append(np.flatnonzero(~common), late)[:take]]
+                tokens.append(first)
+                owners.append(np.full(take, set_hashes(s)[0], np.int64))
                 held += take
                 if held >= 1 << 17:
                     yield rows(tokens, owners)
