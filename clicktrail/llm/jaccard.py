@@ -433,8 +433,20 @@ def jaccard_components(
     only; a text with fewer words than a shingle is one shingle; null, empty and
     blank texts have none, link with nothing and are their own component. A
     null doc_id never is the smallest unless all are null. Rows that repeat an
-    id, equal or not, are documents of their own. Set identity is 128 bits of
-    hash, meeting in the join is on 64.
+    id, equal or not, are documents of their own; so components may share a
+    component_id, and only ``jaccard_classes`` tells them apart. Set identity is
+    128 bits of hash, meeting in the join is on 64.
+    """
+    return jaccard_classes(documents, id_col, text_col, shingle, similar).drop("leads")
+
+
+def jaccard_classes(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similar: int = SIMILAR
+) -> DataFrame:
+    """``jaccard_components`` with ``leads``: whether the row has the smallest (id, tk) of its component, nulls last.
+
+    Every component has one such (id, tk), on one or several equal rows, and no
+    two components have the same. Rows without shingles all lead.
     """
     texts = documents.select(
         F.col(id_col).cast("long").alias("id"),
@@ -504,12 +516,14 @@ def jaccard_components(
     )
     smallest = labelled.groupBy("component").agg(F.min("first").alias("least"))
     classes = labelled.join(smallest, "component").select(
-        F.col("set").alias("c_set"), F.col("check").alias("c_check"), F.col("least.id").alias("least_id")
+        F.col("set").alias("c_set"), F.col("check").alias("c_check"), "least"
     )
     joined = rows.join(classes, (F.col("set") == F.col("c_set")) & (F.col("check") == F.col("c_check")), "left")
+    leads = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("tk") == F.col("least.tk"))
     return joined.select(
         F.col("id").alias("doc_id"),
         "tk",
         F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("least_id")).alias("component_id"),
+        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("least.id")).alias("component_id"),
+        ((F.col("n") == 0) | leads).alias("leads"),
     )

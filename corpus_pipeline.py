@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from clicktrail.llm.common import read_table, stored, text_key
 from clicktrail.llm.decontaminate import contaminated
-from clicktrail.llm.jaccard import jaccard_components
+from clicktrail.llm.jaccard import jaccard_classes
 from clicktrail.llm.line_dedup import dedup_lines
 from clicktrail.llm.mixing import mix
 from clicktrail.llm.quality import score_quality, train
@@ -52,26 +52,15 @@ def line_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays.
 
-    Documents without words are no one's duplicates and stay. Of rows that
-    repeat the smallest id, the one of the smallest text key stays, and of
-    equal rows one.
+    Documents without words are no one's duplicates and stay. Groups are told
+    apart by their links, not by ids, which may repeat or be null (a null id
+    comes after all others). Of rows of a group that repeat its smallest id, the
+    one of the smallest text key stays, and of equal rows one.
     """
     docs = docs.select(COLUMNS)
-    classes = stored(jaccard_components(docs), "pipeline-classes")
-    ties = Window.partitionBy("component_id").orderBy("tk")
-    # only rows with the component's own id are numbered, so no window holds more than one id's rows
-    keepers = (
-        classes.where("n_shingles > 0 and doc_id <=> component_id")
-        .distinct()
-        .withColumn("place", F.row_number().over(ties))
-        .where("place = 1")
-    )
-    wordless = classes.where("n_shingles = 0").select("doc_id", "tk").distinct()
-    kept = (
-        keepers.select("doc_id", "tk", F.lit(True).alias("_words"))
-        .unionByName(wordless.withColumn("_words", F.lit(False)))
-        .select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("tk").alias("_tk"), "_words")
-    )
+    classes = jaccard_classes(docs).where("leads")
+    id_ = F.coalesce("doc_id", F.lit(NO_ID))
+    kept = classes.select(id_.alias("_id"), F.col("tk").alias("_tk"), (F.col("n_shingles") > 0).alias("_words")).distinct()
     joined = numbered(docs, "doc_id", text_key(F.col("text"))).join(kept, ["_id", "_tk"])
     return joined.where("_copy = 1 or not _words").select(COLUMNS)
 

@@ -158,3 +158,15 @@ def top_k(rows, k=5, every=50):
         ]
         out += [(i, r, j, -s) for r, (s, _, j) in enumerate(sorted(scored, key=lambda x: x[:2])[:k], 1)]
     return out
+
+
+def groups(rows):
+    """Number of the near-duplicate group of each row; rows without words are groups of their own."""
+    sets = [shingle_set(text) for _, text in rows]
+    group = list(range(len(rows)))
+    for a, b in itertools.combinations(range(len(rows)), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+            old, new = group[b], group[a]
+            group = [new if g == old else g for g in group]
+    return group
