@@ -6,7 +6,10 @@ occurs) have a Jaccard similarity of 0.8 or more. Both get a 64-bit weighted
 SimHash. A multi-index over eight 8-bit blocks finds every item within the
 Hamming radius of a window: two fingerprints at most 24 bits apart agree in
 some block but for three bits, and items are indexed under all such values.
-Candidates are then compared exactly.
+Where a few shingles weigh much, similar pairs may lie beyond the radius; so
+both are also indexed under the first of their sorted shingles, as many as
+similar pairs must share one of (prefix filtering), which misses no pair.
+Candidates of either index are then compared exactly.
 
 Only windows that hold a shingle of some item of their size are cut; any other
 has nothing in common with an item. Everything is DataFrame expressions.
@@ -83,6 +86,12 @@ def block(fingerprint: Column, at: Column) -> Column:
     return moved.bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
 
 
+def prefix(shingles: Column, similar: int) -> Column:
+    """The distinct ones of so many first sorted shingles (repeats counted) that similar multisets share one."""
+    n = F.size(shingles)
+    return F.array_distinct(F.slice(F.sort_array(shingles), F.lit(1), n - F.ceil(n * similar / F.lit(100)).cast("int") + 1))
+
+
 def near_masks() -> list[int]:
     """Block differences of up to RADIUS // BLOCKS bits."""
     most = RADIUS // BLOCKS
@@ -199,33 +208,40 @@ def contaminated(
     items = benchmark_items(benchmark, item_col, item_text_col)
     windows = _windows(texts, _anchors(texts, items))
     at = F.sequence(F.lit(0), F.lit(BLOCKS - 1))
-    values = lambda fingerprint: F.transform(
+    blocks = lambda fingerprint: F.transform(
         at, lambda i: F.struct(i.alias("block"), block(fingerprint, i).alias("value"))
     )
-    probes = windows.withColumn("b", F.explode(values(F.col("fingerprint")))).select(
-        "id", "tk", "start", "n", "words", "shingles", "fingerprint", "b.block", "b.value"
+    # the prefix's shingles follow as values of one block more
+    firsts = lambda h: F.struct(F.lit(BLOCKS).alias("block"), h.alias("value"))
+    values = lambda: F.concat(blocks(F.col("fingerprint")), F.transform("prefix", firsts))
+    windows = windows.withColumn("prefix", prefix(F.col("shingles"), similar))
+    probes = windows.withColumn("b", F.explode(values())).select(
+        "id", "tk", "start", "n", "words", "shingles", "fingerprint", "prefix", "b.block", "b.value"
     )
     masks = F.array(*[F.lit(m).cast("long") for m in near_masks()])
     index = (
-        items.select("item_id", "n", "shingles", "fingerprint", F.explode(values(F.col("fingerprint"))).alias("b"))
-        .select("item_id", "n", "shingles", "fingerprint", "b.block", F.col("b.value").alias("own"))
-        .withColumn("mask", F.explode(masks))
+        items.withColumn("prefix", prefix(F.col("shingles"), similar))
+        .withColumn("b", F.explode(values()))
+        .withColumn("mask", F.explode(F.when(F.col("b.block") < BLOCKS, masks).otherwise(F.array(F.lit(0).cast("long")))))
         .select(
             "item_id",
             F.col("n").alias("i_n"),
             F.col("shingles").alias("i_shingles"),
             F.col("fingerprint").alias("i_fingerprint"),
-            F.col("block").alias("i_block"),
-            F.col("own").bitwiseXOR(F.col("mask")).alias("i_value"),
+            F.col("prefix").alias("i_prefix"),
+            F.col("b.block").alias("i_block"),
+            F.col("b.value").bitwiseXOR(F.col("mask")).alias("i_value"),
         )
     )
     met = probes.join(
         index, (F.col("n") == F.col("i_n")) & (F.col("block") == F.col("i_block")) & (F.col("value") == F.col("i_value"))
     )
     apart = F.col("fingerprint").bitwiseXOR(F.col("i_fingerprint"))
+    near = F.bit_count(apart) <= RADIUS
     earlier = F.exists(at, lambda i: (i < F.col("block")) & (F.bit_count(block(apart, i)) <= RADIUS // BLOCKS))
+    first = F.col("value") == F.array_min(F.array_intersect("prefix", "i_prefix"))
     # in one expression, so that the costly part is computed once, and only behind the cheap one
-    candidate = (F.bit_count(apart) <= RADIUS) & ~earlier
+    candidate = F.when(F.col("block") < BLOCKS, near & ~earlier).otherwise(~near & first)
     shared = F.when(candidate, _shared(F.col("shingles"), F.col("i_shingles")))
     score = F.struct(shared.alias("shared"), (F.size("shingles") + F.size("i_shingles")).alias("both"))
     enough = lambda s: 100 * s["shared"] >= similar * (s["both"] - s["shared"])

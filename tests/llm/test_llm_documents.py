@@ -113,6 +113,27 @@ def test_decontamination_equals_brute_force(spark, documents, rows):
     )
 
 
+def test_similar_windows_with_other_runs_of_one_word_are_found(spark):
+    """Equal but for a run of one repeated word: Jaccard 0.8, and the SimHashes differ in many bits."""
+    items, docs = [], []
+    for n in range(8):
+        head, tail = prose(700 + n, 100 + n), prose(800 + n, 175 - n)
+        items.append((n, f"{head} {'_ ' * 29}{tail}"))
+        docs.append((n, f"{head} {f'{n} ' * 29}{tail}"))
+    items.append((8, " ".join([prose(720, 3)] * 40)))
+    docs.append((8, " ".join([prose(720, 3)] * 33)))
+    want = brute.leaks(docs, items)
+    assert len(want) == 9
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contaminated(frame(spark, docs), bench)
+    assert {(r.doc_id, r.item_id): (r.similarity, r.start, r.n_words, r.n_windows) for r in got.collect()} == want
+    old = decontaminate.benchmark_items(bench).alias("a").join(
+        decontaminate.benchmark_items(frame(spark, docs), "doc_id").alias("b"), "item_id"
+    )
+    far = F.bit_count(F.col("a.fingerprint").bitwiseXOR(F.col("b.fingerprint"))) > decontaminate.RADIUS
+    assert old.where(far).count() > 0
+
+
 def test_simhash_is_the_majority_of_bits(spark):
     hashes = [[3, 1, -1], [], [2**62, -(2**63)], list(range(200)), [7] * 70_000]
     df = spark.createDataFrame([(n, h) for n, h in enumerate(hashes)], "n int, h array<long>")
