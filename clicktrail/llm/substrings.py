@@ -10,6 +10,11 @@ smaller id are marked, and marked neighbours merge into maximal repeats.
 Runs that already met their equal from a smaller document inside a map task
 are decided there and not sent, so a passage of many copies reaches its
 anchor's task at most once a batch.
+
+Runs are counted first. Those of a hot anchor (a frequent phrase among ever
+different words) are cut into single windows, which meet under a hash of the
+anchor and the window instead: its windows spread over all tasks, and no task
+holds more than one window's smallest id for them.
 """
 
 from __future__ import annotations
@@ -31,6 +36,10 @@ TAG_BYTES = 6
 #: Sorts a null id after all others.
 NO_ID = 2**63 - 1
 
+#: Hot anchors: at most so many, with so many runs at least. Anchors are counted in stretches of so many runs, and
+#: those with fewer than so many runs of a stretch are left out.
+HOT, HOT_RUNS, STRETCH, OFTEN = 1 << 17, 1_000, 1 << 20, 16
+
 RUNS = "anchor long, id long, mark long, tags binary"
 SPANS = "id long, tk long, first long, last long"
 
@@ -72,7 +81,65 @@ def _batch_runs(ids, tks, texts: pa.Array, window: int, gram: int):
     return anchor, id_, mark, tags, np.concatenate([[0], np.cumsum(lengths)])
 
 
-def _runs_of(window: int, gram: int):
+def _decided(anchor, id_, tags, offsets) -> np.ndarray:
+    """Which runs have their equal from a smaller id among these."""
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(hashing.mixed(tags), dtype=np.uint64)])
+    content = hashing.mixed(sums[offsets[1:]] - sums[offsets[:-1]]).view(np.int64) ^ anchor
+    order = np.lexsort((id_, content))
+    same = np.zeros(len(order), bool)
+    same[1:] = content[order][1:] == content[order][:-1]
+    group = np.cumsum(~same) - 1
+    smallest = id_[order][~same][group]
+    decided = np.empty(len(order), bool)
+    decided[order] = id_[order] > smallest
+    return decided
+
+
+def _cut_runs(hot: np.ndarray, anchor, id_, mark, tags, offsets, decided):
+    """The runs with those of hot anchors, unless decided, as single windows; equal windows are decided like runs."""
+    cut = np.isin(anchor, hot) & ~decided
+    lengths = np.diff(offsets)
+    within = np.repeat(cut, lengths)
+    run = np.repeat(np.flatnonzero(cut), lengths[cut])
+    place = np.arange(len(run)) - np.repeat(np.cumsum(lengths[cut]) - lengths[cut], lengths[cut])
+    own = tags[within]
+    apart = hashing.mixed(hashing.mixed(own) ^ anchor[run].view(np.uint64)).view(np.int64)
+    known = _decided(apart, id_[run], own, np.arange(len(run) + 1))
+    join = lambda whole, single: np.concatenate([whole[~cut], single])
+    return (
+        join(anchor, apart), join(id_, id_[run]), join(mark, mark[run] + (place << 31)),
+        np.concatenate([tags[~within], own]),
+        np.concatenate([[0], np.cumsum(join(lengths, np.ones(len(run), np.int64)))]), join(decided, known),
+    )
+
+
+def _anchor_counts_of(window: int, gram: int, stretch: int, often: int):
+    """Anchors with how many undecided runs a stretch of runs has under them, if often enough."""
+
+    def count_rows(anchors):
+        values, times = np.unique(np.concatenate(anchors), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(values[times >= often]), pa.array(times[times >= often])], names=["anchor", "times"])
+
+    def counts(batches):
+        anchors, held = [], 0
+        for batch in batches:
+            ids, tks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("id", "tk"))
+            made = _batch_runs(ids, tks, batch.column("text"), window, gram)
+            if made is None:
+                continue
+            anchor, id_, _, tags, offsets = made
+            anchors.append(anchor[~_decided(anchor, id_, tags, offsets)])
+            held += len(anchors[-1])
+            if held >= stretch:
+                yield count_rows(anchors)
+                anchors, held = [], 0
+        if held:
+            yield count_rows(anchors)
+
+    return counts
+
+
+def _runs_of(window: int, gram: int, hot: np.ndarray):
     def runs(batches):
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
@@ -81,16 +148,10 @@ def _runs_of(window: int, gram: int):
             if made is None:
                 continue
             anchor, id_, mark, tags, offsets = made
+            decided = _decided(anchor, id_, tags, offsets)
+            if len(hot):
+                anchor, id_, mark, tags, offsets, decided = _cut_runs(hot, anchor, id_, mark, tags, offsets, decided)
             lengths = np.diff(offsets)
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(hashing.mixed(tags), dtype=np.uint64)])
-            content = hashing.mixed(sums[offsets[1:]] - sums[offsets[:-1]]).view(np.int64) ^ anchor
-            order = np.lexsort((id_, content))
-            same = np.zeros(len(order), bool)
-            same[1:] = content[order][1:] == content[order][:-1]
-            group = np.cumsum(~same) - 1
-            smallest = id_[order][~same][group]
-            decided = np.empty(len(order), bool)
-            decided[order] = id_[order] > smallest
             kept = tags[np.repeat(~decided, lengths)]
             flat = kept.view(np.uint8).reshape(-1, 8)[:, :TAG_BYTES].ravel()
             # a decided run is one byte, its length, and goes wherever its document hashes to
@@ -182,6 +243,21 @@ def _identity(id_col: str, text_col: str):
     return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), key
 
 
+def anchored_runs(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """Runs of texts (id, tk, text) with the anchor under which they meet; those of hot anchors as single windows."""
+    counts = in_arrow(texts, _anchor_counts_of(window, gram, STRETCH, OFTEN), "anchor long, times long")
+    hot = (
+        counts.groupBy("anchor")
+        .agg(F.sum("times").alias("times"))
+        .where(F.col("times") >= HOT_RUNS)
+        .orderBy(F.desc("times"), "anchor")
+        .limit(HOT)
+        .toPandas()["anchor"]
+        .to_numpy(np.int64)
+    )
+    return in_arrow(texts, _runs_of(window, gram, np.sort(hot)), RUNS)
+
+
 def repeated_spans(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM
 ) -> DataFrame:
@@ -190,8 +266,7 @@ def repeated_spans(
     texts = documents.where(F.col(text_col).isNotNull()).select(
         id_.alias("id"), tk.alias("tk"), F.col(text_col).cast("string").alias("text")
     )
-    runs = in_arrow(texts, _runs_of(window, gram), RUNS)
-    met = runs.repartition("anchor").sortWithinPartitions("anchor", "id")
+    met = anchored_runs(texts, window, gram).repartition("anchor").sortWithinPartitions("anchor", "id")
     return in_arrow(met, _spans_of(window), SPANS)
 
 

@@ -85,6 +85,33 @@ def test_substrings_meet_across_batches(spark):
     assert got == Counter(brute.substrings(rows))
 
 
+def test_runs_of_a_hot_anchor_spread_by_their_windows(spark, monkeypatch):
+    """A phrase that wins the windows around it, in every document, with other words around it in each but a few."""
+    phrases = [prose(n, 4) for n in range(3000)]
+
+    def hash_of(phrase):
+        data, offsets = hashing.text_buffers(pa.array([phrase]))
+        return hashing.shingles(hashing.word_hashes(data, offsets, lower=False)[0], substrings.GRAM)[0]
+
+    phrase = min(phrases, key=hash_of)
+    rows = [(n % 70, f"{prose(1000 + n % 60, 14)} {phrase} {prose(1100 + n % 65, 14)}") for n in range(80)] + [(None, None), (None, phrase)]
+    monkeypatch.setattr(substrings, "HOT_RUNS", 8, raising=False)
+    monkeypatch.setattr(substrings, "OFTEN", 2, raising=False)
+    met = []
+    sorted_runs = substrings.in_arrow
+
+    def noted(df, function, schema):
+        if schema == substrings.SPANS:
+            met.append(df)
+        return sorted_runs(df, function, schema)
+
+    monkeypatch.setattr(substrings, "in_arrow", noted)
+    got = table(substrings.dedup_substrings(frame(spark, rows)), "doc_id", "n_words", "n_removed", "kept")
+    assert got == Counter(brute.substrings(rows))
+    most = met[0].groupBy("anchor").agg(F.countDistinct("tags").alias("n")).agg(F.max("n")).first()[0]
+    assert most <= 8
+
+
 def test_line_dedup_equals_brute_force(documents, rows):
     out = line_dedup.dedup_lines(documents)
     got = table(out, F.col("doc.doc_id"), "n_lines", "n_removed", "kept")
