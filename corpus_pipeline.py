@@ -76,7 +76,12 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: documents with the words taken of each, ``epochs`` whole passes and ``rest`` words more; those not taken go."""
+    """The mix: documents with the words taken of each, ``epochs`` whole passes and ``rest`` words more; those not taken go.
+
+    Every document taken is one row with its whole text. Sources have their
+    target shares only once readers expand the rows: the text ``epochs`` times,
+    then its first ``rest`` words.
+    """
     docs = docs.select(COLUMNS)
     mixed = numbered(mix(docs).withColumnRenamed("doc_id", "m_id"), "m_id", F.col("text_key")).where("taken > 0")
     joined = numbered(docs, "doc_id", text_key(F.col("text"))).join(
