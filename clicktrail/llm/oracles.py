@@ -161,6 +161,46 @@ SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_line
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: The CRC is computed bit by bit into a table of 256, and byte by byte for each distinct feature.
+RESAMPLING = rf"""
+WITH RECURSIVE steps AS (
+  SELECT b, b::BIGINT AS v, 0 AS i FROM range(256) t(b)
+  UNION ALL SELECT b, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384::BIGINT) ELSE v // 2 END, i + 1 FROM steps WHERE i < 8),
+crc_table AS (SELECT list(v ORDER BY b) AS t FROM steps WHERE i = 8),
+texts AS (
+  SELECT false AS target, doc_id AS id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+  UNION ALL
+  SELECT true, item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark),
+features AS (
+  SELECT target, id, unnest(ws) AS f FROM texts
+  UNION ALL
+  SELECT target, id, ws[i] || ' ' || ws[i + 1] FROM texts, unnest(range(1, len(ws))) t(i)),
+hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, [('0x' || substr(hex(encode(f)), 2 * i - 1, 2))::BIGINT FOR i IN range(1, strlen(f) + 1)]),
+                            lambda c, b: xor(c // 256, t[1 + xor(c, b) % 256])), 4294967295::BIGINT) % 10000 AS bucket
+  FROM (SELECT DISTINCT f FROM features), crc_table),
+placed AS (SELECT target, id, bucket FROM features JOIN hashed USING (f)),
+totals AS (SELECT count(*) FILTER (NOT target)::DOUBLE AS s, count(*) FILTER (target)::DOUBLE AS t FROM placed),
+gains AS (
+  SELECT bucket, floor(1000 * ln((count(*) FILTER (target) + 1)::DOUBLE * (any_value(s) + 10000)
+                                 / ((count(*) FILTER (NOT target) + 1)::DOUBLE * (any_value(t) + 10000))))::BIGINT AS gain
+  FROM placed, totals GROUP BY bucket),
+weights AS (
+  SELECT id AS doc_id, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight
+  FROM placed JOIN gains USING (bucket) WHERE NOT target GROUP BY id),
+scored AS (
+  SELECT x.id AS doc_id, coalesce(len(ws), 0) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT
+           + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || x.id), 1, 8))::BIGINT::DOUBLE + 0.5) / 4294967296.0)))::BIGINT AS score
+  FROM texts x LEFT JOIN weights w ON w.doc_id = x.id WHERE NOT target),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_words::BIGINT AS n_words, n_features, weight, score, CASE WHEN rank <= 25 * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -171,4 +211,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_warc": WARC,
         "op8_decontamination": LEAKS,
         "op10_line_dedup": LINES,
+        "op11_importance_resampling": RESAMPLING,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktrail.llm import chat, decontaminate, jaccard, knn, langid, line_dedup, mixing, quality, substrings, warc
+from clicktrail.llm import chat, decontaminate, jaccard, knn, langid, line_dedup, mixing, quality, resampling, substrings, warc
 from clicktrail.llm.common import read_table
 from clicktrail.session import work_dir
 
@@ -156,6 +156,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, target = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return resampling.resample(documents, target)
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
@@ -168,4 +173,5 @@ def all_queries() -> dict[str, Query]:
         "op8_decontamination": op8_decontamination,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_line_dedup": op10_line_dedup,
+        "op11_importance_resampling": op11_importance_resampling,
     }

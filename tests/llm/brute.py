@@ -170,3 +170,36 @@ def groups(rows):
             old, new = group[b], group[a]
             group = [new if g == old else g for g in group]
     return group
+
+
+def floor_log(ratio, factor=1000):
+    import math
+
+    return math.floor(factor * math.log(ratio))
+
+
+def resampling(rows, targets, buckets=10_000, share=25, least=20, seed=7):
+    """(doc_id, n_words, n_features, weight, score, rank) of each row, in no order."""
+    import hashlib
+    import math
+    import zlib
+
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+    def bag(text):
+        w = word.findall((text or "").translate(LOWER))
+        return len(w), [zlib.crc32(f.encode()) % buckets for f in w + [f"{a} {b}" for a, b in itertools.pairwise(w)]]
+
+    bags = [bag(text) for _, text in rows]
+    s = Counter(b for _, bag_ in bags for b in bag_)
+    t = Counter(b for text in targets for b in bag(text)[1])
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = lambda b: floor_log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets)))
+    scored = []
+    for (doc_id, _), (n, found) in zip(rows, bags, strict=True):
+        weight = sum(map(gain, found)) // len(found) if found else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:8], 16)
+        scored.append((doc_id, n, len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 2**32)))))
+    able = sorted((r for r in scored if r[1] >= least), key=lambda r: (-r[4], order(r[0]), r[2], r[3], r[1]))
+    drawn = len(able) * share // 100
+    return [(*r, n if n <= drawn else None) for n, r in enumerate(able, 1)] + [(*r, None) for r in scored if r[1] < least]
