@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from clicktrail.llm import chat, mixing
+import math
+
+from clicktrail.llm import chat, mixing, secrets
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -202,6 +204,88 @@ FROM scored LEFT JOIN ranked USING (doc_id)
 """
 
 
+def _log_tail(z: str) -> str:
+    """Logarithm of the normal tail beyond z."""
+
+    def upper(x: str) -> str:
+        t = f"(1 / (1 + {secrets.TAIL_SCALE} * {x}))"
+        series = "0"
+        for c in reversed(secrets.TAIL):
+            series = f"(({series} + {c}) * {t})"
+        return f"(-{x} * {x} / 2 - {math.log(2 * math.pi) / 2!r} + ln({series}))"
+
+    return f"(CASE WHEN {z} >= 0 THEN {upper(z)} ELSE ln(1 - exp({upper(f'(-{z})')})) END)"
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+_ENCODINGS = ", ".join(
+    f"({n}, {_quoted(e.pattern)}, '{e.alphabet}', {len(e.alphabet) - 1}::DOUBLE, {e.excess!r}::DOUBLE, {e.changes!r}::DOUBLE, {e.random_changes!r}::DOUBLE)"
+    for n, e in enumerate(secrets.ENCODINGS)
+)
+_PATTERNS = ((0, secrets.ASSIGN, 2), (1, secrets.ACCESS, 0), (2, secrets.HEX, 0), (3, secrets.TOKEN, 0))
+
+SECRETS = f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({" UNION ALL ".join(
+    f"SELECT doc_id, {kind} AS kind, regexp_extract_all(text, {_quoted(p)}) AS ms, regexp_extract_all(text, {_quoted(p)}, {group}) AS vs, string_split_regex(text, {_quoted(p)}) AS gaps FROM texts"
+    for kind, p, group in _PATTERNS
+)}),
+matched AS (
+  SELECT doc_id, kind, ms[i] AS token, vs[i] AS value,
+         (list_sum([length(g) FOR g IN gaps[1:i]]) + coalesce(list_sum([length(m) FOR m IN ms[1:i - 1]]), 0))::BIGINT AS start
+  FROM found, unnest(range(1, len(ms) + 1)) t(i) WHERE len(ms) > 0),
+base AS (SELECT doc_id, kind, start, start + length(token) AS stop FROM matched WHERE kind < 3 AND (kind > 0 OR length(value) >= {secrets.LEAST_VALUE})),
+encodings(encoding, pattern, alphabet, free, excess, rare, often) AS (VALUES {_ENCODINGS}),
+cores AS (
+  SELECT doc_id, start, start + length(token) AS stop, regexp_replace(token, '=+$', '') AS core FROM matched
+  WHERE kind = 3 AND regexp_matches(token, '[0-9]') AND regexp_matches(token, '[A-Za-z]')),
+encoded AS (
+  SELECT c.*, e.*, CASE WHEN encoding IN (0, 2) THEN lower(translate(core, '-_', '+/')) ELSE translate(core, '-_', '+/') END AS s
+  FROM cores c JOIN encodings e ON pattern = '' OR regexp_matches(core, pattern)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, start ORDER BY encoding) = 1),
+symbols AS (
+  SELECT *, length(s)::DOUBLE AS n, [position(substr(s, i, 1) IN alphabet)::DOUBLE FOR i IN range(1, length(s) + 1)] AS v,
+         list_sum([pow(length(s) - length(replace(s, c, '')), 2) FOR c IN list_distinct(string_split(s, ''))]) AS squares,
+         length(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(s, '[+/]+', '!', 'g'), '[a-z]+', '#', 'g'), '[A-Z]+', '#a', 'g'), '[0-9]+', '#', 'g'), '#a', '#', 'g'))::DOUBLE - 1 AS changes
+  FROM encoded),
+sums AS (
+  SELECT *, squares * (free + 1) / n - n AS chi, pow(list_sum(v), 2) AS s2, n * list_sum([x * x FOR x IN v]) AS q,
+         n * list_sum([v[i] * v[i % len(v) + 1] FOR i IN range(1, len(v) + 1)]) AS p
+  FROM symbols),
+statistics AS (SELECT *, CASE WHEN q > s2 THEN (p - s2) / (q - s2) ELSE 1 END AS serial FROM sums),
+scores AS (
+  SELECT *, (free + n * excess - chi) / sqrt(2 * free + 4 * n * excess) AS z1,
+         (changes - 0.5 - (n - 1) * rare) / sqrt((n - 1) * rare * (1 - rare)) AS z2,
+         ({secrets.CORRELATION} - abs(serial)) * sqrt(n) / {1 - secrets.CORRELATION**2!r} AS z3,
+         chi - free <= {secrets.PASS} * sqrt(2 * free) AND abs(changes - (n - 1) * often) <= {secrets.PASS} * sqrt((n - 1) * often * (1 - often))
+           AND abs(serial) <= {secrets.PASS} / sqrt(n) AS random
+  FROM statistics),
+fisher AS (SELECT *, -({_log_tail("z1")} + {_log_tail("z2")} + {_log_tail("z3")}) AS y FROM scores),
+levels AS (
+  SELECT doc_id, start, stop, encoding, length(bin(n::BIGINT)) AS lengths,
+         CASE WHEN random THEN least(greatest(floor((y - ln(1 + y + y * y / 2)) * {secrets.STEPS} / {math.log(10)!r}), 0), {secrets.STEPS * secrets.SMALLEST})::INTEGER ELSE 0 END AS level
+  FROM fisher),
+counted AS (
+  SELECT encoding, lengths, level, sum(count(*)) OVER (PARTITION BY encoding, lengths ORDER BY level DESC) AS k,
+         sum(count(*)) OVER (PARTITION BY encoding, lengths) AS n
+  FROM levels GROUP BY encoding, lengths, level),
+least_levels AS (
+  SELECT encoding, lengths, min(level) AS least FROM counted
+  WHERE level > 0 AND n * pow(10, -level / {secrets.STEPS}) <= {secrets.RATE} * k GROUP BY encoding, lengths),
+spans AS (
+  SELECT * FROM base
+  UNION ALL SELECT doc_id, 3, start, stop FROM levels JOIN least_levels USING (encoding, lengths) WHERE level >= least),
+named AS (SELECT *, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || start || ':' || stop AS span FROM spans)
+SELECT d.doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, kind, stop) FILTER (kind < 3), '')) AS base_sha256,
+       coalesce(string_agg(span, ',' ORDER BY start, kind, stop), '') AS spans
+FROM documents d LEFT JOIN named n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_source_mixing": MIXING,
@@ -212,4 +296,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_decontamination": LEAKS,
         "op10_line_dedup": LINES,
         "op11_importance_resampling": RESAMPLING,
+        "op13_secret_scan": SECRETS,
     }

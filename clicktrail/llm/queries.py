@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktrail.llm import chat, decontaminate, jaccard, knn, langid, line_dedup, mixing, quality, resampling, substrings, warc
+from clicktrail.llm import chat, decontaminate, jaccard, knn, langid, line_dedup, mixing, quality, resampling, secrets, substrings, warc
 from clicktrail.llm.common import read_table
 from clicktrail.session import work_dir
 
@@ -161,6 +161,19 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(documents, target)
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("long")
+    return found.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
@@ -174,4 +187,5 @@ def all_queries() -> dict[str, Query]:
         "op9_quality_classifier": op9_quality_classifier,
         "op10_line_dedup": op10_line_dedup,
         "op11_importance_resampling": op11_importance_resampling,
+        "op13_secret_scan": op13_secret_scan,
     }
