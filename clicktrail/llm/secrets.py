@@ -124,7 +124,8 @@ def running_sums(values: Column) -> Column:
 
     def joined(sums: Column) -> Column:
         before = F.concat(F.array(F.lit(0)), _simple_sums(F.transform(sums, lambda s: F.element_at(s, -1))))
-        return F.flatten(F.transform(sums, lambda s, n: F.transform(s, lambda x: x + F.element_at(before, n + 1))))
+        moved = lambda s, first: F.transform(s, lambda x: x + first)
+        return bind(before, lambda b: F.flatten(F.transform(sums, lambda s, n: bind(F.element_at(b, n + 1), lambda first: moved(s, first)))))
 
     return F.when(F.size(values) == 0, F.expr("cast(array() as array<int>)")).otherwise(bind(blocks, joined))
 
