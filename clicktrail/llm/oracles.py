@@ -203,6 +203,25 @@ SELECT doc_id, n_words::BIGINT AS n_words, n_features, weight, score, CASE WHEN
 FROM scored LEFT JOIN ranked USING (doc_id)
 """
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE)::DOUBLE FOR x IN embedding] AS e, len(embedding) AS dim FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND c.dim = a.dim),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+windowed AS (
+  SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM windowed WHERE rank <= 5
+"""
+
 
 def _log_tail(z: str) -> str:
     """Logarithm of the normal tail beyond z."""
@@ -296,5 +315,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_decontamination": LEAKS,
         "op10_line_dedup": LINES,
         "op11_importance_resampling": RESAMPLING,
+        "op12_hard_negatives": HARD_NEGATIVES,
         "op13_secret_scan": SECRETS,
     }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktrail.llm import chat, decontaminate, jaccard, knn, langid, line_dedup, mixing, quality, resampling, secrets, substrings, warc
+from clicktrail.llm import chat, decontaminate, hard_negatives, jaccard, knn, langid, line_dedup, mixing, quality, resampling, secrets, substrings, warc
 from clicktrail.llm.common import read_table
 from clicktrail.session import work_dir
 
@@ -161,6 +161,12 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(documents, target)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, vec_id = read_table(spark, sf_dir, "embeddings"), F.col("vec_id")
+    moved = F.when(vec_id % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved), vec_id % 100 == 0)
+
+
 def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == secrets.KINDS.index(kind))).cast("long")
@@ -187,5 +193,6 @@ def all_queries() -> dict[str, Query]:
         "op9_quality_classifier": op9_quality_classifier,
         "op10_line_dedup": op10_line_dedup,
         "op11_importance_resampling": op11_importance_resampling,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_secret_scan": op13_secret_scan,
     }

@@ -203,3 +203,25 @@ def resampling(rows, targets, buckets=10_000, share=25, least=20, seed=7):
     able = sorted((r for r in scored if r[1] >= least), key=lambda r: (-r[4], order(r[0]), r[2], r[3], r[1]))
     drawn = len(able) * share // 100
     return [(*r, n if n <= drawn else None) for n, r in enumerate(able, 1)] + [(*r, None) for r in scored if r[1] < least]
+
+
+def hard_negatives(rows, positives=5, negatives=5, share=80, every=100):
+    """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) over rows (vec_id, vector, label), each row its own."""
+    import math
+
+    usable = [
+        (n, i, label, [math.floor(256 * float(x)) for x in v])
+        for n, (i, v, label) in enumerate(rows)
+        if label is not None and v and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    out = []
+    for n, i, label, a in usable:
+        if i is None or i % every:
+            continue
+        scored = sorted(
+            (-sum(x * y for x, y in zip(a, v, strict=True)), order(j), m, j, other) for m, j, other, v in usable if m != n and len(v) == len(a)
+        )
+        for score, _, _, j, _ in [s for s in scored if s[4] == label][:positives]:
+            fits = [s for s in scored if s[4] != label and share * -score <= 100 * -s[0] <= 100 * -score]
+            out += [(i, j, r, s[3], -score, -s[0]) for r, s in enumerate(fits[:negatives], 1)]
+    return out
