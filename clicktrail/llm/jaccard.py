@@ -435,7 +435,8 @@ def jaccard_components(
     null doc_id never is the smallest unless all are null. Rows that repeat an
     id, equal or not, are documents of their own; so components may share a
     component_id, and only ``jaccard_classes`` tells them apart. Set identity is
-    128 bits of hash, meeting in the join is on 64.
+    128 bits of hash, meeting in the join is on 64. ``similar`` is at least 50:
+    below, bitmaps of more than two widths would have to be compared.
     """
     return jaccard_classes(documents, id_col, text_col, shingle, similar).drop("leads")
 
@@ -448,6 +449,8 @@ def jaccard_classes(
     Every component has one such (id, tk), on one or several equal rows, and no
     two components have the same. Rows without shingles all lead.
     """
+    if not 50 <= similar <= 100:
+        raise ValueError(f"similarity of 50 to 100 hundredths, not {similar}")
     texts = documents.select(
         F.col(id_col).cast("long").alias("id"),
         F.col(id_col).isNull().alias("no_id"),
@@ -499,9 +502,10 @@ def jaccard_classes(
         F.col("first.no_id").alias("m_no_id"), F.col("first.id").alias("m_id"), F.col("first.tk").alias("m_tk"),
     )
     at = F.col("id").eqNullSafe(F.col("m_id")) & (F.col("tk") == F.col("m_tk"))
-    # rows that repeat id and text would bring a set twice; links between equal sets are none, so that is harmless
+    # rows that repeat id and text bring a set once each; one is enough, and copies go before they are shuffled
+    once = texts.join(members, at).groupBy("set").agg(*[F.first(c).alias(c) for c in ("component", "count", "n", "bits", "text")])
     whole = in_arrow(
-        texts.join(members, at).select("component", "count", "set", "n", "bits", "text"),
+        once.select("component", "count", "set", "n", "bits", "text"),
         _tokens_of(shingle),
         "component long, count long, set long, n long, bits binary, tokens binary",
     )
