@@ -35,21 +35,21 @@ GRAM = 4
 TAG_BYTES = 6
 #: Sorts a null id after all others.
 NO_ID = 2**63 - 1
+CODEC = "zstd"
 
 #: Hot anchors: at most so many, with so many runs at least. Anchors are counted in stretches of so many runs, and
 #: those with fewer than so many runs of a stretch are left out.
 HOT, HOT_RUNS, STRETCH, OFTEN = 1 << 17, 1_000, 1 << 20, 16
 
-RUNS = "anchor long, id long, mark long, tags binary"
-SPANS = "id long, tk long, first long, last long"
-
+#: A decided run is sent as its length in one byte.
+LONGEST_RUN = 255
 
-def _mark(start: np.ndarray, tk: np.ndarray) -> np.ndarray:
-    return (start.astype(np.int64) << 31) | (tk & 0x7FFFFFFF)
+RUNS = "anchor long, id long, tk long, start int, tags binary"
+SPANS = "id long, tk long, first long, last long"
 
 
 def _batch_runs(ids, tks, texts: pa.Array, window: int, gram: int):
-    """Runs of one batch: anchor, id, mark, windows' tags (flat) and offsets of the runs in them."""
+    """Runs of one batch: anchor, id, text key, start, windows' tags (flat) and offsets of the runs in them."""
     data, offsets = hashing.text_buffers(texts)
     found = []
     for i, j in hashing.text_slices(offsets):
@@ -74,11 +74,11 @@ def _batch_runs(ids, tks, texts: pa.Array, window: int, gram: int):
         head = np.flatnonzero(new)
         of = document[head] + i
         start = valid[head] - bounds[document[head]]
-        found.append((grams[seed[head]].view(np.int64), ids[of], _mark(start, tks[of]), tags, np.diff(np.append(head, len(valid)))))
+        found.append((grams[seed[head]].view(np.int64), ids[of], tks[of], start, tags, np.diff(np.append(head, len(valid)))))
     if not found:
         return None
-    anchor, id_, mark, tags, lengths = (np.concatenate(c) for c in zip(*found, strict=True))
-    return anchor, id_, mark, tags, np.concatenate([[0], np.cumsum(lengths)])
+    anchor, id_, tk, start, tags, lengths = (np.concatenate(c) for c in zip(*found, strict=True))
+    return anchor, id_, tk, start.astype(np.int32), tags, np.concatenate([[0], np.cumsum(lengths)])
 
 
 def _decided(anchor, id_, tags, offsets) -> np.ndarray:
@@ -95,7 +95,7 @@ def _decided(anchor, id_, tags, offsets) -> np.ndarray:
     return decided
 
 
-def _cut_runs(hot: np.ndarray, anchor, id_, mark, tags, offsets, decided):
+def _cut_runs(hot: np.ndarray, anchor, id_, tk, start, tags, offsets, decided):
     """The runs with those of hot anchors, unless decided, as single windows; equal windows are decided like runs."""
     cut = np.isin(anchor, hot) & ~decided
     lengths = np.diff(offsets)
@@ -107,7 +107,7 @@ def _cut_runs(hot: np.ndarray, anchor, id_, mark, tags, offsets, decided):
     known = _decided(apart, id_[run], own, np.arange(len(run) + 1))
     join = lambda whole, single: np.concatenate([whole[~cut], single])
     return (
-        join(anchor, apart), join(id_, id_[run]), join(mark, mark[run] + (place << 31)),
+        join(anchor, apart), join(id_, id_[run]), join(tk, tk[run]), join(start, start[run] + place.astype(np.int32)),
         np.concatenate([tags[~within], own]),
         np.concatenate([[0], np.cumsum(join(lengths, np.ones(len(run), np.int64)))]), join(decided, known),
     )
@@ -127,7 +127,7 @@ def _anchor_counts_of(window: int, gram: int, stretch: int, often: int):
             made = _batch_runs(ids, tks, batch.column("text"), window, gram)
             if made is None:
                 continue
-            anchor, id_, _, tags, offsets = made
+            anchor, id_, _, _, tags, offsets = made
             anchors.append(anchor[~_decided(anchor, id_, tags, offsets)])
             held += len(anchors[-1])
             if held >= stretch:
@@ -147,10 +147,10 @@ def _runs_of(window: int, gram: int, hot: np.ndarray):
             made = _batch_runs(ids, tks, batch.column("text"), window, gram)
             if made is None:
                 continue
-            anchor, id_, mark, tags, offsets = made
+            anchor, id_, tk, start, tags, offsets = made
             decided = _decided(anchor, id_, tags, offsets)
             if len(hot):
-                anchor, id_, mark, tags, offsets, decided = _cut_runs(hot, anchor, id_, mark, tags, offsets, decided)
+                anchor, id_, tk, start, tags, offsets, decided = _cut_runs(hot, anchor, id_, tk, start, tags, offsets, decided)
             lengths = np.diff(offsets)
             kept = tags[np.repeat(~decided, lengths)]
             flat = kept.view(np.uint8).reshape(-1, 8)[:, :TAG_BYTES].ravel()
@@ -161,20 +161,20 @@ def _runs_of(window: int, gram: int, hot: np.ndarray):
             single = np.zeros(ends[-1], bool)
             single[ends[:-1][decided]] = True
             out[single], out[~single] = lengths[decided], flat
-            route = np.where(decided, hashing.mixed(mark.view(np.uint64) ^ id_.view(np.uint64)).view(np.int64), anchor)
+            own = hashing.mixed((tk ^ id_).view(np.uint64) + start.astype(np.uint64)).view(np.int64)
+            route = np.where(decided, own, anchor)
             step = 1 << 15
             for a in range(0, len(route), step):
                 b = min(a + step, len(route))
                 part = hashing.binary_column(out[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
-                columns = [pa.array(route[a:b]), pa.array(id_[a:b]), pa.array(mark[a:b]), part]
-                yield pa.RecordBatch.from_arrays(columns, names=["anchor", "id", "mark", "tags"])
+                columns = [*(pa.array(c[a:b]) for c in (route, id_, tk, start)), part]
+                yield pa.RecordBatch.from_arrays(columns, names=["anchor", "id", "tk", "start", "tags"])
 
     return runs
 
 
 def _spans_of(window: int):
-    def span_rows(id_, mark, first, last):
-        tk, start = mark & 0x7FFFFFFF, mark >> 31
+    def span_rows(id_, tk, start, first, last):
         columns = [pa.array(c) for c in (id_, tk, start + first, start + last + window - 1)]
         return pa.RecordBatch.from_arrays(columns, names=["id", "tk", "first", "last"])
 
@@ -182,7 +182,7 @@ def _spans_of(window: int):
         """Rows come sorted by anchor and id. What an anchor's windows were first seen in goes on to the next batch."""
         last_anchor, seen_tags, seen_ids = None, np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
-            anchor, id_, mark = (batch.column(c).to_numpy() for c in ("anchor", "id", "mark"))
+            anchor, id_, tk, start = (batch.column(c).to_numpy() for c in ("anchor", "id", "tk", "start"))
             if not len(anchor):
                 continue
             data, offsets = hashing.binary_buffers(batch.column("tags"))
@@ -190,7 +190,7 @@ def _spans_of(window: int):
             decided = sizes == 1
             if decided.any():
                 length = data[offsets[:-1][decided]].astype(np.int64)
-                yield span_rows(id_[decided], mark[decided], np.zeros(len(length), np.int64), length - 1)
+                yield span_rows(id_[decided], tk[decided], start[decided], np.zeros(len(length), np.int64), length - 1)
             rows = np.flatnonzero(~decided)
             if not len(rows):
                 continue
@@ -233,14 +233,14 @@ def _spans_of(window: int):
                 ends = hit.copy()
                 ends[:-1] &= ~(hit[1:] & (run[1:] == run[:-1]))
                 a, b = np.flatnonzero(begins), np.flatnonzero(ends)
-                yield span_rows(id_[rows][run[a]], mark[rows][run[a]], place[a], place[b])
+                at = rows[run[a]]
+                yield span_rows(id_[at], tk[at], start[at], place[a], place[b])
 
     return spans
 
 
 def _identity(id_col: str, text_col: str):
-    key = text_key(F.col(text_col)).bitwiseAND(F.lit(0x7FFFFFFF))
-    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), key
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)), text_key(F.col(text_col))
 
 
 def anchored_runs(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -262,6 +262,8 @@ def repeated_spans(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM
 ) -> DataFrame:
     """Word ranges (id, tk, first, last; counted from 0, overlapping) whose windows start in a smaller document too."""
+    if not gram <= window <= gram + LONGEST_RUN - 1:
+        raise ValueError(f"a window has {gram} to {gram + LONGEST_RUN - 1} words")
     id_, tk = _identity(id_col, text_col)
     texts = documents.where(F.col(text_col).isNotNull()).select(
         id_.alias("id"), tk.alias("tk"), F.col(text_col).cast("string").alias("text")
@@ -281,6 +283,15 @@ def merged(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
+def _packed(batches):
+    """Texts compressed, as they travel to their spans."""
+    for batch in batches:
+        texts = [(t.as_py() or "").encode() for t in batch.column("text")]
+        packed = pa.array([pa.compress(t, CODEC, asbytes=True) if t else b"" for t in texts], pa.binary())
+        columns = [*(batch.column(c) for c in ("doc_id", "id", "tk")), packed, pa.array([len(t) for t in texts], pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "id", "tk", "packed", "size"])
+
+
 def dedup_substrings(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM
 ) -> DataFrame:
@@ -299,17 +310,19 @@ def dedup_substrings(
         .withColumnsRenamed({"id": "s_id", "tk": "s_tk"})
     )
     id_, tk = _identity(id_col, text_col)
+    kind = documents.schema[id_col].dataType
     texts = documents.select(
         F.col(id_col).alias("doc_id"), id_.alias("id"), tk.alias("tk"), F.col(text_col).cast("string").alias("text")
     )
+    texts = in_arrow(texts, _packed, f"doc_id {kind.simpleString()}, id long, tk long, packed binary, size long")
     joined = texts.join(spans, (F.col("id") == F.col("s_id")) & (F.col("tk") == F.col("s_tk")), "left")
 
     def cut(batches):
         for batch in batches:
-            columns = [batch.column(c) for c in ("doc_id", "text", "first", "last")]
+            columns = [batch.column(c) for c in ("doc_id", "packed", "size", "first", "last")]
             made, size = [], 0
-            for doc_id, text, first, last in zip(*columns, strict=True):
-                all_words = (text.as_py() or "").encode().split()
+            for doc_id, packed, whole, first, last in zip(*columns, strict=True):
+                all_words = pa.decompress(packed.as_py(), whole.as_py(), CODEC, asbytes=True).split() if whole.as_py() else []
                 ranges = merged(first.values.to_numpy(), last.values.to_numpy()) if first.is_valid else []
                 kept, at = [], 0
                 for a, b in ranges:
@@ -324,7 +337,6 @@ def dedup_substrings(
             if made:
                 yield frame(made)
 
-    kind = documents.schema[id_col].dataType
     id_type = to_arrow_type(kind)
     spans_type = pa.list_(pa.struct([pa.field("first", pa.int64()), pa.field("last", pa.int64())]))
 
@@ -337,4 +349,4 @@ def dedup_substrings(
         )
 
     schema = f"doc_id {kind.simpleString()}, n_words long, n_removed long, spans array<struct<first:long,last:long>>, kept string"
-    return in_arrow(joined.select("doc_id", "text", "first", "last"), cut, schema)
+    return in_arrow(joined.select("doc_id", "packed", "size", "first", "last"), cut, schema)

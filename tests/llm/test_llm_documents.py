@@ -277,3 +277,37 @@ def test_empty_tables(spark, nothing):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality.score_quality(nothing, quality.train(nothing, labels)).isEmpty()
     assert quality.score_quality(some, quality.train(some, labels)).count() == 1
+
+
+def test_many_rows_of_one_text_and_a_near_copy(spark):
+    """A third and more of all rows has no id and one text; one text is almost the same."""
+    base = prose(70, 200)
+    near = edited(base, 1, 3)
+    rows = [(5, near)] + [(n + 10, prose(700 + n, 12)) for n in range(20)]
+    many = spark.range(50_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(base).alias("text"))
+    out = jaccard.jaccard_classes(frame(spark, rows).select("doc_id", "text").unionByName(many))
+    got = table(out.groupBy("doc_id", "n_shingles", "component_id", "leads").count(), "doc_id", "n_shingles", "component_id", "leads", "count")
+    sizes = {t: len(brute.shingle_set(t)) for t in (base, near)}
+    want = [(None, sizes[base], 5, False, 50_000), (5, sizes[near], 5, True, 1)] + [(i, 8, i, True, 1) for i, _ in rows[1:]]
+    assert got == Counter(want)
+
+
+def test_similarities_below_a_half_are_refused(documents):
+    with pytest.raises(ValueError, match="similarity"):
+        jaccard.jaccard_classes(documents, similar=49)
+
+
+def test_rows_without_id_are_told_apart_by_their_whole_text(spark):
+    """Two texts without id whose keys agree in their lower 31 bits: what repeats in one is no repeat in the other."""
+    texts = spark.range(200_000).select(F.concat(F.lit("t "), F.repeat(F.concat(F.lit(" w"), F.col("id").cast("string")), 25)).alias("text"))
+    keyed = texts.select("text", substrings.text_key(F.col("text")).bitwiseAND(F.lit(0x7FFFFFFF)).alias("low"))
+    pairs = keyed.groupBy("low").agg(F.collect_list("text").alias("texts")).where("size(texts) > 1").first().texts
+    rows = [(1, " ".join(pairs[0].split()[1:15])), (None, pairs[0]), (None, pairs[1])]
+    got = table(substrings.dedup_substrings(frame(spark, rows)), "doc_id", "n_words", "n_removed", "kept")
+    assert got == Counter(brute.substrings(rows))
+
+
+@pytest.mark.parametrize("window", [3, 259])
+def test_windows_out_of_range_are_refused(documents, window):
+    with pytest.raises(ValueError, match="window"):
+        substrings.repeated_spans(documents, window=window)
