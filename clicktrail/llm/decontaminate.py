@@ -4,10 +4,9 @@ Documents are cut into windows of the benchmark items' own sizes. A window and
 an item are similar when their weighted 5-word shingles (weight: how often it
 occurs) have a Jaccard similarity of 0.8 or more. Both get a 64-bit weighted
 SimHash. A multi-index over eight 8-bit blocks finds every item within the
-Hamming radius of a window: two fingerprints at most 24 bits apart agree in
-some block but for three bits, and items are indexed under all such values.
-Where a few shingles weigh much, similar pairs may lie beyond the radius; so
-both are also indexed under the first of their sorted shingles, as many as
+Hamming radius of a window: two fingerprints at most 7 bits apart agree in
+some whole block. Similar pairs may lie beyond the radius, the more so where a
+few shingles weigh much; so both are also indexed under the first of their sorted shingles, as many as
 similar pairs must share one of (prefix filtering), which misses no pair.
 Candidates of either index are then compared exactly.
 
@@ -17,7 +16,6 @@ has nothing in common with an item. Everything is DataFrame expressions.
 
 from __future__ import annotations
 
-import itertools
 import string
 
 from pyspark.sql import Column, DataFrame
@@ -29,11 +27,12 @@ SHINGLE = 5
 #: Similarity, in hundredths.
 SIMILAR = 80
 BLOCKS, BLOCK_BITS = 8, 8
-RADIUS = 24
+#: Bits; fewer than blocks, so that one block at least is whole.
+RADIUS = 7
 #: Item shingles (24 bytes each) up to which their table is broadcast.
 BROADCAST_SHINGLES = 1_000_000
-#: A window is coded as start * SIZES + size.
-SIZES = 1 << 20
+#: A window is coded as one long, its start above this many bits of its size; arrays of longs are told apart by hash.
+SIZE_BITS = 32
 
 
 def lowered(text: Column) -> Column:
@@ -92,14 +91,6 @@ def prefix(shingles: Column, similar: int) -> Column:
     return F.array_distinct(F.slice(F.sort_array(shingles), F.lit(1), n - F.ceil(n * similar / F.lit(100)).cast("int") + 1))
 
 
-def near_masks() -> list[int]:
-    """Block differences of up to RADIUS // BLOCKS bits."""
-    most = RADIUS // BLOCKS
-    return [
-        sum(1 << b for b in bits) for n in range(most + 1) for bits in itertools.combinations(range(BLOCK_BITS), n)
-    ]
-
-
 def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Items with words, as item_id, n (words), k (words a shingle), shingles, fingerprint."""
     word_list = words(lowered(F.col(text_col)))
@@ -138,6 +129,14 @@ def _anchors(texts: DataFrame, items: DataFrame) -> DataFrame:
     return found.groupBy("id", "tk").agg(F.collect_set(F.struct("pos", "k", "sizes")).alias("anchors"))
 
 
+def window_code(start: Column, n: Column) -> Column:
+    return F.shiftleft(start.cast("long"), SIZE_BITS).bitwiseOR(n.cast("long"))
+
+
+def window_of(code: Column) -> tuple[Column, Column]:
+    return F.shiftright(code, SIZE_BITS).cast("int"), code.bitwiseAND(F.lit((1 << SIZE_BITS) - 1)).cast("int")
+
+
 def _windows(texts: DataFrame, anchors: DataFrame) -> DataFrame:
     """Windows (id, tk, start from 1, n (the items' size), k, shingles, fingerprint) around the anchors of each document."""
     joined = texts.join(
@@ -151,20 +150,15 @@ def _windows(texts: DataFrame, anchors: DataFrame) -> DataFrame:
             first = F.greatest(anchor["pos"] - (n - anchor["k"]), F.lit(1))
             last = F.least(anchor["pos"], F.greatest(n_words - n + 1, F.lit(1)))
             starts = F.when(first <= last, F.sequence(first, last)).otherwise(F.expr("cast(array() as array<int>)"))
-            return F.transform(starts, lambda s: s.cast("long") * SIZES + n)
+            return F.transform(starts, lambda s: window_code(s, n))
 
         return F.flatten(F.transform(anchor["sizes"], of_size))
 
     codes = F.array_distinct(F.flatten(F.transform("anchors", around)))
+    start, size = window_of(F.col("code"))
     cut = (
         joined.select("id", "tk", "words", F.explode(codes).alias("code"))
-        .select(
-            "id",
-            "tk",
-            (F.col("code") / SIZES).cast("int").alias("start"),
-            (F.col("code") % SIZES).cast("int").alias("n"),
-            F.slice(F.col("words"), (F.col("code") / SIZES).cast("int"), (F.col("code") % SIZES).cast("int")).alias("part"),
-        )
+        .select("id", "tk", start.alias("start"), size.alias("n"), F.slice(F.col("words"), start, size).alias("part"))
         .withColumn("k", F.least(F.lit(SHINGLE), F.col("n")))
         .withColumn("shingles", shingle_hashes(F.col("part"), F.col("k")))
         .where(F.size("shingles") > 0)
@@ -218,11 +212,9 @@ def contaminated(
     probes = windows.withColumn("b", F.explode(values())).select(
         "id", "tk", "start", "n", "words", "shingles", "fingerprint", "prefix", "b.block", "b.value"
     )
-    masks = F.array(*[F.lit(m).cast("long") for m in near_masks()])
     index = (
         items.withColumn("prefix", prefix(F.col("shingles"), similar))
         .withColumn("b", F.explode(values()))
-        .withColumn("mask", F.explode(F.when(F.col("b.block") < BLOCKS, masks).otherwise(F.array(F.lit(0).cast("long")))))
         .select(
             "item_id",
             F.col("n").alias("i_n"),
@@ -230,7 +222,7 @@ def contaminated(
             F.col("fingerprint").alias("i_fingerprint"),
             F.col("prefix").alias("i_prefix"),
             F.col("b.block").alias("i_block"),
-            F.col("b.value").bitwiseXOR(F.col("mask")).alias("i_value"),
+            F.col("b.value").alias("i_value"),
         )
     )
     met = probes.join(
@@ -238,7 +230,7 @@ def contaminated(
     )
     apart = F.col("fingerprint").bitwiseXOR(F.col("i_fingerprint"))
     near = F.bit_count(apart) <= RADIUS
-    earlier = F.exists(at, lambda i: (i < F.col("block")) & (F.bit_count(block(apart, i)) <= RADIUS // BLOCKS))
+    earlier = F.exists(at, lambda i: (i < F.col("block")) & (block(apart, i) == 0))
     first = F.col("value") == F.array_min(F.array_intersect("prefix", "i_prefix"))
     # in one expression, so that the costly part is computed once, and only behind the cheap one
     candidate = F.when(F.col("block") < BLOCKS, near & ~earlier).otherwise(~near & first)
