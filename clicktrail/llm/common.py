@@ -41,6 +41,19 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")), text.isNull())
 
 
+#: Bytes of one of the pieces that stand for a long text.
+PIECE = 4_096
+
+
+def pieces(text: bytes, most: int) -> bytes:
+    """A text of up to ``most`` bytes as it is; of a longer one, pieces at even distances from its beginning to its end."""
+    n = -(-most // PIECE)
+    if len(text) <= most or n < 2:
+        return text[:most]
+    starts = [(len(text) - PIECE) * i // (n - 1) for i in range(n)]
+    return b"".join(text[a : a + PIECE] for a in starts)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

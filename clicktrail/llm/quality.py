@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clicktrail.llm import hashing
-from clicktrail.llm.common import in_arrow
+from clicktrail.llm.common import in_arrow, pieces, stored
 
 WIDTH, STRIDE = 8, 4
 HALF = 64
 EMBEDDING, FILTERS, HIDDEN = 8, 24, 16
 PAD = 256
-#: Labelled documents of each class to learn from, and the longest (bytes) among them.
+#: Labelled documents of each class to learn from, and bytes of each of them at most: of a longer text, pieces all over it.
 SAMPLE, SAMPLE_BYTES = 1_500, 32_768
 EPOCHS, BATCH, RATE = 6, 16, 0.01
 THRESHOLD = 0.3
@@ -166,6 +166,16 @@ def fit(texts: list[bytes], labels: list[int], seed: int = 0) -> Network:
     return net
 
 
+def _pieces_of(most: int):
+    def cut(batches):
+        for batch in batches:
+            texts = pa.array([pieces(t.as_py().encode(), most) for t in batch.column("text")], pa.binary())
+            columns = [batch.column(c) for c in ("label", "place", "tk")]
+            yield pa.RecordBatch.from_arrays([*columns, texts], names=["label", "place", "tk", "bytes"])
+
+    return cut
+
+
 def train(
     documents: DataFrame,
     labels: DataFrame,
@@ -173,14 +183,17 @@ def train(
     text_col: str = "text",
     label_col: str = "quality",
     sample: int = SAMPLE,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> Network:
     """A network taught by the labelled documents among the given ones.
 
     Up to ``sample`` documents of each label, chosen by a hash of their id, are
-    learnt from; the constant is then set for the labels' true shares. Ids with
-    contradicting labels, null labels, null texts and sampled texts above 32
-    KiB teach nothing. If one of the labels is missing, every score is the
-    share of label 1 (a half without any label).
+    learnt from; the constant is then set for the true shares of the labels
+    among the documents. Of a text above ``sample_bytes`` pieces that lie
+    evenly all over it teach, so many bytes together. Ids with contradicting
+    labels, null labels, null texts and labels of absent documents teach
+    nothing. If one of the labels is missing, every score is the share of label
+    1 (a half without any label).
     """
     known = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
@@ -189,7 +202,9 @@ def train(
         .where("label = most and label in (0, 1)")
         .select("id", "label", F.xxhash64(F.lit("quality"), "id").alias("place"))
     )
-    shares = {row["label"]: row["count"] for row in known.groupBy("label").count().collect()}
+    ids = documents.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("d_id")).distinct()
+    present = stored(known.join(ids, F.col("id") == F.col("d_id")).drop("d_id"), "quality-labels")
+    shares = {row["label"]: row["count"] for row in present.groupBy("label").count().collect()}
     net = Network.fresh()
     positive, negative = shares.get(1, 0), shares.get(0, 0)
     if not positive or not negative:
@@ -197,24 +212,18 @@ def train(
         share = 0.5 if not shares else float(bool(positive))
         net.constant = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
         return net
-    ids = known.where("label = 0").orderBy("place").limit(2 * sample)
-    ids = F.broadcast(ids.unionByName(known.where("label = 1").orderBy("place").limit(2 * sample)))
+    first = lambda label: present.where(F.col("label") == label).orderBy("place", "id").limit(sample)
+    chosen = F.broadcast(first(0).unionByName(first(1)))
     rows = (
-        documents.where(F.octet_length(text_col) <= SAMPLE_BYTES)
+        documents.where(F.col(text_col).isNotNull())
         .select(F.col(id_col).alias("d_id"), F.xxhash64(text_col).alias("tk"), F.col(text_col).cast("string").alias("text"))
-        .join(ids, F.col("d_id") == F.col("id"))
+        .join(chosen, F.col("d_id") == F.col("id"))
         .select("label", "place", "tk", "text")
-        .orderBy("place", "tk")
-        .limit(4 * sample)
-        .toPandas()
-        .groupby("label")
-        .head(sample)
     )
-    if rows["label"].nunique() < 2:
-        net.output[:] = 0
-        net.constant = float(np.log(positive / negative))
-        return net
-    net = fit([t.encode() for t in rows["text"]], rows["label"].tolist())
+    # one text of each id, however many rows repeat it
+    rows = in_arrow(rows, _pieces_of(sample_bytes), "label int, place long, tk long, bytes binary")
+    rows = rows.groupBy("place", "label").agg(F.min_by("bytes", "tk").alias("bytes")).toPandas().sort_values("place")
+    net = fit([bytes(t) for t in rows["bytes"]], rows["label"].tolist())
     seen = rows["label"].mean()
     net.constant += float(np.log(positive / negative) - np.log(seen / (1 - seen)))
     return net
