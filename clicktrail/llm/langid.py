@@ -18,11 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clicktrail.llm.common import in_arrow
+from clicktrail.llm.common import in_arrow, pieces
 
 FEATURES = 1 << 16
 ORDERS = (1, 2, 3)
-#: Documents the regression is fitted on, shared evenly by the languages, and the longest text (bytes) among them.
+#: Documents the regression is fitted on, shared evenly by the languages, and bytes of each at most: of a longer text,
+#: pieces all over it.
 SAMPLE, SAMPLE_BYTES = 4_000, 100_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.01
@@ -158,27 +159,37 @@ def _frequencies(batches):
     )
 
 
-def _vectors(batches):
-    for batch in batches:
-        rows = [ngram_counts(text.as_py()) for text in batch.column("text")]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("lang"),
-                batch.column("place"),
-                pa.array([f.astype(np.int32).tobytes() for f, _ in rows], pa.binary()),
-                pa.array([c.astype(np.int32).tobytes() for _, c in rows], pa.binary()),
-            ],
-            names=["lang", "place", "found", "counts"],
-        )
+def _vectors_of(most: int):
+    def vectors(batches):
+        for batch in batches:
+            texts = [pieces(text.as_py().encode(), most).decode(errors="ignore") for text in batch.column("text")]
+            rows = [ngram_counts(text) for text in texts]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("lang"),
+                    batch.column("place"),
+                    pa.array([f.astype(np.int32).tobytes() for f, _ in rows], pa.binary()),
+                    pa.array([c.astype(np.int32).tobytes() for _, c in rows], pa.binary()),
+                ],
+                names=["lang", "place", "found", "counts"],
+            )
+
+    return vectors
 
 
 def train(
-    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE
+    documents: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    sample: int = SAMPLE,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> LanguageModel:
     """A model of the given documents; those without text, letters or lang teach nothing.
 
     Every language gets an even share of ``sample`` documents, chosen by a hash
-    of id and text; a fifth of them only sets the temperature. What reaches the
+    of id and text; a fifth of them only sets the temperature. Of a text above
+    ``sample_bytes`` pieces that lie evenly all over it teach. What reaches the
     driver is bounded: frequencies of a fixed number of features, the counts of
     the languages, and the sample's n-gram counts.
     """
@@ -204,12 +215,12 @@ def train(
     quota = -(-sample // len(languages))
     share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, 2 * quota / n))])
     chosen = (
-        labelled.where((F.octet_length("text") <= SAMPLE_BYTES) & (F.col("text") != ""))
+        labelled.where(F.col("text") != "")
         .where(F.pmod(F.xxhash64("place"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
         .orderBy("place")
         .limit(2 * quota * len(languages))
     )
-    rows = in_arrow(chosen, _vectors, "lang string, place long, found binary, counts binary").toPandas()
+    rows = in_arrow(chosen, _vectors_of(sample_bytes), "lang string, place long, found binary, counts binary").toPandas()
     rows = rows.sort_values("place").groupby("lang").head(quota).sort_values("place")
     index = {lang: n for n, lang in enumerate(languages)}
     vectors = []

@@ -311,3 +311,89 @@ def test_rows_without_id_are_told_apart_by_their_whole_text(spark):
 def test_windows_out_of_range_are_refused(documents, window):
     with pytest.raises(ValueError, match="window"):
         substrings.repeated_spans(documents, window=window)
+
+
+def test_windows_of_any_size_have_codes(spark):
+    pairs = [(1, 1), (3, 20), (5, (1 << 20) - 1), (5, 1 << 20), (2, (1 << 20) + 7), (1 << 30, (1 << 31) - 1)]
+    df = spark.createDataFrame(pairs, "start int, n int").withColumn("code", decontaminate.window_code(F.col("start"), F.col("n")))
+    assert Counter(map(tuple, df.select(*decontaminate.window_of(F.col("code"))).collect())) == Counter(pairs)
+    assert df.select("code").distinct().count() == len(pairs)
+
+
+def _alike(seed, alphabet, n):
+    import random
+
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choices(alphabet, k=5)) for _ in range(n))
+
+
+def test_labels_of_absent_documents_take_no_place(spark):
+    rows = [(n, _alike(n, "abcd" if n % 2 else "wxyz", 20)) for n in range(40)]
+    labels = [(n, n % 2) for n in range(40)] + [(1000 + n, n % 2) for n in range(4_000)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int")
+    documents = frame(spark, rows)
+    net = quality.train(documents, labels, sample=20)
+    alone = quality.train(documents, labels.where("doc_id < 1000"), sample=20)
+    assert net.constant == alone.constant and (net.filters == alone.filters).all() and net.output.any()
+
+
+def test_long_texts_of_one_label_teach(spark):
+    rows = [(n, _alike(n, "abcd", 20) if n % 2 else _alike(n, "wxyz", 20_000)) for n in range(30)]
+    labels = spark.createDataFrame([(n, n % 2) for n in range(30)], "doc_id long, quality int")
+    net = quality.train(frame(spark, rows), labels)
+    scores = quality.score_batch(net, pa.array([_alike(99, "abcd", 20), _alike(98, "wxyz", 20_000)]))
+    assert scores[0] > 0.5 > scores[1]
+
+
+def test_a_language_of_long_texts_only_is_learnt(spark):
+    rows = [(n, _alike(n, "abcd", 20) if n % 2 else _alike(n, "wxyz", 30_000), "ab" if n % 2 else "wx") for n in range(30)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.predict(_alike(99, "wxyz", 10))[0] == "wx" and model.predict(_alike(98, "abcd", 10))[0] == "ab"
+
+
+def test_scores_equal_plain_loops(spark):
+    """The network by loops over bytes, filters and chunks; the language model by dictionaries of n-grams."""
+    rng = np.random.default_rng(1)
+    net = quality.Network.fresh(3)
+    net.output = rng.normal(0, 1, net.output.shape).astype(np.float32)
+    for text in ("", "a", "short one", prose(1, 60), prose(2, 300) + "é"):
+        data = list(text.encode())
+        data += [quality.PAD] * (-(-(len(data) + quality.STRIDE) // quality.HALF) * quality.HALF - len(data))
+        places = range(0, len(data), quality.STRIDE)
+        outs = []
+        for a in places:
+            window = data[a : a + quality.WIDTH]
+            vector = [x for symbol in window for x in net.embedding[symbol]]
+            whole = len(window) == quality.WIDTH
+            outs.append([max(0.0, float(np.dot(vector, net.filters[:, f]) + net.offsets[f])) if whole else 0.0 for f in range(quality.FILTERS)])
+        per = quality.HALF // quality.STRIDE
+        halves = [[max(o[f] for o in outs[h : h + per]) for f in range(quality.FILTERS)] for h in range(0, len(outs), per)]
+        chunks = halves if len(halves) == 1 else [[max(x, y) for x, y in zip(a, b, strict=True)] for a, b in zip(halves, halves[1:], strict=False)]
+        inner = [[max(0.0, float(np.dot(c, net.hidden[:, h]) + net.hidden_offsets[h])) for h in range(quality.HIDDEN)] for c in chunks]
+        pooled = [sum(c[h] for c in inner) / len(inner) for h in range(quality.HIDDEN)] + [max(c[h] for c in inner) for h in range(quality.HIDDEN)]
+        want = 1 / (1 + math.exp(-max(-30, min(30, float(np.dot(pooled, net.output)) + net.constant))))
+        assert quality.score_batch(net, pa.array([text]))[0] == pytest.approx(want, abs=1e-5)
+
+
+def test_languages_equal_plain_dictionaries(spark):
+    rows = [(n, _alike(n, "abcdé" if n % 2 else "wxyz", 30), "ab" if n % 2 else "wx") for n in range(40)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+
+    def feature(gram):
+        h = 0
+        for c in gram:
+            h = (h * 0x01000193 + ord(c) + 1) % 2**32
+        h = h * 0x9E3779B1 % 2**32
+        h ^= h >> 15
+        return (h * 0x85EBCA77 % 2**32) >> 16
+
+    for text in ("Abc, wx!", "dédé  1 2 cab", prose(3, 20)):
+        plain = " ".join("".join(c if c.isalpha() else " " for c in f" {text.lower()} ").split())
+        plain = f" {plain} "
+        counts = Counter(feature(plain[i : i + n]) for n in langid.ORDERS for i in range(len(plain) - n + 1))
+        x = {f: (1 + math.log(c)) * model.idf[f] for f, c in counts.items()}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        scores = [sum(v / norm * model.weights[f, k] for f, v in x.items()) + model.weights[langid.FEATURES, k] for k in range(2)]
+        e = [math.exp(s / model.temperature) for s in scores]
+        lang, score = model.predict(text)
+        assert score == pytest.approx(max(e) / sum(e), abs=1e-4) and lang == model.languages[e.index(max(e))]
