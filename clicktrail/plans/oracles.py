@@ -227,6 +227,10 @@ FROM checkouts GROUP BY purchase_id HAVING count(*) > 1 OR purchase_id IS NULL""
         "stream_final_clicks": _with(CLICKS, _final_clicks(TEN_MINUTES))
         + """SELECT CAST(click_id AS VARCHAR) AS click_id, CAST(user_id AS VARCHAR) AS user_id,
   click_time, click_at, source, ip FROM final_clicks""",
+        # all real windows are closed: no state but the flush message's own window
+        "stream_state_after_flush": _with(CLICKS)
+        + """SELECT 'flush' AS user_id, TIMESTAMP '2100-01-01 00:00:00' AS window_start FROM (SELECT count(*) AS n FROM clicks)
+WHERE n > 0""",
         "stream_checkouts_sink": conformed_day
         + " QUALIFY row_number() OVER (PARTITION BY purchase_id ORDER BY click_time, click_id) = 1",
         "stream_min_click": _with(CLICKS)
@@ -255,6 +259,7 @@ SELECT c.* FROM clicks c JOIN minima m ON c.user_id = m.user_id
         sql[f"{table}_single_pass"] = sql[table]
         sql[f"stream_{table}"] = windowed_day + _rollup(table)
         sql[f"stream_topic_{table}"] = sql[f"stream_{table}"]
+        sql[f"stream_update_{table}"] = sql[f"stream_{table}"]
         rolled = _checkouts(_trailing(DAY) + ", " + _stored(table))
         sql[f"retention_{table}"] = rolled + _retained(keep)
     counts = {table: _checkouts(_trailing(DAY) + ", " + _stored(table)) for table in _COUNTS}

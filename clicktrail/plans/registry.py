@@ -27,6 +27,8 @@ from clicktrail.plans.streams import (
     checkouts_table,
     final_clicks_topic,
     min_clicks_topic,
+    open_windows,
+    provisional_tables,
     rollup_tables,
     staged_topics,
     topic_rollup_tables,
@@ -255,6 +257,15 @@ def stream_first_click_attribution(spark: SparkSession, sf_dir: str) -> DataFram
     return at_edge(trailing_table(spark, sf_dir, DAY, AVAILABLE_NOW))
 
 
+def stream_state_after_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return at_edge(open_windows(spark, sf_dir, TEN_MINUTES, AVAILABLE_NOW))
+
+
+def stream_update_rollup(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    latest = provisional_tables(spark, sf_dir, DAY, AVAILABLE_NOW)[table]
+    return at_edge(conform(latest, ROLLUPS[table]))
+
+
 def stream_rollup(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return at_edge(rollup_tables(spark, sf_dir, DAY, AVAILABLE_NOW)[table])
 
@@ -280,6 +291,7 @@ def all_queries() -> dict[str, Query]:
         "failed_checkouts": partial(checkouts_with_status, status="failure"),
         "stream_min_click": stream_min_click,
         "stream_final_clicks": stream_final_clicks,
+        "stream_state_after_flush": stream_state_after_flush,
         "stream_checkouts_sink": stream_checkouts_sink,
         "stream_first_click_attribution": stream_first_click_attribution,
     }
@@ -299,6 +311,7 @@ def all_queries() -> dict[str, Query]:
             f"{table}_single_pass": partial(single_pass, table=table),
             f"stream_{table}": partial(stream_rollup, table=table),
             f"stream_topic_{table}": partial(stream_topic_rollup, table=table),
+            f"stream_update_{table}": partial(stream_update_rollup, table=table),
             f"retention_{table}": partial(retained, table=table),
         }
     return named | {

@@ -12,6 +12,7 @@ by the enrichment.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,19 +25,22 @@ from clicktrail.schemas import CHECKOUTS, CLICKS, PRODUCTS, ROLLUPS, USERS
 from clicktrail.session import work_dir
 from clicktrail.sinks.tables import load_dimension, parquet_store, read_dimension
 from clicktrail.sinks.topics import append_topic
-from clicktrail.sources.tables import file_system, read_rows
+from clicktrail.sources.tables import file_system, fingerprint, read_rows
 from clicktrail.sources.topics import load_topics, read_topics, topic_dir
 from clicktrail.streaming.pipeline import (
     Timing,
     checkout_stream,
     checkouts_of_topic,
+    provisional_rollup,
     settled_min_clicks,
     start_checkout_table,
     start_checkouts,
     start_final_clicks,
     start_min_clicks,
+    start_provisional_rollups,
     start_rollups,
 )
+from clicktrail.streaming.state import state_of, state_operators
 from clicktrail.streaming.trailing import start_trailing_checkouts
 from clicktrail.streaming.triggers import Trigger
 
@@ -44,8 +48,29 @@ FLUSH_USER = "flush"
 FLUSH_TIME = "2100-01-01 00:00:00"
 #: Topics that get a flush message.
 FLUSHED = ("clicks", "purchases", "checkouts")
-#: Files of a staged topic, each a micro-batch, and state shards of these small streams.
-TOPIC_FILES, STATE_PARTITIONS = 5, 4
+#: A replay has at least so many micro-batches.
+MICRO_BATCHES = 5
+#: Bytes of the events' table for one file of a topic, and for one shard of state (of which there are some at least).
+FILE_BYTES, SHARD_BYTES, LEAST_SHARDS = 32 << 20, 16 << 20, 4
+
+
+def event_bytes(spark: SparkSession, sf_dir: str) -> int:
+    return sum(length for _, length, _ in fingerprint(spark, f"{sf_dir}/events.parquet"))
+
+
+def topic_files(spark: SparkSession, sf_dir: str) -> int:
+    """Files of a staged topic: by its size, and at least one for each micro-batch."""
+    return max(MICRO_BATCHES, -(-event_bytes(spark, sf_dir) // FILE_BYTES))
+
+
+def files_per_batch(spark: SparkSession, sf_dir: str) -> int:
+    return topic_files(spark, sf_dir) // MICRO_BATCHES
+
+
+def state_shards(spark: SparkSession, sf_dir: str) -> int:
+    """State shards of a replay: by the size of its input, up to the session's shuffle width."""
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(LEAST_SHARDS, min(width, -(-event_bytes(spark, sf_dir) // SHARD_BYTES)))
 
 
 def flush_messages(rows: DataFrame, encode, time: str) -> DataFrame:
@@ -64,14 +89,15 @@ def staged_topics(spark: SparkSession, sf_dir: str) -> str:
     def stage() -> str:
         root = work_dir(spark, "topics")
         clicks, purchases = views.clicks(spark, sf_dir), views.purchases(spark, sf_dir)
-        stage_in_order(clicks, views.click_messages, "click_time", root, "clicks")
-        stage_in_order(purchases, views.purchase_messages, "purchase_time", root, "purchases")
+        files = topic_files(spark, sf_dir)
+        stage_in_order(clicks, views.click_messages, "click_time", root, "clicks", files)
+        stage_in_order(purchases, views.purchase_messages, "purchase_time", root, "purchases", files)
         return root
 
     return once(spark, sf_dir, "topics", make=stage)
 
 
-def stage_in_order(rows: DataFrame, encode, time: str, root: str, topic: str, files: int = TOPIC_FILES) -> None:
+def stage_in_order(rows: DataFrame, encode, time: str, root: str, topic: str, files: int) -> None:
     """A topic as files that follow one another in time; readers take files by their modification time."""
     spark = rows.sparkSession
     append_topic(encode(rows.repartitionByRange(files, time).sortWithinPartitions(time)), root, topic)
@@ -105,15 +131,15 @@ def run_and_flush(spark: SparkSession, sf_dir: str, flush: str, start: Callable[
     start().awaitTermination()
 
 
-def with_flush(spark: SparkSession, root: str, topic: str, flush: str) -> DataFrame:
-    """A topic, one file a micro-batch, and its flush message once there is one."""
-    return read_topics(spark, root, topic, files_per_batch=1).unionByName(read_topics(spark, flush, topic))
+def with_flush(spark: SparkSession, root: str, topic: str, flush: str, files: int) -> DataFrame:
+    """A topic, so many files a micro-batch, and its flush message once there is one."""
+    return read_topics(spark, root, topic, files_per_batch=files).unionByName(read_topics(spark, flush, topic))
 
 
 def event_streams(spark: SparkSession, sf_dir: str, flush: str) -> tuple[DataFrame, DataFrame]:
     """Click and purchase messages."""
-    root = staged_topics(spark, sf_dir)
-    return with_flush(spark, root, "clicks", flush), with_flush(spark, root, "purchases", flush)
+    root, files = staged_topics(spark, sf_dir), files_per_batch(spark, sf_dir)
+    return with_flush(spark, root, "clicks", flush, files), with_flush(spark, root, "purchases", flush, files)
 
 
 def loaded_dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -134,17 +160,17 @@ def min_clicks_topic(spark: SparkSession, sf_dir: str, lookback: str, trigger: T
 
     def run() -> str:
         root = work_dir(spark, "min-clicks-stream")
-        clicks = read_topics(spark, staged_topics(spark, sf_dir), "clicks", files_per_batch=1)
-        timing = Timing(lookback=lookback)
-        start_min_clicks(clicks, root, f"{root}/checkpoint", timing, trigger, STATE_PARTITIONS).awaitTermination()
+        clicks = read_topics(spark, staged_topics(spark, sf_dir), "clicks", files_per_batch(spark, sf_dir))
+        timing, shards = Timing(lookback=lookback), state_shards(spark, sf_dir)
+        start_min_clicks(clicks, root, f"{root}/checkpoint", timing, trigger, shards).awaitTermination()
         return root
 
     root = once(spark, sf_dir, "min-clicks", lookback, make=run)
     return settled_min_clicks(load_topics(spark, root, "min_clicks"), lookback)
 
 
-def final_clicks_topic(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> DataFrame:
-    """Click topic to final-clicks topic, decoded."""
+def final_clicks_root(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> str:
+    """Click topic to final-clicks topic; the query's checkpoint lies beside it."""
 
     def run() -> str:
         root, flush = work_dir(spark, "final-clicks-stream"), work_dir(spark, "flush")
@@ -152,12 +178,17 @@ def final_clicks_topic(spark: SparkSession, sf_dir: str, lookback: str, trigger:
         def start() -> StreamingQuery:
             clicks, _ = event_streams(spark, sf_dir, flush)
             timing = Timing(lookback=lookback)
-            return start_final_clicks(clicks, root, f"{root}/checkpoint", timing, trigger, STATE_PARTITIONS)
+            return start_final_clicks(clicks, root, f"{root}/checkpoint", timing, trigger, state_shards(spark, sf_dir))
 
         run_and_flush(spark, sf_dir, flush, start)
         return root
 
-    root = once(spark, sf_dir, "final-clicks", lookback, make=run)
+    return once(spark, sf_dir, "final-clicks", lookback, make=run)
+
+
+def final_clicks_topic(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> DataFrame:
+    """Click topic to final-clicks topic, decoded."""
+    root = final_clicks_root(spark, sf_dir, lookback, trigger)
     return decode_clicks(load_topics(spark, root, "final_clicks"), "final_clicks", CLICKS.columns)
 
 
@@ -175,7 +206,7 @@ def checkouts_root(spark: SparkSession, sf_dir: str, lookback: str, trigger: Tri
                 checkpoint=f"{root}/checkpoints/attribution",
                 timing=Timing(lookback=lookback),
                 trigger=trigger,
-                state_partitions=STATE_PARTITIONS,
+                state_partitions=state_shards(spark, sf_dir),
             )
 
         run_and_flush(spark, sf_dir, flush, start)
@@ -189,9 +220,19 @@ def checkouts_table(spark: SparkSession, sf_dir: str, lookback: str, trigger: Tr
     root = checkouts_root(spark, sf_dir, lookback, trigger)
 
     def run() -> str:
-        out = work_dir(spark, "checkouts-table")
-        topic = read_topics(spark, root, "checkouts", files_per_batch=4)
-        start_checkout_table(topic, parquet_store(out), f"{out}/checkpoint", trigger).awaitTermination()
+        out, flush = work_dir(spark, "checkouts-table"), work_dir(spark, "flush")
+
+        def start() -> StreamingQuery:
+            return start_checkout_table(
+                with_flush(spark, root, "checkouts", flush, state_shards(spark, sf_dir)),
+                parquet_store(out),
+                f"{out}/checkpoint",
+                trigger,
+                lookback=lookback,
+                state_partitions=state_shards(spark, sf_dir),
+            )
+
+        run_and_flush(spark, sf_dir, flush, start)
         return out
 
     out = once(spark, sf_dir, "checkouts-table", lookback, make=run)
@@ -206,14 +247,14 @@ def topic_rollup_tables(spark: SparkSession, sf_dir: str, lookback: str, trigger
         out, flush = work_dir(spark, "topic-rollups"), work_dir(spark, "flush")
 
         def start() -> StreamingQuery:
-            topic = read_topics(spark, root, "checkouts", files_per_batch=4)
-            messages = topic.unionByName(read_topics(spark, flush, "checkouts"))
+            # the topic has one file for each shard of the join and micro-batch
+            messages = with_flush(spark, root, "checkouts", flush, state_shards(spark, sf_dir))
             return start_rollups(
                 checkouts_of_topic(messages, lookback=lookback),
                 parquet_store(out, gather_days=True),
                 f"{out}/checkpoint",
                 trigger=trigger,
-                state_partitions=STATE_PARTITIONS,
+                state_partitions=state_shards(spark, sf_dir),
             )
 
         run_and_flush(spark, sf_dir, flush, start)
@@ -223,6 +264,35 @@ def topic_rollup_tables(spark: SparkSession, sf_dir: str, lookback: str, trigger
     return {table: read_rows(spark, f"{out}/{table}", contract) for table, contract in ROLLUPS.items()}
 
 
+def provisional_tables(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> dict[str, DataFrame]:
+    """Topics to checkouts topic to a changelog of the roll-ups, the latest versions of which are read; nothing is flushed."""
+    root = checkouts_root(spark, sf_dir, lookback, trigger)
+
+    def run() -> str:
+        out = work_dir(spark, "provisional-rollups")
+        topic = read_topics(spark, root, "checkouts", state_shards(spark, sf_dir))
+        start_provisional_rollups(
+            checkouts_of_topic(topic, lookback=lookback),
+            f"{out}/cube",
+            f"{out}/checkpoint",
+            trigger=trigger,
+            state_partitions=state_shards(spark, sf_dir),
+        ).awaitTermination()
+        return out
+
+    out = once(spark, sf_dir, "provisional", lookback, make=run)
+    return {table: provisional_rollup(spark, f"{out}/cube", table) for table in ROLLUPS}
+
+
+def open_windows(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> DataFrame:
+    """What the first-click query still holds in state after the flush: (user_id, window_start) of windows not closed yet."""
+    checkpoint = f"{final_clicks_root(spark, sf_dir, lookback, trigger)}/checkpoint"
+    operators = [row.operatorId for row in state_operators(spark, checkpoint).collect()]
+    return reduce(DataFrame.unionByName, [state_of(spark, checkpoint, n) for n in operators]).select(
+        "key.user_id", F.col("key.window.start").alias("window_start")
+    )
+
+
 def rollup_tables(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> dict[str, DataFrame]:
     """Topics to the five roll-up tables, attribution and roll-up in one streaming query."""
 
@@ -235,7 +305,7 @@ def rollup_tables(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trig
             )
             store = parquet_store(root, gather_days=True)
             return start_rollups(
-                checkouts, store, f"{root}/checkpoint", trigger=trigger, state_partitions=STATE_PARTITIONS
+                checkouts, store, f"{root}/checkpoint", trigger=trigger, state_partitions=state_shards(spark, sf_dir)
             )
 
         run_and_flush(spark, sf_dir, flush, start)
@@ -259,7 +329,7 @@ def trailing_table(spark: SparkSession, sf_dir: str, lookback: str, trigger: Tri
                 checkpoint=f"{root}/checkpoint",
                 timing=Timing(lookback=lookback),
                 trigger=trigger,
-                state_partitions=STATE_PARTITIONS,
+                state_partitions=state_shards(spark, sf_dir),
             )
 
         run_and_flush(spark, sf_dir, flush, start)

@@ -50,13 +50,15 @@ class TableContract:
     """Column order and types of a table plus the columns that identify a row.
 
     Where a key may come more than once, ``first_by`` says which row a stored
-    table keeps: the first in that order.
+    table keeps: the first in that order. ``settled`` says that a query sends
+    each key once, so that only other queries can have stored it before.
     """
 
     schema: T.StructType
     key: tuple[str, ...]
     event_time: str | None = None
     first_by: tuple[str, ...] = ()
+    settled: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -186,6 +188,24 @@ REVENUE = TableContract(
     event_time="time",
 )
 
+#: The cube that all roll-ups are taken from.
+CUBE = TableContract(
+    _struct(
+        payment_status=_S,
+        source=_S,
+        description=_S,
+        category=_S,
+        gender=_S,
+        count=T.LongType(),
+        revenue=AMOUNT,
+        profit=AMOUNT,
+        quantity=AMOUNT,
+        time=_TS,
+    ),
+    key=("payment_status", "source", "description", "category", "gender", "time"),
+    event_time="time",
+)
+
 #: The five roll-up tables.
 ROLLUPS: dict[str, TableContract] = {
     "source_count": _count_contract("source"),

@@ -53,10 +53,22 @@ def write_batch(
     A table whose contract says which row of a key comes first keeps that one
     of a batch, and nothing of a key it holds already.
     """
-    stored = conform(rows, contract)
-    if contract.first_by:
-        stored = _unheld(stored, path, contract, batch_id, query)
-    stored = stored.withColumns(
+    conformed = conform(rows, contract)
+    alone = contract.settled and writers(rows.sparkSession, path) <= {query}
+    if alone or not contract.first_by:
+        _write_partitions(conformed, path, contract, batch_id, gather_days, query)
+        return
+    conformed.persist()  # its days are looked up first
+    try:
+        _write_partitions(_unheld(conformed, path, contract, batch_id, query), path, contract, batch_id, gather_days, query)
+    finally:
+        conformed.unpersist()
+
+
+def _write_partitions(
+    rows: DataFrame, path: str, contract: TableContract, batch_id: int, gather_days: bool, query: str
+) -> None:
+    stored = rows.withColumns(
         {
             "date": F.to_date(contract.event_time),
             "query": F.lit(query),
@@ -73,6 +85,12 @@ def write_batch(
     )
 
 
+def writers(spark: SparkSession, path: str) -> set[str]:
+    """The queries that have stored rows in a table, by the names of its folders."""
+    days = [day for day in folders(spark, path) if day.startswith("date=")]
+    return {name.removeprefix("query=") for day in days for name in folders(spark, f"{path}/{day}")}
+
+
 def _unheld(rows: DataFrame, path: str, contract: TableContract, batch_id: int, query: str) -> DataFrame:
     """First rows of their keys that no other batch has stored; a key's rows share their event time and so their day."""
     spark = rows.sparkSession
@@ -80,7 +98,8 @@ def _unheld(rows: DataFrame, path: str, contract: TableContract, batch_id: int,
     held = read_days(spark, path, contract, days)
     if held is None:
         return first_per_key(rows, contract.key, contract.first_by)
-    others = held.where((F.col("query") != query) | (F.col("batch_id") != batch_id))
+    elsewhere = F.col("query") != query
+    others = held.where(elsewhere if contract.settled else elsewhere | (F.col("batch_id") != batch_id))
     return new_rows(rows, others, contract.key, contract.first_by)
 
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +24,14 @@ from pyspark.sql.streaming.query import StreamingQuery
 from clicktrail.functions.codec import decode_clicks, decode_purchases, decode_rows
 from clicktrail.functions.temporal import micros
 from clicktrail.operators.attribution import LOOKBACK, final_clicks, min_click
+from clicktrail.operators.contracts import latest_versions, settled_first_rows
 from clicktrail.operators.rollups import WINDOW, rollup_cube, rollup_from_cube
 from clicktrail.plans.checkouts import checkouts_of_first_clicks, windowed_checkouts
-from clicktrail.schemas import CHECKOUT_MESSAGE, CHECKOUTS, CLICKS, MIN_CLICK_MESSAGE, ROLLUPS, TableContract
+from clicktrail.schemas import CHECKOUT_MESSAGE, CHECKOUTS, CLICKS, CUBE, MIN_CLICK_MESSAGE, ROLLUPS, TableContract
 from clicktrail.session import stateful_stream_conf
-from clicktrail.sinks.tables import Store, query_id
+from clicktrail.sinks.tables import Store, query_id, write_batch, writers
 from clicktrail.sinks.topics import TopicSink, topic_sink
+from clicktrail.sources.tables import read_table
 from clicktrail.streaming.triggers import ROLLUP_TRIGGER, Trigger, with_trigger
 
 BatchWriter = Callable[[DataFrame, int], None]
@@ -103,12 +105,12 @@ def checkouts_of_topic(
 
 
 def write_tables(
-    rows: DataFrame, write: BatchWriter, checkpoint: str, trigger: Trigger, name: str
+    rows: DataFrame, write: BatchWriter, checkpoint: str, trigger: Trigger, name: str, mode: str = "append"
 ) -> StreamingQuery:
     """Run ``write`` on every micro-batch of a stream."""
     writer = (
         rows.writeStream.foreachBatch(write)
-        .outputMode("append")
+        .outputMode(mode)
         .queryName(f"{name} {checkpoint}")
         .option("checkpointLocation", checkpoint)
     )
@@ -199,13 +201,32 @@ def start_checkouts(
         return topic_sink(topics)(checkouts, "checkouts", checkpoint, trigger, "append")
 
 
+#: Checkouts of which a query sends each purchase once.
+SETTLED_CHECKOUTS = replace(CHECKOUTS, settled=True)
+
+
 def start_checkout_table(
-    events: DataFrame, store: Store, checkpoint: str, trigger: Trigger = None
+    events: DataFrame,
+    store: Store,
+    checkpoint: str,
+    trigger: Trigger = None,
+    lookback: str = LOOKBACK,
+    lateness: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Keep the table ``checkouts`` of a store up to date with the checkouts topic."""
-    rows = decode_rows(events, "checkouts", CHECKOUT_MESSAGE)
-    write = table_writer(store, "checkouts", CHECKOUTS)
-    return write_tables(rows, write, checkpoint, trigger, "checkouts table")
+    """Keep the table ``checkouts`` of a store up to date with the checkouts topic.
+
+    The first click of each purchase is found in keyed state, one row a
+    purchase, and stored when the watermark (see :func:`checkouts_of_topic`)
+    passes the purchase: no micro-batch reads what this query has stored
+    before. Only if other queries have written to the table, as before a move to
+    a new checkpoint, are their rows of the batch's days compared.
+    """
+    with stateful_stream_conf(events.sparkSession, state_partitions):
+        topic = checkouts_of_topic(events, lookback=lookback, lateness=lateness)
+        rows = settled_first_rows(topic, CHECKOUTS.key, CHECKOUTS.event_time, CHECKOUTS.first_by)
+        write = table_writer(store, "checkouts", SETTLED_CHECKOUTS)
+        return write_tables(rows, write, checkpoint, trigger, "checkouts table")
 
 
 def start_rollups(
@@ -226,6 +247,46 @@ def start_rollups(
         return write_tables(cube, rollup_writer(store), checkpoint, trigger, "roll-ups")
 
 
+def start_provisional_rollups(
+    checkouts: DataFrame,
+    path: str,
+    checkpoint: str,
+    window: str = WINDOW,
+    trigger: Trigger = ROLLUP_TRIGGER,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Publish the roll-up cube in update mode, as a changelog under ``path``.
+
+    Whenever a window's counts change, their new values are appended as a newer
+    version; :func:`provisional_rollup` reads the latest. Rows are visible as
+    soon as their events have come, before their window closes, and late events
+    correct them as long as the watermark allows. ``checkouts`` must come from a
+    topic (:func:`checkouts_of_topic`): a join chained before does not know
+    update mode.
+    """
+    with stateful_stream_conf(checkouts.sparkSession, state_partitions):
+        cube = rollup_cube(checkouts, window)
+
+        def write(changes: DataFrame, batch_id: int) -> None:
+            write_batch(changes, path, CUBE, batch_id, query=query_id(changes))
+
+        return write_tables(cube, write, checkpoint, trigger, "provisional roll-ups", "update")
+
+
+def provisional_rollup(spark: SparkSession, path: str, table: str, query: str | None = None) -> DataFrame:
+    """One of the five roll-ups as the changelog under ``path`` knows it now.
+
+    Versions are ordered within one query. If several have written there, as
+    after a move to a new checkpoint, ``query`` names the one to read.
+    """
+    changes = read_table(spark, path, CUBE)
+    if query is not None:
+        changes = changes.where(F.col("query") == query)
+    elif len(writers(spark, path)) > 1:
+        raise ValueError(f"{path} has changes of several queries; name one of {sorted(writers(spark, path))}")
+    return rollup_from_cube(latest_versions(changes, CUBE.key, "batch_id").select(*CUBE.columns), table)
+
+
 def await_any(spark: SparkSession) -> None:
     """Block until one of the session's streams ends; its failure is raised."""
     spark.streams.awaitAnyTermination()

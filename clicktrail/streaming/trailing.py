@@ -18,7 +18,7 @@ from dataclasses import replace
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -84,6 +84,11 @@ def days_before(day: dt.date, lookback: str) -> list[dt.date]:
     return [day - dt.timedelta(days=n) for n in range(-(-micros(lookback) // micros("1 day")) + 1)]
 
 
+def within(time: str, begin: int, end: int) -> Column:
+    """Whether a time lies between two instants in microseconds; they become literals, which Parquet readers can skip by."""
+    return F.col(time).between(F.timestamp_micros(F.lit(begin)), F.timestamp_micros(F.lit(end)))
+
+
 def settlement_writer(
     spark: SparkSession, users: Dimension, products: Dimension, root: str, lookback: str
 ) -> BatchWriter:
@@ -121,8 +126,8 @@ def settlement_writer(
         clicks = read_days(spark, paths["clicks"], CLICKS, reached)
         if clicks is None:
             return
-        at, length = F.unix_micros("click_time"), micros(lookback)
-        in_reach = reduce(or_, [at.between(row.begin - length, row.end) for row in spans])
+        length = micros(lookback)
+        in_reach = reduce(or_, [within("click_time", row.begin - length, row.end) for row in spans])
         checkouts = trailing_checkouts(
             clicks.where(in_reach).select(*CLICKS.columns), own.select(*PURCHASES.columns), current(users), current(products), lookback
         )

@@ -14,11 +14,13 @@ from clicktrail.operators.attribution import min_click
 from clicktrail.operators.contracts import first_per_key
 from clicktrail.operators.rollups import rollup
 from clicktrail.plans.checkouts import trailing_checkouts, windowed_checkouts
-from clicktrail.schemas import CHECKOUTS, PRODUCTS, ROLLUPS, USERS
+from clicktrail.operators.contracts import settled_first_rows
+from clicktrail.schemas import CHECKOUTS, CUBE, PRODUCTS, ROLLUPS, USERS
+from clicktrail.sinks import tables
 from clicktrail.session import stateful_stream_conf, work_dir
 from clicktrail.sinks.tables import load_dimension, parquet_store, read_dimension
 from clicktrail.sinks.topics import append_topic
-from clicktrail.sources.tables import read_rows
+from clicktrail.sources.tables import file_system, read_rows, read_table
 from clicktrail.sources.topics import load_topics, read_topics
 from clicktrail.streaming.pipeline import (
     LateRows,
@@ -27,16 +29,19 @@ from clicktrail.streaming.pipeline import (
     checkout_stream_of_final_clicks,
     checkouts_of_topic,
     late_rows,
+    provisional_rollup,
     settled_min_clicks,
     start_checkout_table,
     start_checkouts,
     start_final_clicks,
     start_min_clicks,
+    start_provisional_rollups,
     start_rollups,
     state_rows,
     write_tables,
 )
-from clicktrail.streaming.trailing import start_trailing_checkouts
+from clicktrail.streaming.state import shard_rows, state_of, state_operators
+from clicktrail.streaming.trailing import start_trailing_checkouts, within
 from clicktrail.streaming.triggers import AVAILABLE_NOW
 from helpers import NOON, products, rows, users
 
@@ -135,6 +140,20 @@ def streams(spark, root, files_per_batch=None):
     return [read_topics(spark, root, topic, files_per_batch) for topic in ENCODE]
 
 
+def store_checkouts(spark, root, store, checkpoint, files_per_batch=None, **options):
+    """The table query over the whole checkouts topic; then a flush message comes, and it runs again."""
+    last = f"{root}/flush-{checkpoint.replace('/', '-')}"
+    location, fs = file_system(spark, f"{last}/checkouts")
+    fs.mkdirs(location)
+    message = json.dumps({"purchase_id": "flush", "purchase_time": FAR.isoformat()})
+    for _ in range(2):
+        topic = read_topics(spark, root, "checkouts", files_per_batch).unionByName(read_topics(spark, last, "checkouts"))
+        query = run(start_checkout_table(topic, store, f"{root}/{checkpoint}", AVAILABLE_NOW, **options))
+        if len(fs.listStatus(location)) == 0:
+            append_topic(spark.createDataFrame([(message,)], "value STRING"), last, "checkouts")
+    return query
+
+
 def run(query):
     query.awaitTermination()
     return query
@@ -182,8 +201,7 @@ def test_table_and_rollups_from_the_checkouts_topic(spark, replay, dims, batch):
     root = work_dir(spark, "topic")
     run(start_checkouts(*streams(spark, replay), *dims, root, f"{root}/cp1", trigger=AVAILABLE_NOW))
     for _ in range(2):  # the second run has nothing left to do
-        topic = read_topics(spark, root, "checkouts")
-        run(start_checkout_table(topic, parquet_store(f"{root}/t"), f"{root}/cp2", AVAILABLE_NOW))
+        store_checkouts(spark, root, parquet_store(f"{root}/t"), "cp2")
         keys = ("purchase_id", "click_id")
         first = first_per_key(expected, CHECKOUTS.key, CHECKOUTS.first_by)
         assert rows(read_rows(spark, f"{root}/t/checkouts", CHECKOUTS), *keys) == rows(first, *keys)
@@ -295,16 +313,16 @@ def test_a_new_checkpoint_adds_to_a_table(spark, dims):
     flush(spark, root)
     run(start_checkouts(*streams(spark, root), *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW))
     store, found = parquet_store(f"{root}/t"), []
-    for checkpoint in ("one/checkpoint", "two/checkpoint", "two/checkpoint"):
-        topic = read_topics(spark, root, "checkouts", files_per_batch=1)
-        run(start_checkout_table(topic, store, f"{root}/{checkpoint}", AVAILABLE_NOW))
+    for checkpoint, shards in (("one/checkpoint", 2), ("two/checkpoint", 3), ("two/checkpoint", 3)):
+        store_checkouts(spark, root, store, checkpoint, 1, state_partitions=shards)
+        assert {r.numPartitions for r in state_operators(spark, f"{root}/{checkpoint}").collect()} == {shards}
         found.append(rows(read_rows(spark, f"{root}/t/checkouts", CHECKOUTS), "purchase_id", "click_id"))
     assert found[0] == found[1] == found[2] != []
     late_root = work_dir(spark, "later")
     publish(spark, late_root, [(NOON, "clicks", 900, "a"), (NOON + MINUTE, "purchases", 900, "a")])
     flush(spark, late_root)
     run(start_checkouts(*streams(spark, late_root), *dims, late_root, f"{late_root}/cp", trigger=AVAILABLE_NOW))
-    run(start_checkout_table(read_topics(spark, late_root, "checkouts"), store, f"{root}/three/checkpoint", AVAILABLE_NOW))
+    store_checkouts(spark, late_root, store, "three/checkpoint")
     got = rows(read_rows(spark, f"{root}/t/checkouts", CHECKOUTS), "purchase_id", "click_id")
     assert got == sorted([*found[0], ("p900", "c900")])
 
@@ -425,3 +443,78 @@ def test_lateness_of_the_checkouts_topic_follows_the_lookback(spark, replay):
 
 def plan_of(df):
     return df._jdf.queryExecution().analyzed().toString()
+
+
+def checkout_message(purchase, click, bought, clicked):
+    return json.dumps({"purchase_id": purchase, "click_id": click, "purchase_time": bought.isoformat(), "click_time": clicked.isoformat()})
+
+
+def test_the_table_sink_never_reads_what_it_stored(spark, monkeypatch):
+    """The earlier click comes in a later micro-batch; keyed state decides, and rows without id all stay."""
+    root = work_dir(spark, "keyed")
+    for part in (
+        [("p1", "c2", NOON, NOON - 2 * MINUTE), (None, "c9", NOON, NOON - MINUTE), (None, "c9", NOON, NOON - MINUTE)],
+        [("p1", "c1", NOON, NOON - 8 * MINUTE), ("p2", "c3", NOON + MINUTE, NOON), (None, "c8", NOON, NOON - MINUTE)],
+        [("p3", "c4", NOON + dt.timedelta(days=1), NOON + dt.timedelta(days=1))],
+    ):
+        append_topic(spark.createDataFrame([(checkout_message(*row),) for row in part], "value STRING").coalesce(1), root, "checkouts")
+    monkeypatch.setattr(tables, "read_days", lambda *args: pytest.fail("the sink read its table"))
+    query = store_checkouts(spark, root, parquet_store(f"{root}/t"), "cp", 1, lateness="20 minutes")
+    got = rows(read_rows(spark, f"{root}/t/checkouts", CHECKOUTS), "purchase_id", "click_id")
+    assert got == sorted([("p1", "c1"), ("p2", "c3"), ("p3", "c4"), (None, "c9"), (None, "c9"), (None, "c8")], key=repr)
+    assert state_rows(query) == 1  # the flush message
+
+
+def test_first_rows_by_state_equal_first_rows_of_a_table(spark):
+    data = [("k", NOON, 2, "b"), ("k", NOON, 1, "z"), ("k", NOON + MINUTE, 3, "a"), ("m", NOON, None, "a"), (None, NOON, 1, "n"), (None, NOON, 1, "n")]
+    df = spark.createDataFrame(data, "key string, at timestamp, place int, other string")
+    got = rows(settled_first_rows(df, ["key"], "at", ["place"]))
+    assert got == rows(first_per_key(df, ["key", "at"], ["place"]))
+
+
+def test_provisional_rollups_are_early_and_become_final(spark, dims):
+    """Before any window closes the changelog has the counts so far; later events correct them."""
+    root, parts = work_dir(spark, "provisional"), chunks(make_events(seed=8, n=150), 3)
+    early = []
+    for part in parts:
+        publish(spark, root, part)
+        run(start_checkouts(*streams(spark, root), *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW))
+        topic = checkouts_of_topic(read_topics(spark, root, "checkouts", files_per_batch=2))
+        run(start_provisional_rollups(topic, f"{root}/cube", f"{root}/cp2", trigger=AVAILABLE_NOW))
+        so_far = decode_rows(load_topics(spark, root, "checkouts"), "checkouts", CHECKOUTS.schema)
+        for table in ("source_count", "fail_count"):
+            assert rows(provisional_rollup(spark, f"{root}/cube", table)) == rows(rollup(so_far, table))
+        early.append(rows(provisional_rollup(spark, f"{root}/cube", "source_count")))
+    assert early[0] != early[1] != early[2] != []
+    changes = read_table(spark, f"{root}/cube", CUBE)
+    assert changes.count() > changes.select(*CUBE.key).distinct().count()  # some windows were corrected
+    run(start_provisional_rollups(topic, f"{root}/cube", f"{root}/cp3", trigger=AVAILABLE_NOW))
+    with pytest.raises(ValueError, match="several queries"):
+        provisional_rollup(spark, f"{root}/cube", "revenue")
+    for name in tables.writers(spark, f"{root}/cube"):
+        assert rows(provisional_rollup(spark, f"{root}/cube", "source_count", name)) == early[2]
+
+
+def test_state_can_be_read_and_has_the_shards_asked_for(spark, dims):
+    root = work_dir(spark, "audit")
+    publish(spark, root, [(NOON, "clicks", 1, "a"), (NOON + 20 * MINUTE, "clicks", 2, "b"), (NOON + 21 * MINUTE, "purchases", 1, "b")])
+    run(start_checkouts(*streams(spark, root), *dims, root, f"{root}/cp", trigger=AVAILABLE_NOW, state_partitions=3))
+    operators = {r.operatorName: r for r in state_operators(spark, f"{root}/cp").collect()}
+    assert {r.numPartitions for r in operators.values()} == {3}
+    [aggregate] = [r.operatorId for name, r in operators.items() if name == "stateStoreSave"]
+    held = state_of(spark, f"{root}/cp", aggregate).select("key.user_id", F.col("key.window.start").alias("start"))
+    assert rows(held, "user_id", "start") == [("b", NOON + 20 * MINUTE)]  # the window of "a" is closed
+    [join] = [r.operatorId for name, r in operators.items() if name == "symmetricHashJoin"]
+    sides = [state_of(spark, f"{root}/cp", join, side).count() for side in ("left", "right")]
+    assert sides == [1, 2]  # the open purchase, and the released click under both buckets that it may serve
+    assert shard_rows(spark, f"{root}/cp", aggregate).agg(F.sum("rows")).first()[0] == 1
+
+
+def test_settled_clicks_are_skipped_by_their_time(spark):
+    path = work_dir(spark, "clicks")
+    spark.range(10).select(F.timestamp_micros(F.col("id") * 1_000_000).alias("click_time"), "id").write.parquet(path)
+    some = spark.read.parquet(path).where(within("click_time", 2_000_000, 4_000_000) | within("click_time", 8_000_000, 8_000_000))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "GreaterThanOrEqual(click_time" in pushed and "LessThanOrEqual(click_time" in pushed
+    assert rows(some, "id") == [(2,), (3,), (4,), (8,)]
