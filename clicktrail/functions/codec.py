@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clicktrail.schemas import CLICK_WIRE, MONEY, PURCHASE_WIRE, RATE, UNITS
+from clicktrail.schemas import CLICK_WIRE, CLICKS, MONEY, PURCHASE_WIRE, PURCHASES, RATE, UNITS
 
 #: Microseconds survive the trip; the default pattern stops at milliseconds.
 JSON_OPTIONS = {
@@ -33,6 +33,58 @@ def parse_topic(events: DataFrame, topic: str, fields: Sequence[str]) -> DataFra
     return parsed.select([F.col(f"payload.`{name}`").alias(name.lower()) for name in fields])
 
 
+#: Columns of checked rows beside the typed ones: the payload, and why it is rejected (empty if it is not).
+PAYLOAD, REASONS = "value", "reasons"
+
+
+def check_topic(
+    events: DataFrame, topic: str, fields: Sequence[str], schema: T.StructType, required: Sequence[str]
+) -> DataFrame:
+    """Typed columns of a topic, the payload, and the reasons for which it should be rejected, out of one parse.
+
+    A payload is rejected that is no JSON object, that lacks a required column
+    (named in lower case) or has a field that does not fit its type. Optional
+    fields that are absent are NULL. Names are those of the payload.
+    """
+    corrupt = "_corrupt"
+    payload = T.StructType([T.StructField(name, T.StringType()) for name in (*fields, corrupt)])
+    parsed = F.from_json(PAYLOAD, payload, {"columnNameOfCorruptRecord": corrupt})
+    rows = topic_values(events, topic).select(PAYLOAD, parsed.alias("p"))
+    types = {field.name: field.dataType for field in schema}
+    whole = F.col(PAYLOAD).isNotNull() & F.col(PAYLOAD).rlike(r"^\s*\{") & F.col(f"p.`{corrupt}`").isNull()
+    typed, reasons = [], [F.when(~whole, F.lit("no JSON object"))]
+    for name in fields:
+        column, text = name.lower(), F.col(f"p.`{name}`")
+        value = text.try_cast(types[column])
+        typed.append(value.alias(column))
+        if column in required:
+            reasons.append(F.when(whole & text.isNull(), F.lit(f"{name} is missing")))
+        reasons.append(F.when(whole & text.isNotNull() & value.isNull(), F.lit(f"{name} is no {types[column].simpleString()}")))
+    return rows.select(*typed, PAYLOAD, F.array_compact(F.array(*reasons)).alias(REASONS))
+
+
+def check_clicks(events: DataFrame, topic: str = "clicks", time_type: T.DataType | None = None) -> DataFrame:
+    """Clicks with their payload and reasons; a click needs its id, user and time."""
+    schema = T.StructType([T.StructField(f.name, time_type if time_type and f.name == "click_time" else f.dataType) for f in CLICKS.schema])
+    return check_topic(events, topic, CLICK_WIRE, schema, ("click_id", "user_id", "click_time"))
+
+
+def check_purchases(events: DataFrame, topic: str = "purchases") -> DataFrame:
+    """Purchases with their payload and reasons; a purchase needs its id, user, product and time."""
+    required = ("purchase_id", "user_id", "product_id", "purchase_time")
+    return check_topic(events, topic, PURCHASE_WIRE, PURCHASES.schema, required)
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    """The typed rows of checked ones that have no reason against them."""
+    return checked.where(F.size(REASONS) == 0).drop(PAYLOAD, REASONS)
+
+
+def rejected(checked: DataFrame) -> DataFrame:
+    """Payload and reasons of the others."""
+    return checked.where(F.size(REASONS) > 0).select(PAYLOAD, REASONS)
+
+
 def cast_columns(df: DataFrame, dtype: T.DataType | str, columns: Iterable[str]) -> DataFrame:
     """Cast the listed columns in one projection; values that do not fit become NULL."""
     return df.withColumns({name: F.col(name).try_cast(dtype) for name in columns})

@@ -175,12 +175,35 @@ _CLICK_MESSAGE = """
   replace(CAST(click_time AS VARCHAR), ' ', 'T') || '","Click_at":"' || click_at ||
   '","Source":"' || source || '","IP":"' || ip || '"}'"""
 
+#: Messages with their faults, what is wrong with them, and the delivery they come in.
+_FAULTY = f"""
+faulty AS (
+  SELECT *, CASE click_id % 11 WHEN 0 THEN substr(message, 1, 20)
+              WHEN 1 THEN regexp_replace(message, '"Click_time":"[^"]*"', '"Click_time":"soon"')
+              WHEN 2 THEN regexp_replace(message, '"Click_ID":"[^"]*",', '') ELSE message END AS value,
+         CASE click_id % 11 WHEN 0 THEN 'no JSON object' WHEN 1 THEN 'Click_time is no timestamp'
+              WHEN 2 THEN 'Click_ID is missing' END AS reasons,
+         least(4, (epoch_us(click_time) - (SELECT min(epoch_us(click_time)) FROM clicks)) * 5
+                  // (SELECT max(epoch_us(click_time)) - min(epoch_us(click_time)) + 1 FROM clicks)
+                  + CASE WHEN click_id % 10 = 3 THEN 2 ELSE 0 END) AS part
+  FROM (SELECT *, {_CLICK_MESSAGE} AS message FROM clicks)
+)"""
+
+
+def _split(late: str, lateness: str) -> str:
+    """Sound clicks before or behind the watermark that earlier deliveries set."""
+    return f"""
+SELECT CAST(click_id AS VARCHAR) AS click_id, CAST(user_id AS VARCHAR) AS user_id, click_time, click_at, source, ip
+FROM faulty f WHERE reasons IS NULL AND {late} coalesce(click_time <
+  (SELECT max(click_time) FROM faulty e WHERE e.part < f.part AND e.reasons IS NULL) - INTERVAL '{lateness}', false)"""
+
+
 ROLLUP_TABLES = (*_COUNTS, "revenue")
 DAY = "1 day"
 TEN_MINUTES = "10 minutes"
 
 
-def oracle_sql(horizon: str, keep: str) -> dict[str, str]:
+def oracle_sql(horizon: str, keep: str, lateness: str) -> dict[str, str]:
     """Oracle per query key; ``horizon`` and ``keep`` as the queries use them."""
     trailing_day = _checkouts(_trailing(DAY))
     windowed_day = _checkouts(_windowed(DAY))
@@ -201,6 +224,11 @@ def oracle_sql(horizon: str, keep: str) -> dict[str, str]:
 UNION ALL SELECT 'purchases', CAST(count(*) AS BIGINT) FROM purchases""",
         "demux_topic": _with(CLICKS) + f"SELECT {_CLICK_MESSAGE} AS value FROM clicks",
         "parse_clicks": _with(CLICKS) + typed_clicks,
+        "parse_rejects": _with(CLICKS, _FAULTY) + "SELECT value, reasons FROM faulty WHERE reasons IS NOT NULL",
+        "parse_accepted": _with(CLICKS, _FAULTY) + typed_clicks.replace("FROM clicks", "FROM faulty WHERE reasons IS NULL"),
+        "stream_rejects": _with(CLICKS, _FAULTY) + "SELECT value, reasons FROM faulty WHERE reasons IS NOT NULL",
+        "stream_on_time_events": _with(CLICKS, _FAULTY) + _split("NOT", lateness),
+        "stream_late_events": _with(CLICKS, _FAULTY) + _split("", lateness),
         "typed_purchases": _with(PURCHASES)
         + """SELECT CAST(purchase_id AS VARCHAR) AS purchase_id, CAST(user_id AS VARCHAR) AS user_id,
   CAST(product_id AS VARCHAR) AS product_id, CAST(shipping_cost AS DOUBLE) AS shipping_cost,
@@ -257,6 +285,7 @@ SELECT c.* FROM clicks c JOIN minima m ON c.user_id = m.user_id
     for table in ROLLUP_TABLES:
         sql[table] = trailing_day + _rollup(table)
         sql[f"{table}_single_pass"] = sql[table]
+        sql[f"incremental_{table}"] = sql[table]
         sql[f"stream_{table}"] = windowed_day + _rollup(table)
         sql[f"stream_topic_{table}"] = sql[f"stream_{table}"]
         sql[f"stream_update_{table}"] = sql[f"stream_{table}"]

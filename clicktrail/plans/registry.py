@@ -9,42 +9,59 @@ roll-up tables and take the newest row as "now".
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clicktrail.functions.codec import decode_clicks, decode_purchases, decode_rows, encode_rows, topic_values
+from clicktrail.functions.codec import (
+    accepted,
+    check_clicks,
+    decode_clicks,
+    decode_purchases,
+    decode_rows,
+    encode_rows,
+    rejected,
+    topic_values,
+)
 from clicktrail.operators import attribution, reports
 from clicktrail.operators.contracts import conform, key_violations
 from clicktrail.operators.enrich import enrich_purchases
 from clicktrail.operators.rollups import rollup, rollup_cube, rollup_from_cube, with_status
 from clicktrail.plans import testdata_views as views
 from clicktrail.plans.checkouts import trailing_checkouts, windowed_checkouts
-from clicktrail.plans.stored import once, read_rollup, stored_cube, write_rollup
+from clicktrail.plans.stored import once, read_rollup, stored_checkouts, stored_cube, write_rollup
 from clicktrail.plans.streams import (
     checkouts_table,
+    faulty_messages,
     final_clicks_topic,
     min_clicks_topic,
     open_windows,
     provisional_tables,
     rollup_tables,
+    side_outputs,
     staged_topics,
     topic_rollup_tables,
     trailing_table,
 )
-from clicktrail.schemas import CHECKOUTS, PRODUCTS, ROLLUPS, USERS, TableContract
+from clicktrail.schemas import CHECKOUTS, CLICKS, CUBE, PRODUCTS, ROLLUPS, USERS, TableContract
 from clicktrail.session import work_dir
-from clicktrail.sinks.tables import drop_expired, load_dimension, read_dimension
-from clicktrail.sources.tables import CSV_OPTIONS, newest_day, read_csv_table, read_since
+from clicktrail.sinks.incremental import refresh_cube
+from clicktrail.sinks.tables import drop_expired, load_dimension, read_dimension, write_batch
+from clicktrail.sources.tables import CSV_OPTIONS, newest_day, read_csv_table, read_rows, read_since
 from clicktrail.sources.topics import read_topics
+from clicktrail.streaming.pipeline import provisional_rollup
+from clicktrail.streaming.side_outputs import read_rejects
 from clicktrail.streaming.triggers import AVAILABLE_NOW
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TEN_MINUTES, DAY = "10 minutes", "1 day"
 REPORT_HORIZON = "7 days"
+#: Of the disordered replay.
+LATENESS = "1 day"
 KEEP = "2 days"
 
 
@@ -257,6 +274,46 @@ def stream_first_click_attribution(spark: SparkSession, sf_dir: str) -> DataFram
     return at_edge(trailing_table(spark, sf_dir, DAY, AVAILABLE_NOW))
 
 
+def parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faulty click messages with what is wrong with them."""
+    checked = check_clicks(faulty_messages(views.clicks(spark, sf_dir)))
+    return rejected(checked).select("value", F.array_join("reasons", "; ").alias("reasons"))
+
+
+def parse_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other click messages, typed by the same parse."""
+    return accepted(check_clicks(faulty_messages(views.clicks(spark, sf_dir)), time_type=T.TimestampNTZType()))
+
+
+def stream_late_events(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return at_edge(read_rows(spark, f"{side_outputs(spark, sf_dir, LATENESS, AVAILABLE_NOW)}/{table}", CLICKS))
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rejects = read_rejects(spark, side_outputs(spark, sf_dir, LATENESS, AVAILABLE_NOW), "clicks")
+    return rejects.select("value", F.array_join("reasons", "; ").alias("reasons"))
+
+
+def incremental_rollup(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """Roll-ups after three additions to the checkout table: earlier purchases, later ones, and stragglers of all times."""
+    contract = CHECKOUTS.zoneless()
+
+    def make() -> str:
+        path, root = work_dir(spark, "checkouts"), work_dir(spark, "incremental")
+        checkouts = stored_checkouts(spark, trailing(spark, sf_dir, DAY), sf_dir)
+        middle = checkouts.select(F.percentile_approx(F.unix_micros(F.col("purchase_time").cast("timestamp")), 0.5)).first()[0]
+        straggles = F.col("purchase_id").cast("long") % 10 == 0
+        late = F.unix_micros(F.col("purchase_time").cast("timestamp")) > F.lit(middle or 0)
+        for n, part in enumerate((~straggles & ~late, ~straggles & late, straggles)):
+            write_batch(checkouts.where(part), path, replace(contract, first_by=()), n)
+            refresh_cube(spark, path, contract, root)
+        return root
+
+    root = once(spark, sf_dir, "incremental", make=make)
+    latest = provisional_rollup(spark, f"{root}/cube", table, contract=CUBE.zoneless())
+    return at_edge(conform(latest, ROLLUPS[table].zoneless()))
+
+
 def stream_state_after_flush(spark: SparkSession, sf_dir: str) -> DataFrame:
     return at_edge(open_windows(spark, sf_dir, TEN_MINUTES, AVAILABLE_NOW))
 
@@ -275,6 +332,8 @@ def all_queries() -> dict[str, Query]:
         "stream_topic_scan": stream_topic_scan,
         "demux_topic": demux_topic,
         "parse_clicks": parse_clicks,
+        "parse_rejects": parse_rejects,
+        "parse_accepted": parse_accepted,
         "typed_purchases": typed_purchases,
         "scan_users": views.users,
         "scan_products": scan_products,
@@ -292,6 +351,9 @@ def all_queries() -> dict[str, Query]:
         "stream_min_click": stream_min_click,
         "stream_final_clicks": stream_final_clicks,
         "stream_state_after_flush": stream_state_after_flush,
+        "stream_on_time_events": partial(stream_late_events, table="clicks"),
+        "stream_late_events": partial(stream_late_events, table="clicks_late"),
+        "stream_rejects": stream_rejects,
         "stream_checkouts_sink": stream_checkouts_sink,
         "stream_first_click_attribution": stream_first_click_attribution,
     }
@@ -309,6 +371,7 @@ def all_queries() -> dict[str, Query]:
         named |= {
             table: partial(rolled_up, table=table),
             f"{table}_single_pass": partial(single_pass, table=table),
+            f"incremental_{table}": partial(incremental_rollup, table=table),
             f"stream_{table}": partial(stream_rollup, table=table),
             f"stream_topic_{table}": partial(stream_topic_rollup, table=table),
             f"stream_update_{table}": partial(stream_update_rollup, table=table),

@@ -35,6 +35,17 @@ def stored_cube(spark: SparkSession, checkouts: DataFrame, sf_dir: str) -> DataF
     return spark.read.parquet(once(spark, sf_dir, "cube", make=make))
 
 
+def stored_checkouts(spark: SparkSession, checkouts: DataFrame, sf_dir: str) -> DataFrame:
+    """Some checkouts as a table with exact amounts, computed once."""
+
+    def make() -> str:
+        path = work_dir(spark, "exact-checkouts")
+        checkouts.write.parquet(path)
+        return path
+
+    return spark.read.parquet(once(spark, sf_dir, "exact-checkouts", make=make))
+
+
 def write_rollup(spark: SparkSession, cube: DataFrame, table: str) -> str:
     """A fresh roll-up table out of a cube, partitioned by day; returns its path."""
     path = work_dir(spark, table)

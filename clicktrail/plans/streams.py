@@ -14,11 +14,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from clicktrail.functions.codec import decode_clicks, encode_rows
+from clicktrail.functions.codec import check_clicks, decode_clicks, encode_rows
 from clicktrail.plans import testdata_views as views
 from clicktrail.plans.stored import once
 from clicktrail.schemas import CHECKOUTS, CLICKS, PRODUCTS, ROLLUPS, USERS
@@ -40,6 +40,7 @@ from clicktrail.streaming.pipeline import (
     start_provisional_rollups,
     start_rollups,
 )
+from clicktrail.streaming.side_outputs import start_side_outputs
 from clicktrail.streaming.state import state_of, state_operators
 from clicktrail.streaming.trailing import start_trailing_checkouts
 from clicktrail.streaming.triggers import Trigger
@@ -142,6 +143,44 @@ def event_streams(spark: SparkSession, sf_dir: str, flush: str) -> tuple[DataFra
     return with_flush(spark, root, "clicks", flush, files), with_flush(spark, root, "purchases", flush, files)
 
 
+def faulty_messages(rows: DataFrame) -> DataFrame:
+    """Click messages, three in eleven of which have a fault: cut off, without a time that can be read, without an id."""
+    kind, value = F.col("click_id") % 11, F.col("value")
+    messages = rows.select("click_id", "click_time", views.click_text().alias("value"))
+    faulty = (
+        F.when(kind == 0, F.substring(value, 1, 20))
+        .when(kind == 1, F.regexp_replace(value, '"Click_time":"[^"]*"', '"Click_time":"soon"'))
+        .when(kind == 2, F.regexp_replace(value, '"Click_ID":"[^"]*",', ""))
+        .otherwise(value)
+    )
+    return messages.select("click_id", "click_time", F.lit("clicks").alias("topic"), faulty.alias("value"))
+
+
+def delivery(clicks: DataFrame) -> Column:
+    """In which of five deliveries a click comes: by its time, but one in ten two deliveries later."""
+    micros = F.unix_micros(F.col("click_time").cast("timestamp"))
+    first, last = clicks.agg(F.min(micros), F.max(micros)).first()
+    place = F.floor((micros - F.lit(first)) * MICRO_BATCHES / F.lit((last or 0) - (first or 0) + 1)).cast("int")
+    delayed = F.when(F.col("click_id") % 10 == 3, place + 2).otherwise(place)
+    return F.least(delayed, F.lit(MICRO_BATCHES - 1))
+
+
+def side_outputs(spark: SparkSession, sf_dir: str, lateness: str, trigger: Trigger) -> str:
+    """A disordered and faulty click topic, delivered in five parts, split into clicks, late clicks and rejects."""
+
+    def run() -> str:
+        root = work_dir(spark, "side-outputs")
+        clicks = views.clicks(spark, sf_dir)
+        messages = faulty_messages(clicks).withColumn("part", delivery(clicks))
+        for part in range(MICRO_BATCHES):
+            append_topic(messages.where(F.col("part") == part), root, "clicks")
+            checked = check_clicks(read_topics(spark, root, "clicks"))
+            start_side_outputs(checked, f"{root}/tables", "clicks", CLICKS, f"{root}/checkpoint", lateness, trigger).awaitTermination()
+        return f"{root}/tables"
+
+    return once(spark, sf_dir, "side-outputs", lateness, make=run)
+
+
 def loaded_dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Users and products as stored tables, whose size the planner knows."""
 

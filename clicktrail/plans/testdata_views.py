@@ -128,15 +128,23 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _message(rows: DataFrame, topic: str, fields: tuple[str, ...]) -> DataFrame:
-    """Rows as producers send them: one JSON object of strings, mixed-case names."""
+def _text(fields: tuple[str, ...]) -> Column:
+    """A row as producers send it: one JSON object of strings, mixed-case names."""
     texts = []
     for field in fields:
         text = F.col(field.lower()).cast("string")
         if field.endswith("_time"):
             text = F.translate(text, " ", "T")
         texts.append(text.alias(field))
-    return rows.select(F.lit(topic).alias("topic"), F.to_json(F.struct(*texts)).alias("value"))
+    return F.to_json(F.struct(*texts))
+
+
+def click_text() -> Column:
+    return _text(CLICK_WIRE)
+
+
+def _message(rows: DataFrame, topic: str, fields: tuple[str, ...]) -> DataFrame:
+    return rows.select(F.lit(topic).alias("topic"), _text(fields).alias("value"))
 
 
 def click_messages(rows: DataFrame) -> DataFrame:

@@ -273,13 +273,15 @@ def start_provisional_rollups(
         return write_tables(cube, write, checkpoint, trigger, "provisional roll-ups", "update")
 
 
-def provisional_rollup(spark: SparkSession, path: str, table: str, query: str | None = None) -> DataFrame:
+def provisional_rollup(
+    spark: SparkSession, path: str, table: str, query: str | None = None, contract: TableContract = CUBE
+) -> DataFrame:
     """One of the five roll-ups as the changelog under ``path`` knows it now.
 
     Versions are ordered within one query. If several have written there, as
     after a move to a new checkpoint, ``query`` names the one to read.
     """
-    changes = read_table(spark, path, CUBE)
+    changes = read_table(spark, path, contract)
     if query is not None:
         changes = changes.where(F.col("query") == query)
     elif len(writers(spark, path)) > 1:

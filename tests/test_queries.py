@@ -12,7 +12,7 @@ from clicktrail.plans import oracles, registry
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("nation", "customer", "part", "events")
 QUERIES = registry.all_queries()
-ORACLES = oracles.oracle_sql(horizon=registry.REPORT_HORIZON, keep=registry.KEEP)
+ORACLES = oracles.oracle_sql(horizon=registry.REPORT_HORIZON, keep=registry.KEEP, lateness=registry.LATENESS)
 
 
 @pytest.fixture(scope="module")
