@@ -41,6 +41,8 @@ CODEC = "zstd"
 #: those with fewer than so many runs of a stretch are left out.
 HOT, HOT_RUNS, STRETCH, OFTEN = 1 << 17, 1_000, 1 << 20, 16
 
+#: Runs that are prepared at once.
+AT_ONCE = 1 << 15
 #: A decided run is sent as its length in one byte.
 LONGEST_RUN = 255
 
@@ -83,8 +85,11 @@ def _batch_runs(ids, tks, texts: pa.Array, window: int, gram: int):
 
 def _decided(anchor, id_, tags, offsets) -> np.ndarray:
     """Which runs have their equal from a smaller id among these."""
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(hashing.mixed(tags), dtype=np.uint64)])
-    content = hashing.mixed(sums[offsets[1:]] - sums[offsets[:-1]]).view(np.int64) ^ anchor
+    sums = np.empty(len(anchor), np.uint64)
+    for a in range(0, len(anchor), AT_ONCE):
+        b = min(a + AT_ONCE, len(anchor))
+        sums[a:b] = np.add.reduceat(hashing.mixed(tags[offsets[a] : offsets[b]]), offsets[a:b] - offsets[a])
+    content = hashing.mixed(sums).view(np.int64) ^ anchor
     order = np.lexsort((id_, content))
     same = np.zeros(len(order), bool)
     same[1:] = content[order][1:] == content[order][:-1]
@@ -151,23 +156,19 @@ def _runs_of(window: int, gram: int, hot: np.ndarray):
             decided = _decided(anchor, id_, tags, offsets)
             if len(hot):
                 anchor, id_, tk, start, tags, offsets, decided = _cut_runs(hot, anchor, id_, tk, start, tags, offsets, decided)
-            lengths = np.diff(offsets)
-            kept = tags[np.repeat(~decided, lengths)]
-            flat = kept.view(np.uint8).reshape(-1, 8)[:, :TAG_BYTES].ravel()
             # a decided run is one byte, its length, and goes wherever its document hashes to
-            sizes = np.where(decided, 1, lengths * TAG_BYTES)
-            ends = np.concatenate([[0], np.cumsum(sizes)])
-            out = np.empty(ends[-1], np.uint8)
-            single = np.zeros(ends[-1], bool)
-            single[ends[:-1][decided]] = True
-            out[single], out[~single] = lengths[decided], flat
             own = hashing.mixed((tk ^ id_).view(np.uint64) + start.astype(np.uint64)).view(np.int64)
             route = np.where(decided, own, anchor)
-            step = 1 << 15
-            for a in range(0, len(route), step):
-                b = min(a + step, len(route))
-                part = hashing.binary_column(out[ends[a] : ends[b]], ends[a : b + 1] - ends[a])
-                columns = [*(pa.array(c[a:b]) for c in (route, id_, tk, start)), part]
+            for a in range(0, len(route), AT_ONCE):
+                b = min(a + AT_ONCE, len(route))
+                gone, lengths = decided[a:b], np.diff(offsets[a : b + 1])
+                kept = tags[offsets[a] : offsets[b]][np.repeat(~gone, lengths)]
+                ends = np.concatenate([[0], np.cumsum(np.where(gone, 1, lengths * TAG_BYTES))])
+                out = np.empty(ends[-1], np.uint8)
+                single = np.zeros(ends[-1], bool)
+                single[ends[:-1][gone]] = True
+                out[single], out[~single] = lengths[gone], kept.view(np.uint8).reshape(-1, 8)[:, :TAG_BYTES].ravel()
+                columns = [*(pa.array(c[a:b]) for c in (route, id_, tk, start)), hashing.binary_column(out, ends)]
                 yield pa.RecordBatch.from_arrays(columns, names=["anchor", "id", "tk", "start", "tags"])
 
     return runs
@@ -286,10 +287,13 @@ def merged(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
 def _packed(batches):
     """Texts compressed, as they travel to their spans."""
     for batch in batches:
-        texts = [(t.as_py() or "").encode() for t in batch.column("text")]
-        packed = pa.array([pa.compress(t, CODEC, asbytes=True) if t else b"" for t in texts], pa.binary())
-        columns = [*(batch.column(c) for c in ("doc_id", "id", "tk")), packed, pa.array([len(t) for t in texts], pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "id", "tk", "packed", "size"])
+        data, offsets = hashing.text_buffers(batch.column("text"))
+        for i, j in hashing.text_slices(offsets):
+            part, sizes = batch.slice(i, j - i), np.diff(offsets[i : j + 1])
+            texts = (data[offsets[n] : offsets[n + 1]] for n in range(i, j))
+            packed = pa.array([pa.compress(t, CODEC, asbytes=True) if len(t) else b"" for t in texts], pa.binary())
+            columns = [*(part.column(c) for c in ("doc_id", "id", "tk")), packed, pa.array(sizes)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "id", "tk", "packed", "size"])
 
 
 def dedup_substrings(
