@@ -175,6 +175,39 @@ def _after(turn: Column) -> Column:
     return F.when(role == "user", USER[1] + END).when(role == "system", SYSTEM[1] + END).otherwise(END)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often lambdas inside refer to it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(lengths: Column, start: Column) -> Column:
+    """For each length the sum of ``start`` and all lengths before it. The work grows with the square of their number."""
+    begin = F.struct(start.alias("at"), F.expr("cast(array() as array<bigint>)").alias("starts"))
+    step = lambda s, n: F.struct((s["at"] + n).alias("at"), F.concat(s["starts"], F.array(s["at"])).alias("starts"))
+    return F.aggregate(lengths, begin, step, lambda s: s["starts"])
+
+
+def running_starts(lengths: Column) -> Column:
+    """Where each of consecutive pieces starts, by their lengths (an array of longs).
+
+    Blocks of about the square root of their number are summed, the sums are
+    added up, and each block on its own from there.
+    """
+    zero = F.lit(0).cast("long")
+
+    def blockwise(all_lengths):
+        n = F.greatest(F.size(all_lengths), F.lit(1))
+        block = F.ceil(F.sqrt(n)).cast("int")
+        numbers = F.sequence(F.lit(0), F.ceil(n / block).cast("int") - 1)
+        return _let(F.transform(numbers, lambda k: F.slice(all_lengths, k * block + 1, block)), joined)
+
+    def joined(blocks):
+        sums = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda total, n: total + n))
+        return F.flatten(F.zip_with(blocks, _running(sums, zero), _running))
+
+    return _let(lengths, blockwise)
+
+
 def format_turns(turns: Column) -> tuple[Column, Column]:
     """The formatted text, and its loss mask: (start, length) of each escaped assistant text, in code points from 0."""
     pieces = F.transform(
@@ -184,17 +217,17 @@ def format_turns(turns: Column) -> tuple[Column, Column]:
         ),
     )
     text = F.array_join(F.transform(pieces, lambda p: F.concat(p["before"], p["text"], p["after"])), "")
-    begin = F.struct(F.lit(0).cast("long").alias("at"), F.expr("cast(array() as array<struct<start:bigint,length:bigint>>)").alias("spans"))
-
-    def step(state, p):
-        start = state["at"] + F.length(p["before"])
-        span = F.struct(start.cast("long").alias("start"), F.length(p["text"]).cast("long").alias("length"))
-        spans = F.when(p["role"] == "assistant", F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(
-            (start + F.length(p["text"]) + F.length(p["after"])).cast("long").alias("at"), spans.alias("spans")
-        )
 
-    return text, F.aggregate(pieces, begin, step, lambda state: state["spans"])
+    def mask(parts):
+        lengths = F.transform(parts, lambda p: (F.length(p["before"]) + F.length(p["text"]) + F.length(p["after"])).cast("long"))
+
+        def span(p, start):
+            at = (start + F.length(p["before"])).cast("long").alias("start")
+            return F.when(p["role"] == "assistant", F.struct(at, F.length(p["text"]).cast("long").alias("length")))
+
+        return F.filter(F.zip_with(parts, running_starts(lengths), span), lambda s: s.isNotNull())
+
+    return text, _let(pieces, mask)
 
 
 def format_records(records: DataFrame, schema: T.StructType = RECORD, layouts=LAYOUTS) -> DataFrame:
@@ -203,7 +236,9 @@ def format_records(records: DataFrame, schema: T.StructType = RECORD, layouts=LA
     ``schema`` names the layout columns to look at; columns outside it are
     carried along and never read. A record that fits no layout has null in all
     new columns. Null roles and texts are empty strings; an empty array gives
-    no turns and an empty formatted text. Any role is written out and read back.
+    no turns and an empty formatted text; an empty table gives no rows. Any role
+    is written out and read back. The work for a conversation of n turns grows
+    with n times its square root at most, in copied numbers, and with its text.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in records.columns]).alias("record")
     present = T.StructType([f for f in schema if f.name in records.columns])
@@ -240,10 +275,19 @@ def parse_turns(formatted: Column) -> Column:
 
 
 def loss_texts(formatted: Column, loss: Column) -> Column:
-    """The unescaped texts under the loss mask, in order."""
-    return F.transform(
-        loss, lambda span: unescape(F.substring(formatted, (span["start"] + 1).cast("int"), span["length"].cast("int")))
-    )
+    """The unescaped texts under the loss mask, in order.
+
+    Spans are cut from the text in four bytes a code point, where each starts at
+    a known byte. A byte-order mark goes before each, so that one at the start
+    of a text stays. A formatted text has 2**29 code points at most.
+    """
+    mark = F.lit(bytes([0, 0, 0xFE, 0xFF]))
+
+    def cut(wide):
+        inner = lambda span: F.substring(wide, (span["start"] * 4 + 1).cast("int"), (span["length"] * 4).cast("int"))
+        return F.transform(loss, lambda span: unescape(F.decode(F.concat(mark, inner(span)), "UTF-32")))
+
+    return _let(F.encode(formatted, "UTF-32"), cut)
 
 
 def conversations_of(turn_rows: DataFrame) -> DataFrame:

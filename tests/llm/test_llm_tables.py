@@ -3,6 +3,8 @@
 import gzip
 import hashlib
 import itertools
+import re
+import time
 
 import brute
 import pytest
@@ -34,6 +36,42 @@ def test_turns_come_back_whatever_they_say(spark):
         assert r.layout == "messages"
 
 
+def many_turns(spark, n):
+    rows = spark.range(n).select(
+        F.lit(1).alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"),
+        F.concat(F.lit("h\u00e9llo </s> "), F.col("id").cast("string")).alias("text"),
+    )
+    item = lambda i: F.struct(i["role"].alias("role"), i["text"].alias("content"))
+    return chat.conversations_of(rows).select("conv_id", F.transform("items", item).alias("messages"))
+
+
+def test_long_conversations_cost_no_square(spark):
+    seconds = {}
+    for n in (8_000, 32_000):
+        out = chat.format_records(many_turns(spark, n), T.StructType([chat.RECORD["messages"]]))
+        started = time.monotonic()
+        row = out.select("formatted", "loss", chat.loss_texts(F.col("formatted"), F.col("loss")).alias("texts")).first()
+        seconds[n] = time.monotonic() - started
+        assert row.texts == [f"h\u00e9llo </s> {i}" for i in range(1, n, 2)]
+        assert [row.formatted[s.start : s.start + s.length] for s in row.loss] == [chat_escaped(t) for t in row.texts]
+    assert seconds[32_000] < 8 * max(seconds[8_000], 1)
+
+
+def chat_escaped(text):
+    return re.sub(chat.ESCAPABLE, r"\1\2\\\3", text)
+
+
+def test_byte_order_marks_stay_and_empty_tables_give_no_rows(spark):
+    schema = T.StructType([chat.RECORD["messages"]])
+    texts = ["\ufeffa\ufeff", "", "\ufeff", "\U0001f600"]
+    records = spark.createDataFrame([([("assistant", t) for t in texts],)], schema)
+    out = chat.format_records(records, schema)
+    assert out.select(chat.loss_texts(F.col("formatted"), F.col("loss"))).first()[0] == texts
+    assert chat.format_records(records.limit(0), schema).count() == 0
+
+
 def test_control_strings_only_stand_where_the_template_put_them(spark):
     texts = ["".join(p) for p in itertools.product(["<", "</", "\\", "s>", "[", "INST]"], repeat=4)]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", chat.escape(F.col("t")).alias("e"))
