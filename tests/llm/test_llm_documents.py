@@ -1,5 +1,6 @@
 """Operators on documents against brute force, on rows with every odd case."""
 
+import itertools
 import math
 from collections import Counter, defaultdict
 
@@ -199,6 +200,27 @@ def test_mixing_caps_a_small_source(spark):
     assert sum(r.taken for r in out) == pytest.approx(sum(r["size"] for r in out), abs=3)
 
 
+def test_mixing_counts_rows_of_one_id_and_text(spark):
+    many = spark.range(30_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(prose(1, 7)).alias("text"), F.lit("a").alias("source"))
+    few = [(n, prose(n, 11), "ab"[n % 2]) for n in range(60)] + [(5, None, "a"), (5, None, "a"), (6, "x", None)]
+    docs = many.unionByName(spark.createDataFrame(few, "doc_id long, text string, source string"))
+    out = mixing.mix(docs, rows_per_range=500, ranges_per_span=7)
+    for groups in (mixing.mixed_groups(docs), mixing.mixed_groups(docs, rows_per_range=500, ranges_per_span=7)):
+        assert groups.count() == 63  # equal rows are one
+        spans = sorted((r.source or "", r.at, r["size"] * r.copies) for r in groups.where("size > 0").collect())
+        assert all(x[0] != y[0] or x[1] + x[2] == y[1] for x, y in itertools.pairwise(spans))
+    per_source = out.groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target"), F.count(F.lit(1)).alias("n"), F.sum("size").alias("size")
+    )
+    sums = {r.source: r for r in per_source.collect()}
+    assert {s: r.n for s, r in sums.items()} == {"a": 30_032, "b": 30, None: 1}
+    want = brute.targets({s: r["size"] for s, r in sums.items()})
+    assert all(r.taken == math.floor(want[s] + 1e-6) for s, r in sums.items())
+    # of equal copies at most one is taken in part
+    cut = out.where("source = 'a' and rest > 0 and rest < size").count()
+    assert cut <= 1 and out.where("taken < 0 or taken > 3 * size").isEmpty()
+
+
 def test_language_of_odd_texts(documents, rows):
     texts = [(n, f"the {prose(n, 30)} and the", "en") for n in range(40)] + [
         (100 + n, f"der {prose(n, 30)} äöü und", "de") for n in range(40)

@@ -8,7 +8,10 @@ import pytest
 from odd import edited, frame, prose
 
 import corpus_pipeline
-from clicktrail.llm import quality
+from clicktrail.llm import mixing, quality
+
+
+HUGE = 2**63 - 1
 
 
 def pairs(df):
@@ -66,3 +69,20 @@ def test_stages_on_odd_rows_equal_brute_force(spark, documents, rows, odd_dir):
     mixed = corpus_pipeline.mixing(spark, documents, path).collect()
     assert all(0 < r.taken == r.epochs * r["size"] + r.rest and r["size"] == len(brute.words(r.text)) for r in mixed)
     assert not Counter((r.doc_id, r.text) for r in mixed) - Counter(rows)
+
+
+def test_equal_rows_of_many_sources_are_mixed_in_their_own(spark):
+    text = prose(700, 9)
+    rows = [(None, text)] * 40 + [(HUGE, text)] * 3 + [(n, prose(n, 9)) for n in range(30)]
+    docs = frame(spark, rows, source=lambda n: ["a", "b", None][n % 3])
+    mixed = mixing.mix(docs).where("taken > 0")
+    per_row = lambda rows: Counter((r.doc_id, r.source, r.taken) for r in rows)
+    assert per_row(corpus_pipeline.mixing(spark, docs, "").collect()) == per_row(mixed.collect())
+
+
+def test_half_of_the_rows_repeat_one_row(spark):
+    text, rare = prose(800, 40), [(n, prose(900 + n, 40)) for n in range(50)]
+    near = edited(text, 3, 1)
+    docs = frame(spark, [(None, text)] * 2_000 + [(None, near)] + rare)
+    got = pairs(corpus_pipeline.near_duplicates(spark, docs, ""))
+    assert sum(got.values()) == 51 and sum(got[(None, t)] for t in (text, near)) == 1
