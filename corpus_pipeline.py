@@ -6,27 +6,35 @@ kept. All but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clicktrail.llm.common import read_table, stored, text_key
+from clicktrail.llm.common import WORD, read_table, stored, text_key
 from clicktrail.llm.decontaminate import contaminated
 from clicktrail.llm.jaccard import jaccard_classes
 from clicktrail.llm.line_dedup import dedup_lines
-from clicktrail.llm.mixing import mix
+from clicktrail.llm.mixing import earlier_sum, mixed_groups, shared_out
 from clicktrail.llm.quality import score_quality, train
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-#: Stands for a null id in joins, which then need one shuffle only.
-NO_ID = 2**63 - 1
+#: What tells rows apart, in columns without nulls.
+KEYS = ["_id", "_no_id", "_tk"]
 
 
-def numbered(rows: DataFrame, doc_id: str, tk) -> DataFrame:
-    """Rows with a plain join key: _id, _tk (the text's key) and _copy, which counts rows of equal id and text from 1."""
-    keyed = rows.withColumns({"_id": F.coalesce(F.col(doc_id), F.lit(NO_ID)), "_tk": tk})
-    return keyed.withColumn("_copy", F.row_number().over(Window.partitionBy("_id", "_tk").orderBy("_tk")))
+def keys(tk: Column) -> list[Column]:
+    doc_id = F.col("doc_id")
+    return [F.coalesce(doc_id, F.lit(0)).alias("_id"), doc_id.isNull().alias("_no_id"), tk.alias("_tk")]
+
+
+def source_keys() -> list[Column]:
+    source = F.col("source")
+    return [F.coalesce(source, F.lit("")).alias("_source"), source.isNull().alias("_no_source")]
+
+
+def has_words() -> Column:
+    return F.regexp_like(F.coalesce("text", F.lit("")), F.lit(WORD))
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,14 +63,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Documents without words are no one's duplicates and stay. Groups are told
     apart by their links, not by ids, which may repeat or be null (a null id
     comes after all others). Of rows of a group that repeat its smallest id, the
-    one of the smallest text key stays, and of equal rows one.
+    one of the smallest text key stays, and of rows equal in id and text that of
+    the smallest lang, source and n_chars.
     """
     docs = docs.select(COLUMNS)
-    classes = jaccard_classes(docs).where("leads")
-    id_ = F.coalesce("doc_id", F.lit(NO_ID))
-    kept = classes.select(id_.alias("_id"), F.col("tk").alias("_tk"), (F.col("n_shingles") > 0).alias("_words")).distinct()
-    joined = numbered(docs, "doc_id", text_key(F.col("text"))).join(kept, ["_id", "_tk"])
-    return joined.where("_copy = 1 or not _words").select(COLUMNS)
+    classes = jaccard_classes(docs).where("leads and n_shingles > 0")
+    kept = classes.select(keys(F.col("tk"))).distinct()
+    row = F.struct("doc_id", "lang", "source", "n_chars", "text")
+    one = docs.where(has_words()).groupBy(keys(text_key(F.col("text")))).agg(F.min(row).alias("_row"))
+    return one.join(kept, KEYS).select("_row.*").select(COLUMNS).unionByName(docs.where(~has_words()))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -83,11 +92,22 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     then its first ``rest`` words.
     """
     docs = docs.select(COLUMNS)
-    mixed = numbered(mix(docs).withColumnRenamed("doc_id", "m_id"), "m_id", F.col("text_key")).where("taken > 0")
-    joined = numbered(docs, "doc_id", text_key(F.col("text"))).join(
-        mixed.select("_id", "_tk", "_copy", "size", "taken", "epochs", "rest"), ["_id", "_tk", "_copy"]
+    mixed = mixed_groups(docs).select(
+        *keys(F.col("text_key")), *source_keys(), "size", "source_size", "budget", F.col("at").alias("_at")
+    )
+    equal = (
+        docs.where(has_words())
+        .groupBy(*keys(text_key(F.col("text"))), *source_keys(), *[c for c in COLUMNS if c != "text"])
+        .agg(F.count(F.lit(1)).alias("copies"), F.min("text").alias("text"))
+    )
+    shared = [*KEYS, "_source", "_no_source"]
+    placed = (
+        equal.withColumn("_before", earlier_sum("copies", shared, ["lang", "n_chars"]))
+        .join(mixed, shared)
+        .withColumn("at", F.col("_at") + F.col("_before") * F.col("size"))
     )
-    return joined.select(*COLUMNS, "size", "taken", "epochs", "rest")
+    out = shared_out(placed.select(*COLUMNS, "size", "source_size", "budget", "copies", "at"))
+    return out.where("taken > 0").select(*COLUMNS, "size", "taken", "epochs", "rest")
 
 
 STAGES = [
