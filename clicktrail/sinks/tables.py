@@ -13,14 +13,19 @@ from clicktrail.operators.contracts import conform, first_per_key, new_rows
 from clicktrail.operators.retention import KEEP, retain
 from clicktrail.schemas import TableContract
 from clicktrail.sources.tables import (
+    COMPACTED,
+    SOURCES,
     STORAGE_COLUMNS,
+    compacted_folders,
     exists,
+    file_bytes,
     file_system,
     folders,
     jdbc_options,
     read_days,
     read_jdbc,
     read_table,
+    replaced_batches,
     stored_days,
 )
 
@@ -196,10 +201,13 @@ def drop_expired(
 
     Days that lie wholly before the cut-off go as directories, without being
     read. Only the day of the cut-off is rewritten, batch by batch, and its
-    batches that have nothing left are dropped. Every step can be repeated.
+    batches that have nothing left are dropped, as are folders that compaction has
+    replaced. Every step can be repeated.
     """
     cut_off = instant(as_of) - interval(keep)
     cut_day = spark.range(1).select(F.to_date(cut_off)).first()[0]
+    for name in replaced_batches(spark, compacted_folders(spark, path, [cut_day])).get(cut_day.isoformat(), ()):
+        _delete(spark, f"{path}/date={cut_day.isoformat()}/{name}")
     for day in stored_days(spark, path):
         if day < cut_day:
             _delete(spark, f"{path}/date={day.isoformat()}")
@@ -219,47 +227,54 @@ def drop_expired(
         _delete(spark, f"{path}/date={cut_day.isoformat()}/query={query}/batch_id={batch_id}")
 
 
-COMPACTED = "compacted"
-#: Lists, inside a compacted folder, the batch folders that it replaces; readers skip names that begin so.
-SOURCES = "_sources"
+#: Bytes of the batch folders that go into one file of a compacted day.
+FILE_BYTES = 128 << 20
 
 
-def compact_day(spark: SparkSession, path: str, contract: TableContract, day: dt.date) -> None:
+def compact_day(spark: SparkSession, path: str, contract: TableContract, day: dt.date, remove: bool = True) -> None:
     """Gather the batches of a closed day into one folder with few files.
 
     A day is closed when no query can write to it or replay a batch of it any
     more. The rows are written aside, moved into the table with the list of
     the folders they come from, and then those folders go. Whatever step a
-    crash interrupts, calling it again finishes the job: folders that are
-    listed are never read again, only removed. Between the move and the removal
-    a reader sees rows twice, so readers of that day should wait.
+    crash interrupts, calling it again finishes the job.
+
+    The move is what readers see: before it they read the batch folders, after
+    it the compacted one, and never both (:func:`read_table`, :func:`read_days`).
+    A query that was planned before and still runs fails when its files go; with
+    ``remove=False`` they stay until the day is compacted again. Only then does
+    the list go, too, once nothing of it is left.
     """
     folder = f"{path}/date={day.isoformat()}"
     done = f"{folder}/query={COMPACTED}"
-    batches = [
+    lists = compacted_folders(spark, path, [day])
+    replaced = replaced_batches(spark, lists).get(day.isoformat(), set())
+    batches = {
         f"{query}/{batch}" for query in folders(spark, folder) for batch in folders(spark, f"{folder}/{query}")
-    ]
-    replaced = set()
-    for batch in folders(spark, done):
-        if exists(spark, f"{done}/{batch}/{SOURCES}"):
-            replaced |= {row.value for row in spark.read.text(f"{done}/{batch}/{SOURCES}").collect()}
-    for name in replaced.intersection(batches):
+    }
+    for name in sorted(replaced & batches):
         _delete(spark, f"{folder}/{name}")
-    left = sorted(set(batches) - replaced)
+    for compacted in lists:
+        # one that is itself replaced has gone
+        if compacted.split("/")[-1] in folders(spark, done):
+            _delete(spark, f"{compacted}/{SOURCES}")
+    left = sorted(batches - replaced)
     if len(left) < 2:
         return
     taken = [int(b.removeprefix("batch_id=")) for b in folders(spark, done)]
     aside = f"{path}/_compacting/{day.isoformat()}"
     rows = spark.read.schema(contract.schema).parquet(*[f"{folder}/{name}" for name in left])
-    rows.coalesce(1 + len(left) // 1_000).write.mode("overwrite").parquet(aside)
+    files = 1 + sum(file_bytes(spark, f"{folder}/{name}") for name in left) // FILE_BYTES
+    rows.coalesce(files).write.mode("overwrite").parquet(aside)
     spark.createDataFrame([(name,) for name in left], "value string").coalesce(1).write.text(f"{aside}/{SOURCES}")
     source, fs = file_system(spark, aside)
     target, _ = file_system(spark, f"{done}/batch_id={max(taken, default=-1) + 1}")
     fs.mkdirs(target.getParent())
     if not fs.rename(source, target):
         raise OSError(f"{aside} could not be moved to {target}")
-    for name in left:
-        _delete(spark, f"{folder}/{name}")
+    if remove:
+        for name in left:
+            _delete(spark, f"{folder}/{name}")
 
 
 def _delete(spark: SparkSession, path: str) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +18,53 @@ from clicktrail.schemas import TableContract
 STORAGE_COLUMNS = ("date", "query", "batch_id")
 
 
+#: The query name of compacted folders.
+COMPACTED = "compacted"
+#: Lists, inside a compacted folder, the batch folders that it replaces; readers skip names that begin so.
+SOURCES = "_sources"
+
+
 def read_table(spark: SparkSession, path: str, contract: TableContract) -> DataFrame:
     """A table the engine wrote, in contract layout; filters on ``date`` prune partitions."""
-    return spark.read.schema(_stored_schema(contract)).parquet(path)
+    return _live(spark, path, lambda: spark.read.schema(_stored_schema(contract)).parquet(path))
+
+
+def compacted_folders(spark: SparkSession, path: str, days: Iterable[dt.date] | None = None) -> list[str]:
+    """Compacted folders, of all or of some days, whose lists of what they replace are still kept."""
+    dates = ["*"] if days is None else sorted({day.isoformat() for day in days})
+    found = []
+    for date in dates:
+        pattern, fs = file_system(spark, f"{path}/date={date}/query={COMPACTED}/batch_id=*/{SOURCES}")
+        found += [status.getPath().getParent().toString() for status in fs.globStatus(pattern) or []]
+    return sorted(found)
+
+
+def replaced_batches(spark: SparkSession, compacted: Iterable[str]) -> dict[str, set[str]]:
+    """By day, the batch folders (``query=.../batch_id=...``) that compacted folders hold the rows of."""
+    replaced: dict[str, set[str]] = {}
+    for folder in compacted:
+        date = folder.split("/")[-3].removeprefix("date=")
+        replaced.setdefault(date, set()).update(row.value for row in spark.read.text(f"{folder}/{SOURCES}").collect())
+    return replaced
+
+
+def _live(spark: SparkSession, path: str, read: Callable[[], DataFrame], days: Iterable[dt.date] | None = None) -> DataFrame:
+    """The rows of stored folders that no compacted folder replaces, each once while a compaction goes on.
+
+    Spark lists the files when ``read`` is called. The compacted folders are
+    looked up before and after: if they are the same, none came in between, so
+    the files listed are those of one state; if not, all is read again.
+    """
+    while True:
+        before = compacted_folders(spark, path, days)
+        rows = read()
+        if compacted_folders(spark, path, days) == before:
+            break
+    folder = F.concat(F.lit("query="), F.col("query"), F.lit("/batch_id="), F.col("batch_id").cast("string"))
+    for date, names in replaced_batches(spark, before).items():
+        hidden = (F.col("date") == F.lit(date).cast("date")) & folder.isin(sorted(names))
+        rows = rows.where(~F.coalesce(hidden, F.lit(False)))
+    return rows
 
 
 def _stored_schema(contract: TableContract) -> T.StructType:
@@ -58,6 +102,12 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(location) if status.isDirectory()]
 
 
+def file_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in a folder."""
+    location, fs = file_system(spark, path)
+    return fs.getContentSummary(location).getLength()
+
+
 def fingerprint(spark: SparkSession, path: str) -> tuple:
     """Names, lengths and times of the files of a table, which change when its data does."""
     location, fs = file_system(spark, path)
@@ -76,11 +126,14 @@ def stored_days(spark: SparkSession, path: str) -> list[dt.date]:
 
 def read_days(spark: SparkSession, path: str, contract: TableContract, days: Iterable[dt.date]) -> DataFrame | None:
     """Those days of a stored table, no other folder being listed; None if none of them is stored."""
-    names = [f"{path}/date={day.isoformat()}" for day in sorted(set(days))]
+    days = sorted(set(days))
+    names = [f"{path}/date={day.isoformat()}" for day in days]
     there = [name for name in names if exists(spark, name)]
     if not there:
         return None
-    return spark.read.schema(_stored_schema(contract)).option("basePath", path).parquet(*there)
+    return _live(
+        spark, path, lambda: spark.read.schema(_stored_schema(contract)).option("basePath", path).parquet(*there), days
+    )
 
 
 def read_since(

@@ -9,6 +9,7 @@ from clicktrail.schemas import CHECKOUTS, PRODUCTS, ROLLUPS, USERS
 from clicktrail.session import work_dir
 from clicktrail.sinks import tables, topics
 from clicktrail.sinks.tables import compact_day, drop_expired, drop_old_versions, load_dimension, read_dimension, write_batch
+from clicktrail.sources import tables as sources
 from clicktrail.sources.tables import (
     CSV_OPTIONS,
     JdbcRange,
@@ -251,3 +252,53 @@ def test_compacted_days_hold_the_same_rows_in_one_folder(spark, monkeypatch):
     compact_day(spark, path, SOURCES, day)
     assert rows(read_rows(spark, path, SOURCES)) == sorted([*want, (9, "late", NOON)], key=repr)
     assert stored_days(spark, path) == [day, day + dt.timedelta(days=1)]
+
+
+def test_readers_see_each_row_once_while_a_day_is_compacted(spark, monkeypatch):
+    path, day = work_dir(spark, "t"), NOON.date()
+    for n in range(3):
+        write_batch(counts(spark, (f"s{n}", n, NOON), ("x", n, NOON + dt.timedelta(days=1))), path, SOURCES, n)
+    want = rows(read_rows(spark, path, SOURCES))
+    planned = read_rows(spark, path, SOURCES)
+    compact_day(spark, path, SOURCES, day, remove=False)
+    assert len(folders(spark, f"{path}/date={day}/query=batch")) == 3  # both copies are there
+    assert rows(planned) == want
+    assert rows(read_rows(spark, path, SOURCES)) == want
+    assert rows(read_days(spark, path, SOURCES, [day]).select(*SOURCES.columns)) == [r for r in want if r[2] == NOON]
+
+    write_batch(counts(spark, ("late", 9, NOON)), path, SOURCES, 9)
+    want = sorted([*want, (9, "late", NOON)], key=repr)
+    real, calls = sources.compacted_folders, []
+
+    def moved_meanwhile(*args):
+        calls.append(args)
+        found = real(*args)
+        if len(calls) == 1:  # the day is compacted after the first look
+            compact_day(spark, path, SOURCES, day)
+        return found
+
+    monkeypatch.setattr(sources, "compacted_folders", moved_meanwhile)
+    assert rows(read_rows(spark, path, SOURCES)) == want
+    assert len(calls) == 4  # looked again
+    for _ in range(2):
+        compact_day(spark, path, SOURCES, day)
+    assert real(spark, path) == []
+
+
+def test_retention_of_a_compacted_day_revives_no_row(spark):
+    path, day = work_dir(spark, "t"), NOON.date()
+    for n in range(4):
+        write_batch(counts(spark, (f"s{n}", n, NOON + dt.timedelta(hours=n))), path, SOURCES, n)
+    compact_day(spark, path, SOURCES, day, remove=False)
+    drop_expired(spark, path, SOURCES, as_of=NOON + dt.timedelta(days=7, hours=2), keep="7 days")
+    assert {r.source for r in read_rows(spark, path, SOURCES).collect()} == {"s2", "s3"}
+
+
+def test_a_compacted_day_has_files_by_its_bytes(spark, monkeypatch):
+    path, day = work_dir(spark, "t"), NOON.date()
+    for n in range(6):
+        write_batch(counts(spark, (f"s{n}", n, NOON)), path, SOURCES, n)
+    monkeypatch.setattr(tables, "FILE_BYTES", 2_000)
+    compact_day(spark, path, SOURCES, day)
+    assert len(spark.read.parquet(f"{path}/date={day}").inputFiles()) > 1
+    assert read_rows(spark, path, SOURCES).count() == 6
