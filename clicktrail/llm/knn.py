@@ -12,14 +12,20 @@ all blocks are merged.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clicktrail.llm.common import broadcast_below, in_pandas, stored
+from clicktrail.llm.common import in_pandas, stored
 
-PIVOTS, RINGS = 64, 4
+#: Pivots of a dimension are the square root of the rows, within these bounds; more rows make larger cells.
+FEWEST_PIVOTS, MOST_PIVOTS = 64, 4_096
+RINGS = 4
+#: Vectors that are compared with the pivots at a time.
+STEP = 1_024
 #: Vectors in a block and queries in a group.
 BLOCK, GROUP = 2_048, 512
 TOP = 5
@@ -69,9 +75,14 @@ def _matrix(column, dim: int) -> np.ndarray:
 def _cells_of(pivots: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
     """``pivots``: per dimension, the pivots' rows and vectors."""
 
+    def slices(batch):
+        for dim, part in batch.groupby("dim"):
+            for first in range(0, len(part), STEP):
+                yield dim, part.iloc[first : first + STEP]
+
     def cells(batches):
         for batch in batches:
-            for dim, part in batch.groupby("dim"):
+            for dim, part in slices(batch):
                 v = np.stack([np.asarray(x, np.int64) for x in part["v"]])
                 rows, centres = pivots[dim]
                 scores = exact_products(v, centres)
@@ -79,12 +90,11 @@ def _cells_of(pivots: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
                 squares = (centres.astype(float) ** 2).sum(axis=1)
                 cell = (squares[None, :] - 2.0 * scores).argmin(axis=1)
                 distance = np.sqrt(((v.astype(float) - centres[cell]) ** 2).sum(axis=1))
-                known = np.where(part["row"].to_numpy()[:, None] == rows[None, :], np.iinfo(np.int64).min, scores)
-                have = known.shape[1] - (known == np.iinfo(np.int64).min).sum(axis=1)
+                # its own row does not count among what a pivot reaches
+                known = np.where(part["row"].to_numpy()[:, None] == rows[None, :], -np.inf, scores.astype(float))
                 reach = np.full(len(v), -np.inf)
                 if known.shape[1] >= k:
-                    best = -np.sort(-known, axis=1)[:, k - 1].astype(float)
-                    reach = np.where(have >= k, best, -np.inf)
+                    reach = -np.partition(-known, k - 1, axis=1)[:, k - 1]
                 yield pd.DataFrame(
                     {
                         "row": part["row"], "vec_id": part["vec_id"], "dim": part["dim"], "v": [x.tobytes() for x in v],
@@ -95,25 +105,30 @@ def _cells_of(pivots: dict[int, tuple[np.ndarray, np.ndarray]], k: int):
     return cells
 
 
-def _plan(pivots, rings: pd.DataFrame, groups: pd.DataFrame) -> list[tuple[int, int, int, int]]:
-    """(dim, group, cell, ring) wherever a vector of the ring may score as high as some query of the group needs.
+PLAN = "dim int, group int, cell int, ring int"
+
+
+def _plan_of(pivots, rings: pd.DataFrame):
+    """For rows (dim, group, cell, radius, reach) the rings with a vector that may score as high as some of these queries needs.
 
     For a query q in cell i (radius R) and a vector x of cell j at distance at
     most d from its pivot: q.x <= pi.pj + |pi| d + R |pj| + R d.
     """
-    plan = []
-    for dim, of_dim in groups.groupby("dim"):
-        centres = pivots[dim][1].astype(float)
-        norms = np.sqrt((centres**2).sum(axis=1))
-        products = centres @ centres.T
-        mine = rings[rings["dim"] == dim]
-        j, d = mine["cell"].to_numpy(), mine["far"].to_numpy()
-        for group, parts in of_dim.groupby("group"):
-            needed = np.zeros(len(mine), bool)
-            for cell, radius, reach in zip(parts["cell"], parts["radius"], parts["reach"], strict=True):
-                most = products[cell, j] + norms[cell] * d + radius * norms[j] + radius * d
-                needed |= most * (1 + SLACK * np.sign(most)) + 1e-6 >= reach
-            plan += [(int(dim), int(group), int(c), int(r)) for c, r in zip(j[needed], mine["ring"].to_numpy()[needed], strict=True)]
+
+    def plan(batches):
+        for batch in batches:
+            for dim, part in batch.groupby("dim"):
+                centres = pivots[dim][1].astype(float)
+                norms = np.sqrt((centres**2).sum(axis=1))
+                mine = rings[rings["dim"] == dim]
+                j, d, ring = (mine[c].to_numpy() for c in ("cell", "far", "ring"))
+                for r in part.itertuples(index=False):
+                    products = centres @ centres[r.cell]
+                    most = products[j] + norms[r.cell] * d + r.radius * norms[j] + r.radius * d
+                    needed = most * (1 + SLACK * np.sign(most)) + 1e-6 >= r.reach
+                    found = pd.DataFrame({"cell": j[needed], "ring": ring[needed]}).assign(dim=dim, group=r.group)
+                    yield found[["dim", "group", "cell", "ring"]]
+
     return plan
 
 
@@ -165,7 +180,7 @@ NO_ID = 2**63 - 1
 
 
 def top_k(
-    vectors: DataFrame, is_query, k: int = TOP, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int = PIVOTS
+    vectors: DataFrame, is_query, k: int = TOP, id_col: str = "vec_id", vector_col: str = "embedding", pivots: int | None = None
 ) -> DataFrame:
     """Each query's k best other rows by integer inner product: query_id, rank (from 1), vec_id, score.
 
@@ -179,17 +194,8 @@ def top_k(
     numbered = stored(
         integer_vectors(vectors, id_col, vector_col).withColumn("is_query", F.coalesce(is_query, F.lit(False))), "knn-vectors"
     )
-    dims = [row.dim for row in numbered.select("dim").distinct().collect()]
-    centres = {}
-    for dim in sorted(dims):
-        chosen = (
-            numbered.where(F.col("dim") == dim)
-            .select("row", "v")
-            .orderBy(F.xxhash64(F.lit("pivot"), "row"))
-            .limit(pivots)
-            .collect()
-        )
-        centres[dim] = (np.array([r.row for r in chosen]), np.array([r.v for r in chosen], np.int64).reshape(len(chosen), dim))
+    pivots = pivots or min(MOST_PIVOTS, max(FEWEST_PIVOTS, math.isqrt(numbered.count())))
+    centres = _pivots(numbered, pivots)
     cells = stored(in_pandas(numbered, _cells_of(centres, k), CELLS), "knn-cells")
 
     radius = cells.groupBy("dim", "cell").agg(F.max("distance").alias("radius"))
@@ -210,7 +216,7 @@ def top_k(
         "group", F.col("first") + F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
     )
     needs = grouped.groupBy("dim", "group", "cell").agg(F.max("distance").alias("radius"), F.min("reach").alias("reach"))
-    plan = _plan(centres, rings_here, needs.toPandas())
+    plan = stored(in_pandas(needs, _plan_of(centres, rings_here), PLAN).distinct(), "knn-plan")
     packs = grouped.groupBy("dim", "group").agg(
         F.collect_list("row").alias("q_rows"), F.collect_list("vec_id").alias("q_ids"),
         F.collect_list("v").alias("q_v"), F.collect_list("reach").alias("q_reach"),
@@ -230,13 +236,18 @@ def top_k(
             F.collect_list("v").alias("v"),
         )
     )
-    plan_table = spark.createDataFrame(plan, "dim int, group int, cell int, ring int")
     # a group's blocks are spread over several tasks, each with a copy of the group's queries
     spread = max(1, -(-int(rings_here["count"].sum()) // (16 * BLOCK)))
-    sent = blocks.join(broadcast_below(plan_table, len(plan), 1_000_000), ["dim", "cell", "ring"]).withColumn(
-        "salt", F.pmod(F.xxhash64("cell", "ring", "split"), F.lit(spread))
+    salt = F.pmod(F.xxhash64("cell", "ring", "split"), F.lit(spread)).alias("salt")
+    sent = blocks.join(plan, ["dim", "cell", "ring"]).withColumn("salt", salt)
+    splits = F.sequence(F.lit(0).cast("long"), F.col("splits").cast("long") - 1)
+    wanted = (
+        plan.join(ring_table, ["dim", "cell", "ring"])
+        .withColumn("split", F.explode(splits))
+        .select("dim", "group", salt)
+        .distinct()
     )
-    asking = packs.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
+    asking = packs.join(wanted, ["dim", "group"])
     met = sent.join(asking, ["dim", "group", "salt"]).select(
         "dim", "rows", "ids", "v", "far", "centre", "q_rows", "q_ids", "q_v", "q_reach"
     )
@@ -249,6 +260,17 @@ def top_k(
     )
 
 
+def _pivots(numbered: DataFrame, pivots: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per dimension the rows and vectors of pivots, those of the smallest hashes."""
+    by_hash = Window.partitionBy("dim").orderBy(F.xxhash64(F.lit("pivot"), "row"))
+    first = numbered.select("dim", "row", F.row_number().over(by_hash).alias("place")).where(F.col("place") <= pivots)
+    chosen = numbered.join(first.select("row"), "row").select("dim", "row", "v").orderBy("row").toPandas()
+    return {
+        int(dim): (part["row"].to_numpy(), np.array(part["v"].tolist(), np.int64).reshape(len(part), dim))
+        for dim, part in chosen.groupby("dim")
+    }
+
+
 def _grouped(centres, sizes: pd.DataFrame) -> list[tuple[int, int, int, int]]:
     """(dim, cell, first group, parts): cells in the order of their pivots along one direction, packed into groups."""
     out, group = [], 0

@@ -7,6 +7,7 @@ import re
 import time
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -235,8 +236,6 @@ def test_top_k_equals_brute_force(spark, monkeypatch, pivots, group, block):
 
 
 def test_products_are_exact_or_saturate():
-    import numpy as np
-
     a = np.array([[2**40 + 1, 3], [2**62, 2**62]])
     assert knn.exact_products(a[:1], np.array([[2**20, 1]])).tolist() == [[(2**40 + 1) * 2**20 + 3]]
     assert knn.exact_products(a[1:], np.array([[4, 4], [-4, -4]])).tolist() == [[2**63 - 1, -(2**63)]]
@@ -258,3 +257,37 @@ def test_components(spark):
     assert sorted(map(sorted, groups.values())) == [list(range(11)), list(range(11, 26)), list(range(26, 41)), [100, 101]]
     assert all(c in g for c, g in groups.items())
     assert connected_components(spark.createDataFrame([(1, 1)], "a long, b long")).isEmpty()
+
+
+def test_a_query_that_is_a_pivot_finds_all_its_best(spark):
+    # cells hold one vector each, so the bounds are the scores themselves
+    vectors = spark.createDataFrame([(n, [float(10 - n), float(n * n % 7)]) for n in range(10)], "vec_id long, embedding array<double>")
+    found = knn.top_k(vectors, F.col("vec_id") == 0).collect()
+    scores = sorted(((10 - n) * 10 * 2**16, -n) for n in range(1, 10))[::-1][:5]
+    assert sorted((r["rank"], r.vec_id, r.score) for r in found) == [(p + 1, -n, s) for p, (s, n) in enumerate(scores)]
+
+
+def test_pivots_grow_with_the_rows_and_few_rings_are_sent(spark, monkeypatch):
+    # 40 far clusters; the best partners of a query lie in its own
+    centre = lambda n: [400.0 if d == n % 40 else 0.0 for d in range(40)]
+    data = [(n, [c + (n * 31 % 97 + d) % 5 / 10 for d, c in enumerate(centre(n))]) for n in range(6_000)]
+    vectors = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    plans, real = [], knn.stored
+
+    def kept(df, name):
+        out = real(df, name)
+        if name == "knn-plan":
+            plans.append(out)
+        return out
+
+    monkeypatch.setattr(knn, "stored", kept)
+    monkeypatch.setattr(knn, "GROUP", 8)
+    found = knn.top_k(vectors, F.col("vec_id") % 50 == 0)
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in found.collect()}
+    v = np.floor(256 * np.array([x for _, x in data])).astype(np.int64)
+    for q in range(0, 6_000, 50):
+        scores = v @ v[q]
+        best = sorted((-int(s), n) for n, s in enumerate(scores) if n != q)[:5]
+        assert [got[(q, p + 1)] for p in range(5)] == [(n, -s) for s, n in best]
+    groups = plans[0].select("group").distinct().count()
+    assert plans[0].count() < groups * 77 * knn.RINGS / 2  # 77 pivots; sent everywhere, it would be all of their rings
