@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clicktrail.functions.temporal import bucket_start, interval, micros
+from clicktrail.operators.skew import Salts, copied, salted, tasks_of
 from clicktrail.schemas import CLICK_COLUMNS, CLICK_PAYLOAD
 
 LOOKBACK = "10 minutes"
@@ -80,7 +81,7 @@ def final_clicks_second_join(clicks: DataFrame, window: str = LOOKBACK) -> DataF
 
 
 def interval_attribution(
-    purchases: DataFrame, first_clicks: DataFrame, lookback: str = LOOKBACK, salts: int = 1
+    purchases: DataFrame, first_clicks: DataFrame, lookback: str = LOOKBACK, salts: Salts = 1
 ) -> DataFrame:
     """Purchases joined to first clicks with click <= purchase <= click + lookback.
 
@@ -90,8 +91,9 @@ def interval_attribution(
     equi-join on (user, bucket) with the range as a residual: a user's history
     is cut into buckets, a purchase meets at most two candidates, and batch
     skew handling can split a hot bucket's purchases. Micro-batches have no
-    skew handling, so streams may spread each key's purchases over ``salts``
-    tasks and repeat the few first clicks once per task.
+    skew handling, so streams may spread the purchases of hot users (or of all)
+    over the tasks that ``salts`` names and repeat their few first clicks once
+    per task; other users' clicks are not copied.
 
     The event time of streamed :func:`first_click_per_window` rows is
     ``closes_at``. The range on it follows from the range on ``click_time``
@@ -115,9 +117,10 @@ def interval_attribution(
     )
     if windowed:
         condition = condition & bought.between(F.col("closes_at") - length, F.col("closes_at") + length)
-    if salts > 1:
-        candidates = candidates.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        keyed = keyed.withColumn("_salt", F.pmod(F.xxhash64("purchase_id"), F.lit(salts)).cast("int"))
+    tasks = tasks_of(salts, "user_id")
+    if tasks is not None:
+        candidates = copied(candidates, tasks_of(salts, "user_id", "_user"), "_copy")
+        keyed = salted(keyed, tasks, "purchase_id")
         condition = condition & (F.col("_salt") == F.col("_copy"))
     return keyed.join(candidates, condition).select(*purchases.columns, *CLICK_PAYLOAD)
 

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clicktrail.operators.skew import Salts, copied, salted, tasks_of
 from clicktrail.schemas import MONEY, ORDER_TOTAL, RATE, UNITS
 
 #: Payload columns that only feed the recomputation.
 INPUTS_ONLY = ("price", "discount", "shipping_cost", "commission_rate")
 
 
-def join_dimension(facts: DataFrame, dimension: DataFrame, key: str, salts: int = 1) -> DataFrame:
+def join_dimension(facts: DataFrame, dimension: DataFrame, key: str, salts: Salts = 1) -> DataFrame:
     """Inner join of facts to a dimension that is unique on ``key``.
 
     In batch Spark itself broadcasts the dimension when its size is under
@@ -20,18 +21,18 @@ def join_dimension(facts: DataFrame, dimension: DataFrame, key: str, salts: int
     run-time sizes nor skew handling: a batch without new input even looks
     empty to the planner while its state is releasing rows. So a stream states
     the side: the dimension is broadcast when its own size passes the same
-    threshold and merge-joined when not, and then ``salts`` > 1 spreads every
-    key's facts over that many tasks and repeats each dimension row once per
-    task.
+    threshold and merge-joined when not, and then ``salts`` spreads the facts of
+    hot keys (or of all) over several tasks and repeats their dimension rows once
+    per task; other rows are not copied.
     """
     small = facts.isStreaming and _is_small(dimension)
     if small:
         return facts.join(F.broadcast(dimension), key)
     keys = [key]
-    if salts > 1:
+    tasks = tasks_of(salts, key)
+    if tasks is not None:
         keys.append("_salt")
-        facts = facts.withColumn("_salt", F.pmod(F.xxhash64("purchase_id"), F.lit(salts)).cast("int"))
-        dimension = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        facts, dimension = salted(facts, tasks, "purchase_id"), copied(dimension, tasks)
     if facts.isStreaming:
         dimension = dimension.hint("merge")
     return facts.join(dimension, keys).drop("_salt")
@@ -65,7 +66,7 @@ def with_profit(purchases: DataFrame) -> DataFrame:
 
 
 def enrich_purchases(
-    purchases: DataFrame, users: DataFrame, products: DataFrame, salts: int = 1
+    purchases: DataFrame, users: DataFrame, products: DataFrame, salts: Salts = 1
 ) -> DataFrame:
     """Purchases with known user and product, recomputed total and profit.
 

@@ -18,6 +18,7 @@ from clicktrail.operators.attribution import (
     trailing_first_click,
 )
 from clicktrail.operators.enrich import enrich_purchases
+from clicktrail.operators.skew import Salts
 from clicktrail.schemas import CHECKOUTS
 
 
@@ -27,7 +28,7 @@ def windowed_checkouts(
     users: DataFrame,
     products: DataFrame,
     lookback: str = LOOKBACK,
-    salts: int = 1,
+    salts: Salts = 1,
 ) -> DataFrame:
     """Checkouts against the first click of each tumbling window.
 
@@ -44,7 +45,7 @@ def checkouts_of_first_clicks(
     users: DataFrame,
     products: DataFrame,
     lookback: str = LOOKBACK,
-    salts: int = 1,
+    salts: Salts = 1,
 ) -> DataFrame:
     """Checkouts against first clicks that were picked before."""
     attributed = interval_attribution(purchases, first_clicks, lookback, salts)

@@ -259,6 +259,14 @@ FROM checkouts GROUP BY purchase_id HAVING count(*) > 1 OR purchase_id IS NULL""
         "stream_state_after_flush": _with(CLICKS)
         + """SELECT 'flush' AS user_id, TIMESTAMP '2100-01-01 00:00:00' AS window_start FROM (SELECT count(*) AS n FROM clicks)
 WHERE n > 0""",
+        "hot_keys_purchases": _with(PURCHASES)
+        + "\nUNION ALL ".join(
+            f"""SELECT '{key}' AS key, CAST({key} AS VARCHAR) AS value, CAST(count(*) AS BIGINT) AS "rows",
+  (SELECT CAST(count({key}) AS BIGINT) FROM purchases) AS all_rows FROM purchases WHERE {key} IS NOT NULL
+GROUP BY {key} HAVING 100 * count(*) >= (SELECT count({key}) FROM purchases)"""
+            for key in ("user_id", "product_id")
+        ),
+        "stream_hot_key_checkouts": conformed_day,
         "stream_checkouts_sink": conformed_day
         + " QUALIFY row_number() OVER (PARTITION BY purchase_id ORDER BY click_time, click_id) = 1",
         "stream_min_click": _with(CLICKS)

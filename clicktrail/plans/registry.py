@@ -30,10 +30,12 @@ from clicktrail.operators import attribution, reports
 from clicktrail.operators.contracts import conform, key_violations
 from clicktrail.operators.enrich import enrich_purchases
 from clicktrail.operators.rollups import rollup, rollup_cube, rollup_from_cube, with_status
+from clicktrail.operators.skew import hot_keys
 from clicktrail.plans import testdata_views as views
 from clicktrail.plans.checkouts import trailing_checkouts, windowed_checkouts
 from clicktrail.plans.stored import once, read_rollup, stored_checkouts, stored_cube, write_rollup
 from clicktrail.plans.streams import (
+    checkouts_of_hot_keys,
     checkouts_table,
     faulty_messages,
     final_clicks_topic,
@@ -270,6 +272,17 @@ def stream_checkouts_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return at_edge(checkouts_table(spark, sf_dir, DAY, AVAILABLE_NOW))
 
 
+def hot_keys_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users and products that at least one purchase in a hundred has."""
+    purchases = views.purchases(spark, sf_dir)
+    return hot_keys(purchases, "user_id").unionByName(hot_keys(purchases, "product_id"))
+
+
+def stream_hot_key_checkouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The streamed attribution join with only its hot users and products salted."""
+    return at_edge(checkouts_of_hot_keys(spark, sf_dir, DAY, AVAILABLE_NOW))
+
+
 def stream_first_click_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return at_edge(trailing_table(spark, sf_dir, DAY, AVAILABLE_NOW))
 
@@ -354,7 +367,9 @@ def all_queries() -> dict[str, Query]:
         "stream_on_time_events": partial(stream_late_events, table="clicks"),
         "stream_late_events": partial(stream_late_events, table="clicks_late"),
         "stream_rejects": stream_rejects,
+        "hot_keys_purchases": hot_keys_purchases,
         "stream_checkouts_sink": stream_checkouts_sink,
+        "stream_hot_key_checkouts": stream_hot_key_checkouts,
         "stream_first_click_attribution": stream_first_click_attribution,
     }
     for suffix, lookback in (("", TEN_MINUTES), ("_1d", DAY)):

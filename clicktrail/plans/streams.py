@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from clicktrail.functions.codec import check_clicks, decode_clicks, encode_rows
+from clicktrail.functions.codec import check_clicks, decode_clicks, decode_purchases, decode_rows, encode_rows
 from clicktrail.plans import testdata_views as views
 from clicktrail.plans.stored import once
 from clicktrail.schemas import CHECKOUTS, CLICKS, PRODUCTS, ROLLUPS, USERS
@@ -28,6 +28,7 @@ from clicktrail.sinks.topics import append_topic
 from clicktrail.sources.tables import file_system, fingerprint, read_rows
 from clicktrail.sources.topics import load_topics, read_topics, topic_dir
 from clicktrail.streaming.pipeline import (
+    HotIn,
     Timing,
     checkout_stream,
     checkouts_of_topic,
@@ -231,8 +232,8 @@ def final_clicks_topic(spark: SparkSession, sf_dir: str, lookback: str, trigger:
     return decode_clicks(load_topics(spark, root, "final_clicks"), "final_clicks", CLICKS.columns)
 
 
-def checkouts_root(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> str:
-    """Topics to checkouts topic."""
+def checkouts_root(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger, hot: bool = False) -> str:
+    """Topics to checkouts topic; with ``hot``, hot users and products of the staged purchases are salted."""
 
     def run() -> str:
         root, flush = work_dir(spark, "checkouts-stream"), work_dir(spark, "flush")
@@ -246,12 +247,19 @@ def checkouts_root(spark: SparkSession, sf_dir: str, lookback: str, trigger: Tri
                 timing=Timing(lookback=lookback),
                 trigger=trigger,
                 state_partitions=state_shards(spark, sf_dir),
+                hot_in=HotIn(decode_purchases(load_topics(spark, staged_topics(spark, sf_dir), "purchases"))) if hot else None,
             )
 
         run_and_flush(spark, sf_dir, flush, start)
         return root
 
-    return once(spark, sf_dir, "checkouts", lookback, make=run)
+    return once(spark, sf_dir, "checkouts-of-hot-keys" if hot else "checkouts", lookback, make=run)
+
+
+def checkouts_of_hot_keys(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> DataFrame:
+    """Topics to checkouts topic with salted hot keys, decoded."""
+    root = checkouts_root(spark, sf_dir, lookback, trigger, hot=True)
+    return decode_rows(load_topics(spark, root, "checkouts"), "checkouts", CHECKOUTS.schema)
 
 
 def checkouts_table(spark: SparkSession, sf_dir: str, lookback: str, trigger: Trigger) -> DataFrame:

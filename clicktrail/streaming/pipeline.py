@@ -26,19 +26,20 @@ from clicktrail.functions.temporal import micros
 from clicktrail.operators.attribution import LOOKBACK, final_clicks, min_click
 from clicktrail.operators.contracts import latest_versions, settled_first_rows
 from clicktrail.operators.rollups import WINDOW, rollup_cube, rollup_from_cube
+from clicktrail.operators.skew import ONE_IN, Salts, as_salts, salts_for
 from clicktrail.plans.checkouts import checkouts_of_first_clicks, windowed_checkouts
 from clicktrail.schemas import CHECKOUT_MESSAGE, CHECKOUTS, CLICKS, CUBE, MIN_CLICK_MESSAGE, ROLLUPS, TableContract
 from clicktrail.session import stateful_stream_conf
 from clicktrail.sinks.tables import Store, query_id, write_batch, writers
 from clicktrail.sinks.topics import TopicSink, topic_sink
-from clicktrail.sources.tables import read_table
+from clicktrail.sources.tables import exists, read_table
 from clicktrail.streaming.triggers import ROLLUP_TRIGGER, Trigger, with_trigger
 
 BatchWriter = Callable[[DataFrame, int], None]
 
 #: Tasks that share one key's purchases in a streamed join, where nothing splits
-#: a hot key at run time; every first click is repeated for each. The join key,
-#: user and lookback bucket, is fine already, so only known hot users need more.
+#: a hot key at run time. The join key, user and lookback bucket, is fine
+#: already, so only hot users need more: see :class:`HotIn`.
 SALTS = 1
 
 
@@ -51,13 +52,42 @@ class Timing:
     window: str = WINDOW
 
 
+@dataclass(frozen=True)
+class HotIn:
+    """Purchases at hand (of the day before, say) in which hot users and products are looked up.
+
+    A value is hot if at least one row in ``one_in`` has it.
+    """
+
+    purchases: DataFrame
+    one_in: int = ONE_IN
+
+
+def remembered_salts(hot_in: HotIn, checkpoint: str) -> Salts:
+    """Salts of hot users and products, found when a checkpoint is first used and the same ever after.
+
+    State is dealt out by salt, so other salts would part purchases from the
+    clicks that are waiting for them. They are stored beside the checkpoint
+    before the query first starts; a write that was cut off is done again. A
+    checkpoint that was started without them is refused.
+    """
+    spark, path = hot_in.purchases.sparkSession, f"{checkpoint.rstrip('/')}-salts"
+    if not exists(spark, f"{path}/_SUCCESS"):
+        if exists(spark, f"{checkpoint}/offsets"):
+            raise ValueError(f"{checkpoint} was started without salts of hot keys")
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        found = salts_for(hot_in.purchases, ("user_id", "product_id"), tasks, hot_in.one_in)
+        found.coalesce(1).write.mode("overwrite").parquet(path)
+    return as_salts(spark.read.schema("key STRING, value STRING, tasks INT").parquet(path))
+
+
 def checkout_stream(
     click_events: DataFrame,
     purchase_events: DataFrame,
     users: DataFrame,
     products: DataFrame,
     timing: Timing = Timing(),
-    salts: int = SALTS,
+    salts: Salts = SALTS,
     redelivery: bool = False,
 ) -> DataFrame:
     """Attributed checkouts out of streams of click and purchase messages.
@@ -80,7 +110,7 @@ def checkout_stream_of_final_clicks(
     users: DataFrame,
     products: DataFrame,
     timing: Timing = Timing(),
-    salts: int = SALTS,
+    salts: Salts = SALTS,
 ) -> DataFrame:
     """Attributed checkouts when first clicks come from their own topic.
 
@@ -185,16 +215,20 @@ def start_checkouts(
     checkpoint: str,
     timing: Timing = Timing(),
     trigger: Trigger = None,
-    salts: int = SALTS,
+    salts: Salts = SALTS,
     redelivery: bool = False,
     state_partitions: int | None = None,
+    hot_in: HotIn | None = None,
 ) -> StreamingQuery:
     """Attribute purchases to clicks and publish the checkouts topic.
 
     The table and the roll-ups read that topic, so the join and its state
-    exist once.
+    exist once. With ``hot_in`` its hot users and products are salted, instead
+    of all by ``salts``.
     """
     with stateful_stream_conf(click_events.sparkSession, state_partitions):
+        if hot_in is not None:
+            salts = remembered_salts(hot_in, checkpoint)
         checkouts = checkout_stream(
             click_events, purchase_events, users, products, timing, salts, redelivery
         )
