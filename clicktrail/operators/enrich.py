@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,13 +23,11 @@ def join_dimension(facts: DataFrame, dimension: DataFrame, key: str, salts: Salt
     skew handling splits the facts of a hot key. A micro-batch has neither
     run-time sizes nor skew handling: a batch without new input even looks
     empty to the planner while its state is releasing rows. So a stream states
-    the side: the dimension is broadcast when its own size passes the same
-    threshold and merge-joined when not, and then ``salts`` spreads the facts of
-    hot keys (or of all) over several tasks and repeats their dimension rows once
-    per task; other rows are not copied.
+    the side (:func:`of_micro_batches`), and where it is merge-joined ``salts``
+    spreads the facts of hot keys (or of all) over several tasks and repeats
+    their dimension rows once per task; other rows are not copied.
     """
-    small = facts.isStreaming and _is_small(dimension)
-    if small:
+    if facts.isStreaming and _is_small(dimension):
         return facts.join(F.broadcast(dimension), key)
     keys = [key]
     tasks = tasks_of(salts, key)
@@ -38,11 +39,28 @@ def join_dimension(facts: DataFrame, dimension: DataFrame, key: str, salts: Salt
     return facts.join(dimension, keys).drop("_salt")
 
 
+def of_micro_batches(dimension: DataFrame) -> DataFrame:
+    """A dimension that every micro-batch joins anew, with the kind of join it is to have: by broadcast or by merging."""
+    return F.broadcast(dimension) if _is_small(dimension) else dimension.hint("merge")
+
+
 def _is_small(table: DataFrame) -> bool:
-    """Whether the planner's size estimate of a table is under the broadcast threshold."""
+    """Whether a table's rows, and not only its compressed files, are under the broadcast threshold.
+
+    A broadcast passes through the driver as rows, ten and more times the size of
+    their files, and a stream repeats it in every micro-batch. So the planner's
+    estimate, which is that of the files, only saves larger tables the counting.
+    """
     threshold = table.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     estimate = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= threshold
+    return int(str(estimate)) <= threshold and row_bytes(table) <= threshold
+
+
+def row_bytes(table: DataFrame) -> int:
+    """Bytes of a table's rows in memory: eight for each column, and its value as text."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)) for name in table.columns]
+    widths = [F.lit(8) + text for text in texts]
+    return table.agg(F.sum(reduce(add, widths, F.lit(0)))).first()[0] or 0
 
 
 def with_order_total(purchases: DataFrame) -> DataFrame:
