@@ -53,7 +53,7 @@ FLUSHED = ("clicks", "purchases", "checkouts")
 #: A replay has at least so many micro-batches.
 MICRO_BATCHES = 5
 #: Bytes of the events' table for one file of a topic, and for one shard of state (of which there are some at least).
-FILE_BYTES, SHARD_BYTES, LEAST_SHARDS = 32 << 20, 16 << 20, 4
+FILE_BYTES, SHARD_BYTES, LEAST_SHARDS = 4 << 20, 8 << 20, 4
 
 
 def event_bytes(spark: SparkSession, sf_dir: str) -> int:
@@ -61,8 +61,8 @@ def event_bytes(spark: SparkSession, sf_dir: str) -> int:
 
 
 def topic_files(spark: SparkSession, sf_dir: str) -> int:
-    """Files of a staged topic: by its size, and at least one for each micro-batch."""
-    return max(MICRO_BATCHES, -(-event_bytes(spark, sf_dir) // FILE_BYTES))
+    """Files of a staged topic: by its size, equally many for each micro-batch and at least one."""
+    return MICRO_BATCHES * max(1, -(-event_bytes(spark, sf_dir) // (MICRO_BATCHES * FILE_BYTES)))
 
 
 def files_per_batch(spark: SparkSession, sf_dir: str) -> int:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from clicktrail.operators.attribution import first_click_per_window, interval_attribution, trailing_first_click
 from clicktrail.operators.rollups import rollup_cube
-from clicktrail.plans import registry
+from clicktrail.plans import registry, streams
 from clicktrail.plans import testdata_views as views
 from clicktrail.plans.checkouts import windowed_checkouts
 
@@ -90,3 +90,20 @@ def test_cube_shuffles_checkouts_once_after_combining(spark, no_small_tables, tm
     QUERIES["checkouts_1d"](spark, SF_DIR).write.parquet(path)
     text = plan(rollup_cube(spark.read.parquet(path)))
     assert text.count("Exchange hashpartitioning") == 1 and "partial_count" in text
+
+
+def test_a_replay_gets_files_and_shards_by_its_size(spark, monkeypatch):
+    """A larger table is read by more tasks and kept in more shards, in as many micro-batches."""
+    key = "spark.sql.shuffle.partitions"
+    before, sizes = spark.conf.get(key), (1 << 20, 50 << 20, 300 << 20)
+    spark.conf.set(key, "200")
+    try:
+        got = []
+        for size in sizes:
+            monkeypatch.setattr(streams, "event_bytes", lambda spark, sf_dir, size=size: size)
+            files, each = streams.topic_files(spark, SF_DIR), streams.files_per_batch(spark, SF_DIR)
+            assert files == each * streams.MICRO_BATCHES
+            got.append((each, streams.state_shards(spark, SF_DIR)))
+    finally:
+        spark.conf.set(key, before)
+    assert got == [(1, 4), (3, 7), (15, 38)]
