@@ -24,6 +24,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from clicktrail.functions.codec import decode_clicks, decode_purchases
 from clicktrail.functions.temporal import micros
+from clicktrail.operators.enrich import of_micro_batches
 from clicktrail.plans.checkouts import trailing_checkouts
 from clicktrail.schemas import CHECKOUTS, CLICKS, PURCHASES
 from clicktrail.session import stateful_stream_conf
@@ -79,6 +80,13 @@ def current(dimension: Dimension) -> DataFrame:
     return dimension() if callable(dimension) and not isinstance(dimension, DataFrame) else dimension
 
 
+def stated(dimension: Dimension) -> Dimension:
+    """A dimension with its kind of join, found now for a table and at each look-up for a function."""
+    if isinstance(dimension, DataFrame):
+        return of_micro_batches(dimension)
+    return lambda: of_micro_batches(current(dimension))
+
+
 def days_before(day: dt.date, lookback: str) -> list[dt.date]:
     """A day and the days its lookback reaches into."""
     return [day - dt.timedelta(days=n) for n in range(-(-micros(lookback) // micros("1 day")) + 1)]
@@ -97,8 +105,11 @@ def settlement_writer(
     The attribution reads the tables back in the session ``spark``, so it is
     planned as any batch query, with adaptive execution. Only the folders of
     the days that the batch's purchases look back on are listed and read.
-    Dimensions given as functions are looked up in every micro-batch.
+    Dimensions given as functions are looked up in every micro-batch. How a
+    dimension is joined is stated as in streamed joins, since every micro-batch
+    joins it anew.
     """
+    users, products = stated(users), stated(products)
     paths = {name: f"{root}/{name}" for name in ("clicks", "purchases", "checkouts")}
 
     def write(settled: DataFrame, batch_id: int) -> None:
@@ -128,8 +139,10 @@ def settlement_writer(
             return
         length = micros(lookback)
         in_reach = reduce(or_, [within("click_time", row.begin - length, row.end) for row in spans])
+        # merged with what they are attributed to, not sent through the driver in every micro-batch
+        purchases = own.select(*PURCHASES.columns).hint("merge")
         checkouts = trailing_checkouts(
-            clicks.where(in_reach).select(*CLICKS.columns), own.select(*PURCHASES.columns), current(users), current(products), lookback
+            clicks.where(in_reach).select(*CLICKS.columns), purchases, current(users), current(products), lookback
         )
         write_batch(checkouts, paths["checkouts"], TRAILING_CHECKOUTS, batch_id, query=query)
 

@@ -255,6 +255,38 @@ def test_trailing_stream_equals_batch(spark, replay, dims, batch):
     assert rows(got, *keys) == rows(trailing_checkouts(c, p, *dims), *keys) != []
 
 
+def test_trailing_stream_merge_joins_dimensions_that_are_large_as_rows(spark, replay, dims, monkeypatch):
+    path, plans = work_dir(spark, "trailing-dims"), []
+    wide = dims[0].withColumn("location", F.lit("x" * 2000))
+    many = wide.crossJoin(spark.range(200)).withColumn("user_id", F.concat("user_id", F.lit("-"), F.col("id").cast("string"))).drop("id")
+    many.unionByName(wide).coalesce(1).write.parquet(path)
+    people = spark.read.parquet(path)
+    dims[1].write.parquet(f"{path}-goods")
+    goods = spark.read.parquet(f"{path}-goods")
+
+    def attributed(*args):
+        found = trailing_checkouts(*args)
+        plans.append(found._jdf.queryExecution().optimizedPlan().toString())
+        return found
+
+    monkeypatch.setattr("clicktrail.streaming.trailing.trailing_checkouts", attributed)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "200000")
+    try:
+        assert int(str(people._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 200_000
+        root = work_dir(spark, "trailing")
+        run(start_trailing_checkouts(*streams(spark, replay, 1), people, goods, root, f"{root}/cp", trigger=AVAILABLE_NOW))
+    finally:
+        spark.conf.set(threshold, before)
+    # the people and the batch's purchases; the products are small
+    assert plans and all(p.count("strategy=merge") == 2 and p.count("strategy=broadcast") == 1 for p in plans)
+    messages = load_topics(spark, replay, BOTH)
+    expected = trailing_checkouts(decode_clicks(messages), decode_purchases(messages), people, goods)
+    got = read_rows(spark, f"{root}/checkouts", CHECKOUTS)
+    assert rows(got, "purchase_id", "click_id", "name") == rows(expected, "purchase_id", "click_id", "name") != []
+
+
 def test_late_events_are_dropped_and_counted(spark, dims):
     root = work_dir(spark, "late")
     publish(spark, root, [(NOON, "clicks", 1, "a"), (NOON + MINUTE, "purchases", 1, "a")])
